@@ -17,6 +17,14 @@ SPREAD = "DART"
 REGIME_EDGES = (10.0, 50.0, 100.0)
 
 
+def attach_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Add the one row of `row` as a struct column: a scalar subquery, so no join and no shuffle of `df`.
+
+    One column however many of its fields are used, which keeps wide plans small.
+    """
+    return df.withColumn(name, row.select(F.struct(*row.columns).alias("_row")).scalar())
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN marks a missing value in the feeds; make it NULL so averages skip it."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourweave.functions.scalar import attach_row
 from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.metrics import regression_metrics
 
@@ -81,12 +82,12 @@ def ensemble_weights(predictions: DataFrame, split: str = "val") -> DataFrame:
         F.count_if(F.col("val_rmse") == 0).alias("perfect"),
         F.sum(F.try_divide(F.lit(1.0), F.col("val_rmse"))).alias("inverse"),
     )
-    t = totals.select(F.struct("models", "perfect", "inverse").alias("t")).scalar()
+    t = F.col("_totals")
     weight = F.when(
         t["perfect"] > 0, F.when(F.col("val_rmse") == 0, 1 / t["perfect"]).otherwise(F.lit(0.0))
     ).otherwise(F.try_divide(F.lit(1.0), F.col("val_rmse")) / t["inverse"])
     enough = F.when(t["models"] < 2, F.raise_error(F.lit("an ensemble needs at least two models")).cast("double")).otherwise(weight)
-    return scores.withColumn("weight", enough)
+    return attach_row(scores, totals, "_totals").withColumn("weight", enough).drop("_totals")
 
 
 def ensemble_predict(
@@ -110,7 +111,7 @@ def ensemble_output(
     val = ensemble_predict(predictions.filter(F.col("split") == "val"), weights, keys)
     blend_rmse = regression_metrics(val).select("rmse").scalar()
     scores = weights.agg(*[F.max(F.when(F.col("model") == m, F.struct("weight", "val_rmse"))).alias(m) for m in models])
-    w = scores.select(F.struct(*models).alias("w")).scalar()
+    w = F.col("_scores")
     wide = (
         predictions.filter(F.col("split") == split)
         .groupBy(*keys)
@@ -121,7 +122,7 @@ def ensemble_output(
     )
     top = sum((F.coalesce(F.col(f"{m}_prediction") * w[m]["weight"], F.lit(0.0)) for m in models), F.lit(0.0))
     bottom = sum((F.when(F.col(f"{m}_prediction").isNotNull(), w[m]["weight"]).otherwise(0.0) for m in models), F.lit(0.0))
-    return wide.select(
+    return attach_row(wide, scores, "_scores").select(
         *keys, "actual",
         F.try_divide(top, bottom).alias("ensemble_prediction"),
         blend_rmse.alias("ensemble_val_rmse"),

@@ -16,7 +16,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourweave.functions.scalar import DAM, RTM, SPREAD, regime
+from hourweave.functions.scalar import DAM, RTM, SPREAD, attach_row, regime
 from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.prep import train_rows
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
@@ -175,8 +175,8 @@ def conformal_interval(predictions: DataFrame) -> DataFrame:
     """
     residuals = predictions.filter(F.col("split") == "val").select((F.col("y") - F.col("prediction")).alias("residual"))
     cuts = quantile_columns(exact_quantiles(residuals, ["residual"], list(QUANTILES)), QUANTILES, ["column"])
-    q = cuts.select(F.struct(*QUANTILES.values()).alias("q")).scalar()
-    return predictions.withColumns({name: F.col("prediction") + q[name] for name in QUANTILES.values()})
+    shifted = {name: F.col("prediction") + F.col(f"_q.{name}") for name in QUANTILES.values()}
+    return attach_row(predictions, cuts, "_q").withColumns(shifted).drop("_q")
 
 
 def normal_interval(data: DataFrame, y: str = SPREAD, by: Sequence[str] = (KEY,)) -> DataFrame:

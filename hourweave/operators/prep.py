@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourweave.functions.scalar import DAM, RTM, SPREAD, present
+from hourweave.functions.scalar import DAM, RTM, SPREAD, attach_row, present
 from hourweave.functions.timeutil import HOUR
 
 # fixed values: names that may be categorical although numeric, and the cardinality below which they are
@@ -140,11 +140,10 @@ def standardize(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> Dat
     one = params.agg(*[
         F.max(F.when(F.col("feature") == c, F.struct("mean", "std"))).alias(f"_{i}") for i, c in enumerate(columns)
     ])
-    fitted = one.select(F.struct(*[F.col(f"_{i}") for i in range(len(columns))]).alias("p")).scalar()
-    return df.withColumns({
-        c: (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - fitted[f"_{i}"]["mean"]) / fitted[f"_{i}"]["std"]
+    return attach_row(df, one, "_fitted").withColumns({
+        c: (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.col(f"_fitted._{i}.mean")) / F.col(f"_fitted._{i}.std")
         for i, c in enumerate(columns)
-    })
+    }).drop("_fitted")
 
 
 def train_rows(df: DataFrame, split: str = "split") -> DataFrame:

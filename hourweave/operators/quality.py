@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourweave.functions.scalar import DAM, RTM, present
+from hourweave.functions.scalar import DAM, RTM, attach_row, present
 from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.operators.windows import global_hours, time_gap_summary, time_gaps
@@ -141,11 +141,12 @@ def validation_report(df: DataFrame, grain: Sequence[str] = (HOUR, KEY), dam: st
 def drift_psi(train: DataFrame, test: DataFrame, column: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:
     """Population stability index of one column, bins cut at the quantiles of the training rows."""
     probs = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(train, [column], probs).agg(F.array_sort(F.collect_list("value")).alias("e")).scalar()
+    names = {p: f"e{i}" for i, p in enumerate(probs)}
+    edges = quantile_columns(exact_quantiles(train, [column], probs), names, [])
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        number = F.size(F.filter(edges, lambda e: e < F.col(column)))
-        counts = df.filter(F.col(column).isNotNull()).select(number.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("c"))
+        number = sum((F.when(F.col(column) > F.col(f"_edges.{e}"), 1).otherwise(0) for e in names.values()), F.lit(0))
+        counts = attach_row(df.filter(F.col(column).isNotNull()), edges, "_edges").select(number.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("c"))
         total = counts.agg(F.sum("c").alias("t")).scalar()
         return counts.select("bin", (F.col("c") / total).alias(name))
 

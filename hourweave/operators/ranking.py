@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourweave.functions.scalar import attach_row
 from hourweave.functions.timeutil import HOUR, KEY, floor_day, floor_hour
 
 Cut = Callable[[Column], Column]
@@ -86,12 +87,11 @@ def chronological_split(
     """
     order = [ts, *tie_break]
     cuts = cut_points(df, floor_hour(ts), order, _split_cuts(fractions))
-    edge = cuts.select(F.struct(*[F.col(f"c{i}") for i in range(len(fractions))]).alias("edge")).scalar()
     here = F.struct(*order)
     label = F.lit(names[-1])
     for i in reversed(range(len(fractions))):
-        label = F.when(here <= edge[f"c{i}"], F.lit(names[i])).otherwise(label)
-    return df.withColumn(out, label)
+        label = F.when(here <= F.col(f"_edge.c{i}"), F.lit(names[i])).otherwise(label)
+    return attach_row(df, cuts, "_edge").withColumn(out, label).drop("_edge")
 
 
 def chronological_split_copies(
@@ -111,9 +111,8 @@ def chronological_split_copies(
     order = [ts, *tie_break, *rest]
     k = len(fractions)
     cuts = cut_points(df, floor_hour(ts), order, _split_cuts(fractions))
-    edge = cuts.select(
-        F.struct(*[F.col(c) for i in range(k) for c in (f"c{i}", f"t{i}")]).alias("edge")
-    ).scalar()
+    edge = F.col("_edge")
+    edged = attach_row(df, cuts, "_edge")
     here = F.struct(*order)
     at_edge = F.coalesce(
         *[F.when(here.eqNullSafe(edge[f"c{i}"]), F.lit(True)) for i in range(k)], F.lit(False)
@@ -121,10 +120,12 @@ def chronological_split_copies(
     label = F.lit(names[-1])
     for i in reversed(range(k)):
         label = F.when(here <= edge[f"c{i}"], F.lit(names[i])).otherwise(label)
-    clear = df.filter(~at_edge).withColumn(out, label)
+    clear = edged.filter(~at_edge).withColumn(out, label).drop("_edge")
 
     # copies of a cut tuple: the first t_i of them are left of cut i
-    tied = df.filter(at_edge).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    tied = attach_row(
+        edged.filter(at_edge).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")), cuts, "_edge"
+    )
     start = F.lit(0).cast("long")
     shares = []
     for i in range(k):

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hourweave.functions.scalar import spread
 from hourweave.operators.ranking import chronological_split
 from hourweave.plans.features import price_panel, unified_features
+from hourweave.session import materialise
 from hourweave.sources.readers import Market, json_number, read_parquet
 
 # fixed values: which event type stands for which zone or region
@@ -93,9 +94,9 @@ class Tables:
 
     @cached_property
     def daily_panel(self) -> DataFrame:
-        """Mean order price per day and priority: a long panel for rolling windows."""
+        """Log of the mean order price per day and priority: a long panel for rolling windows."""
         return self["orders"].groupBy(F.col("o_orderdate").alias("TimestampHour"), F.col("o_orderpriority").alias("SettlementPoint")).agg(
-            F.avg("o_totalprice").alias("y")
+            F.log(F.avg("o_totalprice")).alias("y")
         )
 
     @cached_property
@@ -110,6 +111,12 @@ class Tables:
     def spread(self) -> DataFrame:
         return spread(self.panel)
 
+    @cached_property
+    def unified_table(self) -> DataFrame:
+        """The feature table as the jobs after the feature build see it: written once, read often."""
+        return materialise(self.unified, "features")
+
     @cached_property
     def split(self) -> DataFrame:
-        return chronological_split(self.spread)
+        """Split price panel, from a written panel: split, fits and metrics read it several times."""
+        return materialise(chronological_split(spread(materialise(self.panel, "panel"))), "split")

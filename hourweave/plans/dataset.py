@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -36,16 +37,23 @@ class Fitted:
         return self.apply(aligned.withColumns({c: F.lit(None).cast("string") for c in missing}))
 
 
-def prepare(features: DataFrame, max_total: int | None = None, max_train: int | None = None) -> tuple[DataFrame, Fitted]:
+def prepare(
+    features: DataFrame,
+    max_total: int | None = None,
+    max_train: int | None = None,
+    store: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> tuple[DataFrame, Fitted]:
     """Prepared rows (hour, key as `entity`, split, target, features) and the fitted state.
 
-    The size limits exist for parity with single-machine runs; Spark needs neither.
+    The split rows feed both fits and the result; pass `session.materialise` as `store` to
+    write them once instead of deriving them each time. The size limits exist for parity with single-machine runs; Spark needs neither.
     """
     data = features if max_total is None else hash_sample(features, max_total, [HOUR, KEY])
     data = chronological_split(spread(data))
     if max_train is not None:
         chosen = hash_sample(train_rows(data), max_train, [HOUR, KEY])
         data = chosen.unionByName(data.filter(F.col("split") != "train"))
+    data = store(data)
     roles = feature_roles(data)
     train = train_rows(data)
     fitted = Fitted(roles, target_encode_fit(train, roles.categorical), standardize_fit(train, roles.continuous))

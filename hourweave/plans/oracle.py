@@ -10,7 +10,8 @@ HOUR_OF_LABEL = "CAST({day} AS TIMESTAMP) + to_hours(CAST(split_part({label}, ':
 
 
 def rounded(expr: str, name: str) -> str:
-    return f"round({expr}, 6) AS {name}"
+    """Six decimals; adding 0 turns -0.0 into 0.0."""
+    return f"round({expr}, 6) + CAST(0 AS DOUBLE) AS {name}"
 
 
 def rounded_all(columns) -> str:
@@ -116,7 +117,7 @@ VIEWS: dict[str, str] = {
     "intervals": """SELECT s.TimestampHour, s.SettlementPoint, s.split, s.DART AS y, p10, p50, p90
                     FROM splits AS s LEFT JOIN key_quantiles AS q ON s.SettlementPoint = q.SettlementPoint""",
     "test_intervals": "SELECT * FROM intervals WHERE split = 'test'",
-    "daily_panel": "SELECT o_orderdate AS TimestampHour, o_orderpriority AS SettlementPoint, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2",
+    "daily_panel": "SELECT o_orderdate AS TimestampHour, o_orderpriority AS SettlementPoint, ln(avg(o_totalprice)) AS y FROM orders GROUP BY 1, 2",
     "hour_steps": """SELECT h AS TimestampHour, lag(h) OVER (ORDER BY h) AS previous_ts FROM (SELECT DISTINCT TimestampHour AS h FROM spread) AS a""",
     "stages": """SELECT s.*, coalesce(g.da, (SELECT avg(DAM_Price_Hourly) FROM train)) AS da_pred,
                    coalesce(g.rt, (SELECT avg(RTM_LMP_HourlyAvg) FROM train)) AS rt_pred

@@ -32,6 +32,11 @@ def _naive(t: Tables) -> DataFrame:
     return M.naive_predictions(t.split)
 
 
+def _stored_naive(t: Tables) -> DataFrame:
+    """For queries that go over the predictions more than once."""
+    return materialise(_naive(t), "predictions")
+
+
 def _regimes(t: Tables) -> DataFrame:
     return _naive(t).withColumns({"y": S.regime(F.col("y")), "prediction": S.regime(F.col("prediction"))})
 
@@ -43,12 +48,13 @@ def _board(t: Tables) -> DataFrame:
 
 
 def _test_intervals(t: Tables) -> DataFrame:
-    return M.quantile_by_group(t.split).filter(F.col("split") == "test").withColumnRenamed(S.SPREAD, "y")
+    rows = M.quantile_by_group(t.split).filter(F.col("split") == "test").withColumnRenamed(S.SPREAD, "y")
+    return materialise(rows.select(HOUR, KEY, "y", *M.QUANTILES.values()), "intervals")
 
 
 def _prepared(t: Tables) -> tuple[DataFrame, Fitted]:
     """Prepared rows, written once: the fits below read them many times."""
-    data, fitted = prepare(t.unified)
+    data, fitted = prepare(t.unified_table, store=materialise)
     keys = data.withColumnsRenamed({KEY: "encoded", "entity": KEY})
     return materialise(keys, "prepared"), fitted
 
@@ -62,7 +68,7 @@ def _features(fitted: Fitted) -> list[str]:
 
 @query("standardize_fit", f"SELECT feature, {rounded_all(['mean', 'std'])} FROM scaling")
 def standardize_fit(t: Tables) -> DataFrame:
-    return prepare(t.unified)[1].scaling
+    return prepare(t.unified_table, store=materialise)[1].scaling
 
 
 SCALED = ", ".join(
@@ -73,7 +79,7 @@ SCALED = ", ".join(
 
 @query("standardize", f"SELECT {GRAIN}, {SCALED} FROM unified_split")
 def standardize(t: Tables) -> DataFrame:
-    data, fitted = prepare(t.unified)
+    data, fitted = prepare(t.unified_table, store=materialise)
     return data.select(HOUR, F.col("entity").alias(KEY), *fitted.roles.continuous)
 
 
@@ -103,7 +109,7 @@ def target_encode_apply(t: Tables) -> DataFrame:
         FROM unified_split AS u LEFT JOIN encoding AS e ON u.SettlementPoint = e.category""",
 )
 def prepared_dataset(t: Tables) -> DataFrame:
-    data, fitted = prepare(t.unified)
+    data, fitted = prepare(t.unified_table, store=materialise)
     return data.select(HOUR, "entity", "split", S.SPREAD, *fitted.roles.features)
 
 
@@ -113,8 +119,8 @@ def prepared_dataset(t: Tables) -> DataFrame:
          'encoded_mean' AS ModelType FROM unified AS u LEFT JOIN encoding AS e ON u.SettlementPoint = e.category""",
 )
 def batch_scores(t: Tables) -> DataFrame:
-    _, fitted = prepare(t.unified)
-    rows = t.unified.withColumn("entity", F.col(KEY))
+    _, fitted = prepare(t.unified_table, store=materialise)
+    rows = t.unified_table.withColumn("entity", F.col(KEY))
     scored = fitted.score_input(rows, keep=(HOUR, "entity")).withColumnsRenamed({KEY: "prediction", "entity": KEY})
     return prediction_rows(scored, model_type="encoded_mean")
 
@@ -243,7 +249,7 @@ def rmse_alert(t: Tables) -> DataFrame:
           WHERE model = 'key_mean' AND split = 'val') AS q WHERE model = 'key_mean'""",
 )
 def conformal_interval(t: Tables) -> DataFrame:
-    return M.conformal_interval(_naive(t).filter(F.col("model") == "key_mean").drop("model"))
+    return M.conformal_interval(_stored_naive(t).filter(F.col("model") == "key_mean").drop("model"))
 
 
 @query(
@@ -317,12 +323,12 @@ def improvement_vs_baseline(t: Tables) -> DataFrame:
 
 @query("ensemble_weights", f"SELECT model, {rounded_all(['val_rmse', 'weight'])} FROM weights")
 def ensemble_weights(t: Tables) -> DataFrame:
-    return E.ensemble_weights(_naive(t))
+    return E.ensemble_weights(_stored_naive(t))
 
 
 @query("ensemble_predict", f"SELECT {GRAIN}, split, {rounded_all(['y', 'prediction'])} FROM blend")
 def ensemble_predict(t: Tables) -> DataFrame:
-    predictions = _naive(t)
+    predictions = _stored_naive(t)
     return E.ensemble_predict(predictions, E.ensemble_weights(predictions))
 
 
@@ -336,7 +342,7 @@ def ensemble_predict(t: Tables) -> DataFrame:
         WHERE b.split = 'test' GROUP BY b.TimestampHour, b.SettlementPoint, b.y, b.prediction""",
 )
 def ensemble_output(t: Tables) -> DataFrame:
-    predictions = _naive(t)
+    predictions = _stored_naive(t)
     return E.ensemble_output(predictions, E.ensemble_weights(predictions), MODELS)
 
 

@@ -276,9 +276,9 @@ PSI_BINS = ", ".join(f"quantile_cont(DART, {i / 10})" for i in range(1, 10))
     f"""SELECT count(*) AS bins, round(sum((a - e) * ln(a / e)), 6) AS psi FROM (
           SELECT coalesce(te.bin, tr.bin) AS bin, greatest(coalesce(te.c, 0) / (SELECT CAST(count(*) AS DOUBLE) FROM splits WHERE split = 'test'), 1e-6) AS a,
             greatest(coalesce(tr.c, 0) / (SELECT CAST(count(*) AS DOUBLE) FROM train), 1e-6) AS e
-          FROM (SELECT bin, count(*) AS c FROM (SELECT len(list_filter(edges, x -> x < DART)) AS bin FROM splits,
+          FROM (SELECT bin, count(*) AS c FROM (SELECT len(list_filter(edges, lambda x: x < DART)) AS bin FROM splits,
                   (SELECT [{PSI_BINS}] AS edges FROM train) AS q WHERE split = 'test') AS t1 GROUP BY 1) AS te
-          FULL OUTER JOIN (SELECT bin, count(*) AS c FROM (SELECT len(list_filter(edges, x -> x < DART)) AS bin FROM train,
+          FULL OUTER JOIN (SELECT bin, count(*) AS c FROM (SELECT len(list_filter(edges, lambda x: x < DART)) AS bin FROM train,
                   (SELECT [{PSI_BINS}] AS edges FROM train) AS q) AS t2 GROUP BY 1) AS tr ON te.bin = tr.bin) AS z""",
 )
 def drift_psi(t: Tables) -> DataFrame:
