@@ -122,17 +122,18 @@ def target_encode_apply(df: DataFrame, params: DataFrame, columns: Sequence[str]
 
 
 def standardize_fit(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (feature, mean, std): nulls count as 0, population deviation, 1 where there is none."""
+    """Rows (feature, mean, std): nulls count as 0, population deviation, 1 for a constant column.
+
+    Constant means min = max: the deviation itself may come out as rounding noise.
+    """
     wide = train.agg(*[
         F.struct(
-            F.lit(c).alias("feature"),
-            F.avg(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias("mean"),
-            F.stddev_pop(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias("std"),
+            F.lit(c).alias("feature"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.max(x) > F.min(x)).alias("varies")
         ).alias(f"_{i}")
-        for i, c in enumerate(columns)
+        for i, (c, x) in enumerate((c, F.coalesce(F.col(c).cast("double"), F.lit(0.0))) for c in columns)
     ])
     rows = wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
-    return rows.select("feature", "mean", F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0)).alias("std"))
+    return rows.select("feature", "mean", F.when(F.col("varies"), F.col("std")).otherwise(F.lit(1.0)).alias("std"))
 
 
 def standardize(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -34,63 +34,57 @@ def exact_quantiles(
     """
     by = list(by)
     group = [*by, "column"]
-    span = [*group, "low", "high", "targets"]
+    span = [*group, "n", "skipped", "low", "high"]
 
     long = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot(by, list(columns), "column", "v")
         .filter(F.col("v").isNotNull())
     )
-    place = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
-    targets = F.array(*[
-        F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("upper"), (rank(at) + 1).alias("rank"))
-        for p, at in zip(probs, place)
-        for side, rank in enumerate((F.floor, F.ceil))
-    ])
+    extent = [
+        F.struct(
+            F.lit(c).alias("column"), F.count(c).alias("n"), F.lit(0).cast("long").alias("skipped"),
+            F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"),
+        ).alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ]
     spans = (
-        long.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .select(*group, "low", "high", targets.alias("targets"), "n")
+        df.groupBy(*by).agg(*extent)
+        .select(*by, F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
+        .filter(F.col("n") > 0)
     )
+    # every rank wanted in a group of n values; which piece holds it follows from the rows before the piece
+    ranks = F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("upper"), (end((F.col("n") - 1) * F.lit(float(p))) + 1).alias("rank"))
+        for p in probs
+        for side, end in enumerate((F.floor, F.ceil))
+    ])
 
-    def inside(ranges: DataFrame) -> DataFrame:
-        # without groups there is at most one range per column and rank, hence the broadcast
-        ranges = ranges if by else F.broadcast(ranges)
-        return long.join(ranges, group).filter((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
-
-    def hits(counted: DataFrame, order: str) -> DataFrame:
-        """Counted pieces that hold a wanted rank, with the ranks counted from their start."""
+    def pieces(keys: list[Column | str], order: str, *extra: Column) -> DataFrame:
+        """Counted pieces of the spans that hold a wanted rank, with the rows before them in their group."""
+        # without groups there is at most one span per column and rank, hence the broadcast
+        lookup = spans if by else F.broadcast(spans)
+        inside = long.join(lookup, group).filter((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
         ahead = Window.partitionBy(*span).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return (
-            counted.withColumn("before", F.coalesce(F.sum("c").over(ahead), F.lit(0)))
-            .withColumn("held", F.filter("targets", lambda t: t["rank"].between(F.col("before") + 1, F.col("before") + F.col("c"))))
+            inside.groupBy(*span, *keys).agg(F.count(F.lit(1)).alias("c"), *extra)
+            .withColumn("before", F.col("skipped") + F.coalesce(F.sum("c").over(ahead), F.lit(0)))
+            .withColumn("held", F.filter(ranks, lambda r: r["rank"].between(F.col("before") + 1, F.col("before") + F.col("c"))))
             .filter(F.size("held") > 0)
         )
 
-    count = F.count(F.lit(1)).alias("c")
-    sizes = spans.select(*group, "n")
-    spans = spans.select(*span)
     for _ in range(levels):
-        counted = (
-            inside(spans)
-            .groupBy(*span, _bin(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin"))
-            .agg(count, F.min("v").alias("new_low"), F.max("v").alias("new_high"))
+        bin_no = _bin(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin")
+        spans = pieces([bin_no], "bin", F.min("v").alias("_low"), F.max("v").alias("_high")).select(
+            *group, "n", F.col("before").alias("skipped"), F.col("_low").alias("low"), F.col("_high").alias("high")
         )
-        spans = hits(counted, "bin").select(
-            *group,
-            F.col("new_low").alias("low"),
-            F.col("new_high").alias("high"),
-            F.transform("held", lambda t: t.withField("rank", t["rank"] - F.col("before"))).alias("targets"),
-        )
-
-    values = inside(spans).groupBy(*span, "v").agg(count)
-    found = hits(values, "v").select(*group, "v", F.inline("held"))
+    found = pieces(["v"], "v").select(*group, "n", "v", F.inline("held"))
     lower = F.max(F.when(F.col("upper") == 0, F.col("v")))
     upper = F.max(F.when(F.col("upper") == 1, F.col("v")))
-    ends = found.groupBy(*group, "prob").agg(lower.alias("lower"), upper.alias("upper"))
     at = (F.col("n") - 1) * F.col("prob")
-    return ends.join(sizes, group).select(
-        *group, "prob", (F.col("lower") + (F.col("upper") - F.col("lower")) * (at - F.floor(at))).alias("value")
+    return (
+        found.groupBy(*group, "n", "prob").agg(lower.alias("lower"), upper.alias("upper"))
+        .select(*group, "prob", (F.col("lower") + (F.col("upper") - F.col("lower")) * (at - F.floor(at))).alias("value"))
     )
 
 

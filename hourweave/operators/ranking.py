@@ -186,8 +186,7 @@ def positions(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: C
     return (
         tagged.withColumn("_rn", F.row_number().over(inside))
         .join(offsets, [*key, "_b"])
-        .withColumn(out, F.col("_off") + F.col("_rn") - 1)
-        .drop("_b", "_off", "_rn")
+        .select(*df.columns, (F.col("_off") + F.col("_rn") - 1).alias(out))
     )
 
 

@@ -8,7 +8,7 @@ All feeds read the whole table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +40,12 @@ class Tables:
 
     spark: SparkSession
     sf_dir: str
+    _read: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     @cached_property
     def events(self) -> DataFrame:
@@ -56,28 +59,28 @@ class Tables:
         load = by_hour.groupBy(F.col("day").alias("OperDay"), F.col("label").alias("HourEnding"))
         lmp = [F.col("ts").alias("SCEDTimestamp"), F.col("event_type").alias("SettlementPoint")]
         return Market("events", {
-            "load_forecast_zone": load.agg(
+            "load_forecast_zone": lambda: load.agg(
                 *[_sum_of(kind, "value").alias(zone) for zone, kind in FORECAST_ZONE_OF.items()], F.sum("value").alias("TOTAL")
             ),
-            "load_weather_zone": load.agg(*[_sum_of(kind, "k").alias(zone) for zone, kind in WEATHER_ZONE_OF.items()]),
-            "dam": by_hour.groupBy(
+            "load_weather_zone": lambda: load.agg(*[_sum_of(kind, "k").alias(zone) for zone, kind in WEATHER_ZONE_OF.items()]),
+            "dam": lambda: by_hour.groupBy(
                 F.date_add("day", 1).alias("DeliveryDate"), F.col("label").alias("HourEnding"), F.col("event_type").alias("SettlementPoint")
             ).agg(F.avg("value").alias("SettlementPointPrice")),
-            "rtm": e.select(*lmp, F.col("value").alias("LMP")),
-            "rtm_alt": e.select(*lmp, F.col("k").alias("LMP")),
-            "constraints": e.select(
+            "rtm": lambda: e.select(*lmp, F.col("value").alias("LMP")),
+            "rtm_alt": lambda: e.select(*lmp, F.col("k").alias("LMP")),
+            "constraints": lambda: e.select(
                 F.col("ts").alias("SCEDTimeStamp"), F.concat(F.lit("c"), F.col("user_id")).alias("ConstraintName"),
                 F.col("value").alias("ShadowPrice"), F.col("k").alias("Limit"), (F.col("value") + F.col("k")).alias("Value"),
                 (F.col("value") - F.col("k")).alias("ViolatedMW"),
             ),
-            "solar_5min": e.select(
+            "solar_5min": lambda: e.select(
                 F.col("ts").alias("INTERVAL_ENDING"), F.col("value").alias("SYSTEM_WIDE_GEN"), F.col("k").alias("SYSTEM_WIDE_HSL")
             ),
-            "solar_hourly": hourly.agg(
+            "solar_hourly": lambda: hourly.agg(
                 F.sum("value").alias("SYSTEM_WIDE_GEN"), F.sum("k").alias("COP_HSL_SYSTEM_WIDE"), F.avg("value").alias("STPPF_SYSTEM_WIDE"),
                 F.avg("k").alias("PVGRPP_SYSTEM_WIDE"), F.max("value").alias("SYSTEM_WIDE_HSL"),
             ),
-            "wind_hourly": hourly.agg(
+            "wind_hourly": lambda: hourly.agg(
                 F.sum("value").alias("SYSTEM_WIDE_GEN"), F.sum(F.col("value") + F.col("k")).alias("SYSTEM_WIDE_HSL"),
                 *[_sum_of(kind, "value").alias(f"GEN_LZ_{region}") for region, kind in WIND_REGION_OF.items()],
             ),

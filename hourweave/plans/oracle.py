@@ -77,7 +77,7 @@ VIEWS: dict[str, str] = {
                    FROM train GROUP BY 1""",
     "scaling": " UNION ALL ".join(
         f"SELECT '{c}' AS feature, avg(coalesce({c}, 0)) AS mean, "
-        f"CASE WHEN stddev_pop(coalesce({c}, 0)) > 0 THEN stddev_pop(coalesce({c}, 0)) ELSE 1 END AS std "
+        f"CASE WHEN max(coalesce({c}, 0)) > min(coalesce({c}, 0)) THEN stddev_pop(coalesce({c}, 0)) ELSE 1 END AS std "
         "FROM unified_split WHERE split = 'train'"
         for c in CONTINUOUS
     ),

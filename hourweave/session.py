@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # plans here are built from many small expressions; call sites per expression cost more than they tell
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # read parquet timestamps without a zone as TIMESTAMP_NTZ
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -76,10 +76,10 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 @dataclass(frozen=True)
 class Market:
-    """One market's feeds: role -> parquet path, catalog table, or ready DataFrame."""
+    """One market's feeds: role -> parquet path, catalog table, or a function that gives a DataFrame."""
 
     name: str
-    feeds: Mapping[str, str | DataFrame] = field(default_factory=dict)
+    feeds: Mapping[str, str | Callable[[], DataFrame]] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, role: str) -> DataFrame:
         """The feed in `role`; a role without a feed, or whose table is absent, is empty."""
@@ -87,8 +87,8 @@ class Market:
         feed = self.feeds.get(role)
         if feed is None:
             return empty(spark, schema)
-        if isinstance(feed, DataFrame):
-            return nan_to_null(feed)
+        if callable(feed):
+            return nan_to_null(feed())
         if "/" in feed:
             return read_optional(spark, feed, schema)
         return nan_to_null(spark.table(feed)) if spark.catalog.tableExists(feed) else empty(spark, schema)
