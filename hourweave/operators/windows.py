@@ -35,13 +35,11 @@ def lag_features_calendar(
     rest = [c for c in df.columns if c not in (key, ts)]
     unit = step if step is not None else hours(1)
     sends = F.array(F.lit(0), *[F.lit(n) for n in lags])
-    sent = df.select(key, ts, F.struct(*rest).alias("_row"), F.explode(sends).alias("_n")).withColumn(
-        ts, F.col(ts) + unit * F.col("_n")
-    )
-    own = F.max(F.when(F.col("_n") == 0, F.col("_row"))).alias("_own")
-    back = [F.max(F.when(F.col("_n") == n, F.col(f"_row.{value}"))).alias(f"{value}_lag_{n}h") for n in lags]
-    grouped = sent.groupBy(key, ts).agg(own, *back, F.max(F.col("_n") == 0).alias("_here"))
-    return grouped.filter("_here").select(key, ts, "_own.*", *[f"{value}_lag_{n}h" for n in lags])
+    sent = df.select("*", F.explode(sends).alias("_n")).withColumn(ts, F.col(ts) + unit * F.col("_n"))
+    own = [F.max(F.when(F.col("_n") == 0, F.col(c))).alias(c) for c in rest]
+    back = [F.max(F.when(F.col("_n") == n, F.col(value))).alias(f"{value}_lag_{n}h") for n in lags]
+    grouped = sent.groupBy(key, ts).agg(*own, *back, F.max(F.col("_n") == 0).alias("_here"))
+    return grouped.filter("_here").select(*df.columns, *[f"{value}_lag_{n}h" for n in lags])
 
 
 def rolling_stats(

@@ -47,6 +47,10 @@ class Tables:
             self._read[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
         return self._read[name]
 
+    def where(self, name: str, condition: Column) -> DataFrame:
+        """Rows of a table that meet a condition, filtered at the scan."""
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", where=condition)
+
     @cached_property
     def events(self) -> DataFrame:
         return self["events"].withColumn("k", json_number("props", "k"))
@@ -114,6 +118,15 @@ class Tables:
     def spread(self) -> DataFrame:
         return spread(self.panel)
 
+    @cached_property
+    def panel_table(self) -> DataFrame:
+        """The price panel, written once, for jobs that go over it several times."""
+        return materialise(self.panel, "panel")
+
+    @cached_property
+    def stored_spread(self) -> DataFrame:
+        return spread(self.panel_table)
+
     @cached_property
     def unified_table(self) -> DataFrame:
         """The feature table as the jobs after the feature build see it: written once, read often."""
@@ -121,5 +134,5 @@ class Tables:
 
     @cached_property
     def split(self) -> DataFrame:
-        """Split price panel, from a written panel: split, fits and metrics read it several times."""
-        return materialise(chronological_split(spread(materialise(self.panel, "panel"))), "split")
+        """Split price panel, stored as well: fits and metrics read it several times."""
+        return materialise(chronological_split(self.stored_spread), "split")

@@ -192,10 +192,10 @@ def align_features(t: Tables) -> DataFrame:
        WHERE o_orderdate IS NOT NULL AND o_totalprice > 100000 AND o_orderstatus = 'F' AND contains(o_orderpriority, 'URGENT')""",
 )
 def filter_predicates(t: Tables) -> DataFrame:
-    rows = t["orders"].dropna(subset=["o_orderdate"]).filter(
-        (F.col("o_totalprice") > 100000) & (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").contains("URGENT")
+    rows = t.where(
+        "orders", (F.col("o_totalprice") > 100000) & (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").contains("URGENT")
     )
-    return rows.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return rows.dropna(subset=["o_orderdate"]).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
 # reshape ---------------------------------------------------------------------------
@@ -259,6 +259,13 @@ def outer_join_prices(t: Tables) -> DataFrame:
 
 @query("outer_join_three", f"SELECT {GRAIN}, {rounded_all(PRICE_COLUMNS)} FROM panel")
 def outer_join_three(t: Tables) -> DataFrame:
+    read = t.market.read
+    realtime = [P.realtime_prices(read(t.spark, role), out) for role, out in (("rtm", S.RTM), ("rtm_alt", S.RTM_ALT))]
+    return J.outer_join([P.dam_prices(read(t.spark, "dam")), *realtime])
+
+
+@query("price_panel", f"SELECT {GRAIN}, {rounded_all(PRICE_COLUMNS)} FROM panel")
+def price_panel(t: Tables) -> DataFrame:
     return t.panel
 
 

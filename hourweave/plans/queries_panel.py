@@ -84,7 +84,7 @@ def union_train_val(t: Tables) -> DataFrame:
     f"SELECT {GRAIN}, {rounded('DART', 'DART')}, {', '.join(rounded(f'lag_{n}', f'DART_lag_{n}') for n in (1, 24, 168))} FROM lagged",
 )
 def lag_features(t: Tables) -> DataFrame:
-    return W.lag_features(t.spread.select(HOUR, KEY, S.SPREAD), S.SPREAD)
+    return W.lag_features(t.stored_spread.select(HOUR, KEY, S.SPREAD), S.SPREAD)
 
 
 @query(
@@ -133,7 +133,7 @@ def sequence_windows(t: Tables) -> DataFrame:
         FROM spread WINDOW w AS (PARTITION BY SettlementPoint ORDER BY TimestampHour)""",
 )
 def time_gaps(t: Tables) -> DataFrame:
-    return W.time_gaps(t.spread)
+    return W.time_gaps(t.stored_spread)
 
 
 @query(
@@ -143,7 +143,7 @@ def time_gaps(t: Tables) -> DataFrame:
          CAST(max(date_diff('second', previous_ts, TimestampHour)) AS BIGINT) AS longest_gap_seconds FROM hour_steps""",
 )
 def time_gap_summary(t: Tables) -> DataFrame:
-    return W.time_gap_summary(W.time_gaps(W.global_hours(t.spread), key=[]))
+    return W.time_gap_summary(W.time_gaps(W.global_hours(t.stored_spread), key=[]))
 
 
 @query(
@@ -154,7 +154,7 @@ def time_gap_summary(t: Tables) -> DataFrame:
         WHERE date_diff('second', previous_ts, TimestampHour) > 3600 ORDER BY TimestampHour, SettlementPoint LIMIT 10""",
 )
 def first_time_gaps(t: Tables) -> DataFrame:
-    return W.first_gaps(W.time_gaps(t.spread))
+    return W.first_gaps(W.time_gaps(t.stored_spread))
 
 
 # quality ---------------------------------------------------------------------------
@@ -217,7 +217,7 @@ def prediction_summary(t: Tables) -> DataFrame:
     ),
 )
 def spread_quantiles(t: Tables) -> DataFrame:
-    return exact_quantiles(t.spread, [S.SPREAD], [0.25, 0.5, 0.75]).select("prob", "value")
+    return exact_quantiles(t.stored_spread, [S.SPREAD], [0.25, 0.5, 0.75]).select("prob", "value")
 
 
 @query(
@@ -227,7 +227,7 @@ def spread_quantiles(t: Tables) -> DataFrame:
              FROM spread) AS a GROUP BY 1""",
 )
 def regime_distribution(t: Tables) -> DataFrame:
-    return A.regime_distribution(t.spread.select(S.regime(F.col(S.SPREAD)).alias("regime")))
+    return A.regime_distribution(t.stored_spread.select(S.regime(F.col(S.SPREAD)).alias("regime")))
 
 
 AVAILABILITY = """SELECT count(*) AS n_rows, count(DAM_Price_Hourly) AS dam_rows, count(RTM_LMP_HourlyAvg) AS rtm_rows,
@@ -265,7 +265,7 @@ def price_availability(t: Tables) -> DataFrame:
          CASE WHEN count(*) = count(DISTINCT (TimestampHour, SettlementPoint)) THEN 'pass' ELSE 'fail' END FROM panel""",
 )
 def validation_report(t: Tables) -> DataFrame:
-    return Q.validation_report(t.panel)
+    return Q.validation_report(t.panel_table)
 
 
 PSI_BINS = ", ".join(f"quantile_cont(DART, {i / 10})" for i in range(1, 10))

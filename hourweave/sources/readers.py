@@ -15,9 +15,18 @@ from hourweave.sources.schemas import FEEDS
 
 
 def read_parquet(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, recursive: bool = False, pattern: str | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | None = None,
+    recursive: bool = False,
+    pattern: str | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """Parquet with NaN read as NULL. `recursive` and `pattern` find files below several roots."""
+    """Parquet with NaN read as NULL. `recursive` and `pattern` find files below several roots.
+
+    `where` is a condition on values (no null tests). It is applied to the stored columns, so
+    it reaches the file scan also for doubles, and again after NaN became NULL.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -25,7 +34,8 @@ def read_parquet(
         reader = reader.option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return nan_to_null(reader.parquet(*([path] if isinstance(path, str) else path)))
+    stored = reader.parquet(*([path] if isinstance(path, str) else path))
+    return nan_to_null(stored) if where is None else nan_to_null(stored.filter(where)).filter(where)
 
 
 @dataclass(frozen=True)

@@ -53,6 +53,14 @@ def test_append_table(spark, scored):
     assert readers.Market("m", {"rtm": "predictions_log"}).read(spark, "rtm").count() == 120
 
 
+def test_condition_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "doubles")
+    spark.createDataFrame([(1.0,), (5.0,), (float("nan"),), (None,)], "x double").write.parquet(path)
+    rows = readers.read_parquet(spark, path, where=F.col("x") > 2)
+    assert [r.x for r in rows.collect()] == [5.0]
+    assert "GreaterThan(x,2.0)" in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_csv(spark, scored, tmp_path):
     sinks.write_csv(scored, str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == scored.columns
