@@ -72,6 +72,36 @@ def clip(value: Column, low: float | None = None, high: float | None = None) ->
     return F.when(value.isNotNull(), bounded)
 
 
+def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """Which of `bins` equal parts of low..high a value falls into; never decreases with the value."""
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    return F.when(high > low, F.least(F.floor(share * bins), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+
+
+def order_code(df: DataFrame, column: str) -> tuple[Column, bool]:
+    """A double that never decreases with the column, and whether equal codes mean equal values.
+
+    Strings are coded by their first six bytes; types without a code get a constant.
+    """
+    kind = df.schema[column].dataType
+    c = F.col(column)
+    exact = True
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        code = F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")).cast("double")
+    elif isinstance(kind, T.TimestampType):
+        code = F.unix_micros(c).cast("double")
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType, T.BooleanType)):
+        code = c.cast("double")
+    elif isinstance(kind, T.NumericType):
+        code, exact = c.cast("double"), False
+    elif isinstance(kind, T.StringType):
+        code, exact = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double"), False
+    else:
+        code, exact = F.lit(0.0), False
+    return F.coalesce(code, F.lit(-1e300)), exact
+
+
 def guarded_ratio(top: Column, bottom: Column) -> Column:
     """a / (b + 1), NULL where b is -1."""
     return F.try_divide(top, bottom + 1)

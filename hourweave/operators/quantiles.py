@@ -13,11 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Monotone bin number; a range of one value has one bin."""
-    share = (value / 2 - low / 2) / (high / 2 - low / 2)
-    return F.when(high > low, F.least(F.floor(share * bins), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+from hourweave.functions.scalar import bin_number
 
 
 def exact_quantiles(
@@ -74,7 +70,7 @@ def exact_quantiles(
         )
 
     for _ in range(levels):
-        bin_no = _bin(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin")
+        bin_no = bin_number(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin")
         spans = pieces([bin_no], "bin", F.min("v").alias("_low"), F.max("v").alias("_high")).select(
             *group, "n", F.col("before").alias("skipped"), F.col("_low").alias("low"), F.col("_high").alias("high")
         )

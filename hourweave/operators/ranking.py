@@ -12,56 +12,83 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourweave.functions.scalar import attach_row
+from hourweave.functions.scalar import attach_row, bin_number, order_code
 from hourweave.functions.timeutil import HOUR, KEY, floor_day, floor_hour
 
 Cut = Callable[[Column], Column]
 
 
-def cut_points(df: DataFrame, bucket: Column, order: Sequence[str], cuts: Sequence[Cut]) -> DataFrame:
+def cut_points(
+    df: DataFrame, bucket: Column, order: Sequence[str], cuts: Sequence[Cut], levels: int = 2, bins: int = 4096
+) -> DataFrame:
     """One row (c0, c1, ...): per cut, the order tuple of the last row on its left side.
 
     Each cut maps the row count to the number of rows on the left; a cut of 0 gives NULL.
     Also holds t0, t1, ...: how many rows equal to that tuple belong on the left.
 
     The running sum runs over one row per bucket, so `bucket` must have a bounded number
-    of values: hours of the history, or the values of a short hash prefix.
+    of values: hours of the history, or the values of a short hash prefix. A bucket with a
+    large part of all rows is narrowed `levels` times by binning the order columns, so that
+    only the tuples of one small bin are ranked.
     """
-    counts = df.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+    codes, exact = [], True
+    for c in order:
+        if not exact:
+            break
+        code, exact = order_code(df, c)
+        codes.append(code)
+    rows = df.select(bucket.alias("_b"), F.struct(*order).alias("_o"), *[c.alias(f"_k{i}") for i, c in enumerate(codes)])
+    every = range(len(codes))
+    extent = [f(f"_k{i}").alias(f"_{n}{i}") for i in every for n, f in (("lo", F.min), ("hi", F.max))]
+    bounds = [f"_{n}{i}" for i in every for n in ("lo", "hi")]
+
+    counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"), *extent)
     whole = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.select(
-        "_b", "_c", F.sum("_c").over(so_far).alias("_upto"), F.sum("_c").over(whole).alias("_n")
-    )
     wanted = F.array(*[
-        F.struct(F.lit(i).alias("cut"), cut(F.col("_n")).cast("long").alias("pos")) for i, cut in enumerate(cuts)
+        F.struct(F.lit(i).alias("cut"), cut(F.col("_n")).cast("long").alias("_r")) for i, cut in enumerate(cuts)
     ])
-    hit = (
-        placed.select("*", F.inline(wanted))
-        .filter((F.col("pos") <= F.col("_upto")) & (F.col("pos") > F.col("_upto") - F.col("_c")))
-        .select("_b", "cut", (F.col("pos") - F.col("_upto") + F.col("_c")).alias("_r"))
-    )
-    # `hit` has at most one row per cut, so the broadcast is bounded by len(cuts)
-    tuples = (
-        df.select(bucket.alias("_b"), F.struct(*order).alias("_o"))
-        .join(F.broadcast(hit), "_b")
-        .groupBy("cut", "_r", "_o")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    inside = Window.partitionBy("cut").orderBy("_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (
-        tuples.withColumn("_upto", F.sum("_c").over(inside))
-        .filter((F.col("_r") <= F.col("_upto")) & (F.col("_r") > F.col("_upto") - F.col("_c")))
-        .withColumn("_take", F.col("_r") - F.col("_upto") + F.col("_c"))
-    )
+    spans = _holding_rank(
+        counts.withColumn("_upto", F.sum("_c").over(so_far)).withColumn("_n", F.sum("_c").over(whole)).select("*", F.inline(wanted))
+    ).select("_b", "cut", "_r", *bounds)
+    span = spans.columns
+
+    def inside() -> DataFrame:
+        # one span per cut, so the broadcast is bounded by len(cuts)
+        joined = rows.join(F.broadcast(spans), "_b")
+        for i in every:
+            joined = joined.filter((F.col(f"_k{i}") >= F.col(f"_lo{i}")) & (F.col(f"_k{i}") <= F.col(f"_hi{i}")))
+        return joined
+
+    def ranked(pieces: DataFrame, by: str) -> DataFrame:
+        upto = Window.partitionBy("cut").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return _holding_rank(pieces.withColumn("_upto", F.sum("_c").over(upto)))
+
+    # a later column may only be binned once all rows left agree on the earlier ones
+    part = F.lit(0)
+    for i in reversed(every):
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        part = F.when(high > low, bin_number(F.col(f"_k{i}"), low, high, bins)).otherwise(part)
+    for _ in range(levels):
+        tighter = [f(f"_k{i}").alias(f"_new_{n}{i}") for i in every for n, f in (("lo", F.min), ("hi", F.max))]
+        pieces = inside().groupBy(*span, part.alias("_part")).agg(F.count(F.lit(1)).alias("_c"), *tighter)
+        spans = ranked(pieces, "_part").select("_b", "cut", "_r", *[F.col(f"_new{c}").alias(c) for c in bounds])
+
+    last = ranked(inside().groupBy("cut", "_r", "_o").agg(F.count(F.lit(1)).alias("_c")), "_o")
     columns = []
     for i in range(len(cuts)):
         mine = F.col("cut") == i
         columns.append(F.max(F.when(mine, F.col("_o"))).alias(f"c{i}"))
-        columns.append(F.max(F.when(mine, F.col("_take"))).alias(f"t{i}"))
+        columns.append(F.max(F.when(mine, F.col("_r"))).alias(f"t{i}"))
     return last.agg(*columns)
 
 
+def _holding_rank(pieces: DataFrame) -> DataFrame:
+    """Pieces (_c rows each, _upto including them) that hold rank _r, which then counts from their start."""
+    before = F.col("_upto") - F.col("_c")
+    return pieces.filter((F.col("_r") > before) & (F.col("_r") <= F.col("_upto"))).withColumn("_r", F.col("_r") - before)
+
+
 def _split_cuts(fractions: Sequence[float]) -> list[Cut]:
     """Cumulative row counts, each share floored on its own in double arithmetic."""
     cuts = []

@@ -38,6 +38,20 @@ def test_split_is_ordered_and_disjoint(skewed):
     assert max(by["train"]) < min(by["val"]) and max(by["val"]) < min(by["test"])
 
 
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_cuts_equal_a_full_sort(spark, levels):
+    """Mixed order columns, few bins, one bucket with most rows, nulls, and keys alike in their first bytes."""
+    rng = np.random.default_rng(11)
+    names = ["prefix-" + c for c in "abcd"] + ["x", "", None, "é", "zz"]
+    rows = [(int(rng.integers(0, 3)) if i % 3 else 1, float(rng.integers(0, 5)), names[rng.integers(0, len(names))], i) for i in range(600)]
+    df = spark.createDataFrame(rows, "b int, x double, k string, id int")
+    ordered = sorted(((b, x, k is not None, (k or "").encode(), i) for b, x, k, i in rows))
+    cuts = [lambda n, p=p: F.lit(p) for p in (1, 17, 300, 301, 599, 600)]
+    got = K.cut_points(df, F.col("b"), ["b", "x", "k", "id"], cuts, levels=levels, bins=4).first()
+    assert [got[f"c{j}"].id for j in range(6)] == [ordered[p - 1][4] for p in (1, 17, 300, 301, 599, 600)]
+    assert [got[f"t{j}"] for j in range(6)] == [1] * 6
+
+
 def test_split_with_one_hour_holding_most_rows(spark, hour):
     rows = [(hour(0), f"k{i:04d}", 0.0) for i in range(900)] + [(hour(1), "a", 0.0)]
     got = {r.split: r.n_rows for r in K.split_ranges(K.chronological_split(spark.createDataFrame(rows, PANEL))).collect()}
