@@ -19,7 +19,7 @@ Cut = Callable[[Column], Column]
 
 
 def cut_points(
-    df: DataFrame, bucket: Column, order: Sequence[str], cuts: Sequence[Cut], levels: int = 2, bins: int = 4096
+    df: DataFrame, bucket: Column, order: Sequence[str], cuts: Sequence[Cut], levels: int = 1, bins: int = 65_536
 ) -> DataFrame:
     """One row (c0, c1, ...): per cut, the order tuple of the last row on its left side.
 
