@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from hourweave.plans import catalog
@@ -31,6 +32,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-shared-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog.queries()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,24 +30,15 @@ def build_session(app_name: str = "hourweave", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a local master may fall back to a folder of this machine: driver and executors
-    are one process there.
+    Where that is unset: a folder below the session's warehouse, which a cluster shares too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="hourweave-")
-    return _LOCAL_ROOTS[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/hourweave-scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -65,4 +55,20 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def clear_materialised(spark: SparkSession) -> int:
+    """Delete every folder `materialise` wrote in this application; returns how many.
+
+    Tables read back from them cannot be read afterwards, so call it when the results are stored.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
