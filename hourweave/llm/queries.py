@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourweave.llm.common import read_table
-from hourweave.llm.token_counts import count_tokens
+from hourweave.llm.quality_rules import judge, rules_sql
+from hourweave.llm.token_counts import count_tokens, load_tokenizer
+from hourweave.llm.token_files import read_documents, write_token_files
+from hourweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 TOKEN_LIMIT = 2048
+END_ID = 2
 
 
 def query(f):
@@ -27,3 +31,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     counted = count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = scratch_path(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), folder, path, END_ID)
+    return read_documents(spark, folder, load_tokenizer(path).get_vocab_size())
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE_SQL["op5_quality_rules"] = rules_sql()

@@ -28,7 +28,7 @@ from hourweave.llm.common import col, ship_package, slices, texts
 from hourweave.session import materialise
 
 #: Unicode White_Space. str.split() also splits at U+001C to U+001F, which the tokenizer takes for symbols.
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and not "\x1c" <= c <= "\x1f") + "]+")
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 HEAD = 1 << 19
