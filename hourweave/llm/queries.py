@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table
 from hourweave.llm.quality_rules import judge, rules_sql
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
@@ -19,6 +20,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 TOKEN_LIMIT = 2048
 END_ID = 2
+GOOD_FROM = 0.3
 
 
 def query(f):
@@ -48,3 +50,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op5_quality_rules"] = rules_sql()
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = quality_classifier.fit(docs, labels.where(~held_out))
+    scored = quality_classifier.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
