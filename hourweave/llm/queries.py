@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table
+from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
 from hourweave.llm.token_files import read_documents, write_token_files
@@ -59,3 +60,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_classifier.fit(docs, labels.where(~held_out))
     scored = quality_classifier.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op4_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_following(read_table(spark, sf_dir, "documents"))
