@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table
+from hourweave.llm.near_duplicates import group_duplicates
 from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
@@ -65,3 +66,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_following(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_duplicates(read_table(spark, sf_dir, "documents"))
