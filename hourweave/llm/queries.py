@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
-from hourweave.llm.common import read_table
+from hourweave.llm.common import read_table, word_count
+from hourweave.llm.mixing import draw_mix
 from hourweave.llm.near_duplicates import group_duplicates
 from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
@@ -23,6 +24,7 @@ ORACLE_SQL: dict[str, str] = {}
 TOKEN_LIMIT = 2048
 END_ID = 2
 GOOD_FROM = 0.3
+MIX_WEIGHTS = (1, 2, 3)
 
 
 def query(f):
@@ -71,3 +73,12 @@ def op4_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    drawn = draw_mix(docs, word_count(F.col("text")), MIX_WEIGHTS)
+    return drawn.select(
+        "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.size("mix_draws")).alias("taken"), "mix_draws")
