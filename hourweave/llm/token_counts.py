@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -82,12 +82,21 @@ def vocabulary(docs: DataFrame, text: str, tokenizer: str) -> DataFrame:
     return materialise(summed.mapInArrow(encode, "piece string, n long, pieces long"), "vocabulary")
 
 
+def _most_frequent(pieces: DataFrame, most: int) -> DataFrame:
+    """At most `most` pieces: those at or above the smallest frequency that so many reach."""
+    at_least = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    # one row for each frequency that occurs
+    reached = pieces.groupBy("n").agg(F.count("*").alias("with_n")).select("n", F.sum("with_n").over(at_least).alias("so_many"))
+    least = reached.where(F.col("so_many") <= most).agg(F.min("n")).first()[0]
+    return pieces.where(F.lit(False) if least is None else F.col("n") >= least)
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
     """One row per document: its id, `n_bytes` (UTF-8) and `n_tokens` without added special tokens."""
     spark = docs.sparkSession
     ship_package(spark)
     pieces = vocabulary(docs, text, tokenizer)
-    top = pieces.where(F.length("piece") <= HEAD_CHARS).orderBy(F.desc("n"), "piece").limit(head).select("piece", "pieces").toArrow()
+    top = _most_frequent(pieces.where(F.length("piece") <= HEAD_CHARS), head).select("piece", "pieces").toArrow()
     known = spark.sparkContext.broadcast(dict(zip(top["piece"].to_pylist(), top["pieces"].to_pylist())))
     kind = docs.schema[id_column].dataType
 
