@@ -12,6 +12,7 @@ from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table, word_count
 from hourweave.llm.mixing import draw_mix
 from hourweave.llm.near_duplicates import group_duplicates
+from hourweave.llm.packing import pack
 from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
@@ -82,3 +83,9 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
         (F.col("mix_size") * F.size("mix_draws")).alias("taken"), "mix_draws")
+
+
+@query
+def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pack(docs, word_count(F.col("text")))
