@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table, word_count
+from hourweave.llm.html_text import extract_text
 from hourweave.llm.mixing import draw_mix
 from hourweave.llm.near_duplicates import group_duplicates
 from hourweave.llm.packing import pack
@@ -89,3 +90,9 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pack(docs, word_count(F.col("text")))
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
