@@ -53,9 +53,6 @@ def open_array(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=dtype)
 
 
-def read_range(handle, offset: int, length: int) -> bytes:
-    return handle.read_at(length, offset)
-
 
 @contextmanager
 def open_ranges(uri: str) -> Iterator:

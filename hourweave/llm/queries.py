@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
@@ -18,6 +18,7 @@ from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
 from hourweave.llm.token_files import read_documents, write_token_files
+from hourweave.llm.warc_fixity import fixity_report, report_sql, write_warc
 from hourweave.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,7 @@ TOKEN_LIMIT = 2048
 END_ID = 2
 GOOD_FROM = 0.3
 MIX_WEIGHTS = (1, 2, 3)
+WARC_RECORDS = 2048
 
 
 def query(f):
@@ -34,6 +36,11 @@ def query(f):
     return f
 
 
+def held_out() -> Column:
+    """One id in five never teaches; neither does a null one."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -61,10 +68,9 @@ ORACLE_SQL["op5_quality_rules"] = rules_sql()
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    model = quality_classifier.fit(docs, labels.where(~held_out))
+    model = quality_classifier.fit(docs, labels.where(~held_out()))
     scored = quality_classifier.score(docs, model)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
 
 
 @query
@@ -96,3 +102,17 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of a replica in which one bit is wrong in every record whose id leaves 13 over 97."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = F.floor(F.col("page_id") / WARC_RECORDS)
+    folder, replica = scratch_path(spark, "warc"), scratch_path(spark, "warc-replica")
+    index = write_warc(pages, folder, archive)
+    write_warc(pages, replica, archive, damaged=F.col("page_id") % 97 == 13)
+    return fixity_report(index, folder, replica).withColumnRenamed("id", "page_id")
+
+
+ORACLE_SQL["op2_warc_fixity"] = report_sql(WARC_RECORDS, "page_id % 97 = 13")
