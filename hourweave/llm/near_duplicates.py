@@ -6,7 +6,7 @@
 2. Classes that share a band key are a bucket. A pair at the threshold of 0.85 misses all 25 bands with probability
    5e-7. Buckets are not turned into all pairs: each class is compared with its bucket's smallest one; found links are
    merged into components; only buckets that still hold several components go on, where members outside the largest
-   component are compared with those of other components, 8 leaders a bucket, then 64, and so on, until every pair of
+   component are compared with those of other components, 32 leaders a bucket, then 1024, and so on, until every pair of
    a bucket is in one component or was compared. No pair is dropped.
 3. A comparison first looks at sizes and the register bytes (a pair at the threshold falls below `LEAST_ALIKE`
    with probability under 1e-9), then intersects the whole sets.
@@ -40,6 +40,10 @@ LEAST_ALIKE = 0.64
 CACHE = 400_000
 #: Ids sent to all tasks at once, 16 MB; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Links that one task may unite, some 100 MB.
+LOCAL_LINKS = 300_000
+#: Leaders of a mixed bucket in the second round, and the factor for each further one.
+LEADERS = 32
 
 _words: dict[bytes, bytes] = {}
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -203,11 +207,16 @@ def _local_union(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = [(x, r) for x, r in found if x != r]
     for i in range(0, len(found), 50_000):
         piece = found[i : i + 50_000]
-        yield pa.record_batch({"a": pa.array([x for x, _ in piece], pa.binary()), "b": pa.array([r for _, r in piece], pa.binary())})
+        yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in zip(*piece)], names=["a", "b"])
 
 
-def components(links: DataFrame) -> DataFrame:
-    """`node, component` for all nodes of links (a, b); the component is its smallest node."""
+def components(links: DataFrame, together: int = LOCAL_LINKS) -> DataFrame:
+    """`node, component` for nodes of links (a, b), stored; the component is its smallest node, which may be left out.
+
+    Up to `together` links go through one task's union-find; more are united per task and contracted across tasks.
+    """
+    if links.count() <= together:
+        return materialise(links.coalesce(1).mapInArrow(_local_union, "a binary, b binary").toDF("node", "component"), "components")
     edges = materialise(links.select("a", "b").mapInArrow(_local_union, "a binary, b binary").distinct(), "links-local")
     members = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     known = members.withColumn("component", F.col("node"))
@@ -260,7 +269,7 @@ def group_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     pairs = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = verify(pairs, classes, docs, id_column, text, width, percent)
     found = components(links)
-    start, end = 0, 8
+    start, end = 0, LEADERS
     while True:
         buckets, pairs = _open_pairs(buckets, found, start, end)
         if buckets.isEmpty():
@@ -272,7 +281,7 @@ def group_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
             found = components(links)
         if end >= largest:
             break
-        start, end = end, end * 8
+        start, end = end, end * LEADERS
     merged = classes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = merged.groupBy("component").agg(F.min("id").alias("smallest"))
     of_node = merged.join(smallest, "component").select("node", "smallest")
