@@ -4,11 +4,14 @@
    set and its SuperMinHash signature as 25 band keys of 5 registers and one byte of each register. Documents with equal
    sets are one class; only classes go on, so copies cost one aggregation.
 2. Classes that share a band key are a bucket. A pair at the threshold of 0.85 misses all 25 bands with probability
-   5e-7. Buckets are not turned into all pairs: each class is compared with its bucket's smallest one; found links are
-   merged into components; only buckets that still hold several components go on, where members outside the largest
-   component are compared with those of other components, 32 leaders a bucket, then 1024, and so on, until every pair of
-   a bucket is in one component or was compared. No pair is dropped.
-3. A comparison first looks at sizes and the register bytes (a pair at the threshold falls below `LEAST_ALIKE`
+   5e-7. Buckets are not turned into pairs: each class is compared with its bucket's smallest one, and found links are
+   merged into components. Only buckets that still hold several components go on.
+3. Buckets that share classes form a cluster. A cluster of up to `CLUSTER_MOST` classes is cut into blocks; a task takes
+   two blocks of whole sets, gets all their intersections as one matrix product and returns links that join components,
+   fewer than it has classes. In buckets of larger clusters, members outside the largest component are compared with
+   those of other components, 32 leaders a bucket, then 1024, and so on, until every pair of a bucket is in one
+   component or was compared. No pair is dropped either way.
+   Such a comparison first looks at sizes and the register bytes (a pair at the threshold falls below `LEAST_ALIKE`
    with probability under 1e-9), then intersects the whole sets.
 4. Links are merged inside each task by union-find, then across tasks by contracting to the smallest neighbour, until
    no link between two components is left.
@@ -44,6 +47,9 @@ BROADCAST_IDS = 2_000_000
 LOCAL_LINKS = 300_000
 #: Leaders of a mixed bucket in the second round, and the factor for each further one.
 LEADERS = 32
+#: Classes of a cluster that is compared in blocks, and the classes and set elements of a block.
+CLUSTER_MOST = 50_000
+BLOCK_CLASSES, BLOCK_ELEMENTS = 1024, 500_000
 
 _words: dict[bytes, bytes] = {}
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -258,7 +264,81 @@ def _open_pairs(buckets: DataFrame, found: DataFrame, start: int, end: int) -> t
     return mixed, pairs.select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b"))
 
 
-def group_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def _open_clusters(buckets: DataFrame, found: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Classes of clusters of buckets with several components: `cluster, node, component, id, n, blocks`, stored; and the
+    buckets (`key, node`) of larger clusters."""
+    named = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
+    mixed = materialise(named.join(several, "key"), "mixed-buckets")
+    joined = components(mixed.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
+    members = mixed.select("node", "component").distinct().join(joined.withColumnRenamed("component", "cluster"), "node", "left")
+    members = materialise(members.withColumn("cluster", F.coalesce("cluster", "node")).join(classes.select("node", "id", "n"), "node"), "clusters")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("elements"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_CLASSES), F.ceil(F.col("elements") / BLOCK_ELEMENTS), F.lit(1))
+    members = materialise(members.join(sizes, "cluster").withColumn("blocks", blocks), "clusters-sized")
+    large = members.where(F.col("size") > most).select("node")
+    return members.where(F.col("size") <= most), mixed.select("key", "node").join(large, "node", "left_semi")
+
+
+def _compare_blocks(percent: int):
+    def run(key, table):
+        table = table.sort_by("node")
+        nodes, parts = table["node"].to_pylist(), table["component"].to_pylist()
+        names = {c: k for k, c in enumerate(dict.fromkeys(parts))}
+        part = np.array([names[c] for c in parts])
+        block = np.asarray(table["block"])
+        own = table["set"].combine_chunks()
+        sizes = np.diff(np.asarray(own.offsets))
+        row = np.repeat(np.arange(len(nodes)), sizes)
+        _, element, often = np.unique(np.asarray(own.flatten()), return_inverse=True, return_counts=True)
+        # an element of one set only is in no intersection
+        rank = np.cumsum(often > 1) - 1
+        shared = often[element] > 1
+        row, element = row[shared], rank[element[shared]]
+        order = np.argsort(element, kind="stable")
+        row, element = row[order], element[order]
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        common = np.zeros((len(left), len(right)), np.float32)
+        width = 4096
+        for start in range(0, int(rank[-1]) + 1 if len(rank) else 0, width):
+            a, b = np.searchsorted(element, [start, start + width])
+            chunk = np.zeros((len(nodes), width), np.float32)
+            chunk[row[a:b], element[a:b] - start] = 1
+            common += chunk[left] @ chunk[right].T
+        linked = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
+        linked &= part[left][:, None] != part[right][None, :]
+        x, y = np.nonzero(linked)
+        x, y = left[x], right[y]
+        label = part.copy()
+        kept: list[int] = []
+        while True:
+            open_ = np.flatnonzero(label[x] != label[y])
+            if not len(open_):
+                break
+            # one link of each label; every round joins each label that still has a link to another
+            _, first = np.unique(label[x[open_]], return_index=True)
+            for k in open_[first]:
+                one, two = label[x[k]], label[y[k]]
+                if one != two:
+                    kept.append(k)
+                    label[label == max(one, two)] = min(one, two)
+        return pa.table({"a": pa.array([min(nodes[x[k]], nodes[y[k]]) for k in kept], pa.binary()), "b": pa.array([max(nodes[x[k]], nodes[y[k]]) for k in kept], pa.binary())})
+
+    return run
+
+
+def compare_clusters(members: DataFrame, docs: DataFrame, id_column: str, text: str, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each cluster, stored."""
+    sets = _sets(docs, id_column, text, members, width)
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    full = members.join(sets, "node").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    full = full.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block", "set")
+    return materialise(full.groupBy("cluster", "i", "j").applyInArrow(_compare_blocks(percent), "a binary, b binary"), "cluster-links")
+
+
+def group_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, cluster_most: int = CLUSTER_MOST,
+) -> DataFrame:
     """One row per document: id, `n_shingles`, `component_id`, `kept`."""
     ship_package(docs.sparkSession)
     rows = materialise(sketches(docs, id_column, text, width), "shingle-sketches")
@@ -269,8 +349,11 @@ def group_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     pairs = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = verify(pairs, classes, docs, id_column, text, width, percent)
     found = components(links)
+    clustered, buckets = _open_clusters(buckets, found, classes, cluster_most)
+    links = links.unionByName(compare_clusters(clustered, docs, id_column, text, width, percent))
+    found = components(links)
     start, end = 0, LEADERS
-    while True:
+    while not buckets.isEmpty():
         buckets, pairs = _open_pairs(buckets, found, start, end)
         if buckets.isEmpty():
             break
