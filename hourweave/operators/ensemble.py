@@ -97,7 +97,10 @@ def ensemble_predict(
     if weights is None:
         weighted = predictions.withColumn("weight", F.lit(1.0))
     else:
-        weighted = predictions.join(weights.select("model", "weight"), "model")
+        # one entry for each model, so the predictions are not dealt by their few model names
+        of_model = weights.agg(F.map_from_entries(F.collect_list(F.struct("model", "weight"))).alias("m"))
+        weighted = attach_row(predictions, of_model, "_weights").withColumn("weight", F.col("_weights.m")[F.col("model")]).drop("_weights")
+        weighted = weighted.filter(F.col("weight").isNotNull())
     return weighted.filter(F.col("prediction").isNotNull()).groupBy(*keys, *keep).agg(
         F.max("y").alias("y"),
         F.try_divide(F.sum(F.col("weight") * F.col("prediction")), F.sum("weight")).alias("prediction"),

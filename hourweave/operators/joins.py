@@ -33,16 +33,28 @@ def within(df: DataFrame, span: HourRange | None, ts: str = HOUR) -> DataFrame:
 def outer_join(frames: Sequence[DataFrame], on: Sequence[str] = (HOUR, KEY)) -> DataFrame:
     """Full outer join of several feeds on the grain; rows with a null key part are dropped first.
 
-    All joins use the same keys, so each feed is shuffled once.
+    More than two feeds that have unique keys can be stacked and grouped instead, with one shuffle (`stack_join`).
     """
     return reduce(lambda a, b: a.join(b, list(on), "full"), [f.dropna(subset=list(on)) for f in frames])
 
 
+def stack_join(frames: Sequence[DataFrame], on: Sequence[str] = (HOUR, KEY)) -> DataFrame:
+    """Full outer join of feeds in one shuffle: rows are stacked, the other feeds' columns null, and grouped by key.
+
+    A key that a feed repeats is reduced to one row, the smallest value of each column. Rows with a null key part are dropped.
+    """
+    frames = [f.dropna(subset=list(on)) for f in frames]
+    rest = [[c for c in f.columns if c not in on] for f in frames]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.groupBy(*on).agg(*[F.min(c).alias(c) for columns in rest for c in columns])
+
+
 def join_hourly(panel: DataFrame, tables: Sequence[DataFrame], span: HourRange | None = None, ts: str = HOUR) -> DataFrame:
     """Left join of hour-grain tables onto the panel.
 
-    The tables are joined to each other first (one row per hour), so the panel is joined
-    once however many there are. A column name two tables share is an error.
+    The tables are reduced to one row per hour together, in one shuffle, so the panel is joined
+    once however many there are and never multiplied; a repeated hour keeps the smallest value of
+    each column. A column name two tables share is an error.
     """
     tables = list(tables)
     if not tables:
@@ -53,7 +65,7 @@ def join_hourly(panel: DataFrame, tables: Sequence[DataFrame], span: HourRange |
         if seen & names:
             raise ValueError(f"ambiguous columns: {', '.join(sorted(seen & names))}")
         seen |= names
-    hourly = outer_join([within(t, span, ts) for t in tables], on=[ts])
+    hourly = stack_join([within(t, span, ts) for t in tables], on=[ts])
     if span is not None and (span[1] - span[0]).total_seconds() / 3600 <= MAX_BROADCAST_HOURS:
         hourly = F.broadcast(hourly)
     return panel.join(hourly, ts, "left")

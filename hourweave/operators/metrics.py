@@ -48,16 +48,16 @@ def confusion_counts(df: DataFrame, y: str = "y", pred: str = "prediction", by:
     )
 
 
-def confusion_matrix(df: DataFrame, labels: int = 4, y: str = "y", pred: str = "prediction") -> DataFrame:
-    """All labels x labels cells, 0 where a pair does not occur."""
-    counts = confusion_counts(df, y, pred)
-    cells = df.sparkSession.range(labels * labels).select(
-        F.floor(F.col("id") / labels).cast("int").alias("actual"),
-        (F.col("id") % labels).cast("int").alias("predicted"),
-    )
-    return cells.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
-    )
+def confusion_matrix(df: DataFrame, labels: int = 4, y: str = "y", pred: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """All labels x labels cells per group, 0 where a pair does not occur."""
+    counts = confusion_counts(df, y, pred, by)
+    pairs = [(a, p) for a in range(labels) for p in range(labels)]
+    # one row per group with its cells side by side, then the cells as rows
+    cells = [F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n_rows"))).alias(f"_{a}_{p}") for a, p in pairs]
+    wide = counts.groupBy(*by).agg(*cells)
+    return wide.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.coalesce(F.col(f"_{a}_{p}"), F.lit(0)).alias("n_rows")) for a, p in pairs
+    ])))
 
 
 def class_report(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

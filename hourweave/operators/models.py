@@ -12,7 +12,8 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +22,21 @@ from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.prep import train_rows
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.operators.windows import lag_features
+from hourweave.session import materialise
 
 Z95 = 1.959964
 
 
-def gbt(label: str = SPREAD, rounds: int = 1000, depth: int = 6, step: float = 0.05, seed: int = 42) -> GBTRegressor:
-    """Boosted trees that stop when the validation rows no longer improve."""
+PATIENCE = 50
+
+
+def gbt(
+    label: str = SPREAD, rounds: int = 1000, depth: int = 6, step: float = 0.05, min_leaf: int = 20, share: float = 0.8, seed: int = 42,
+) -> GBTRegressor:
+    """Boosted trees; `fit` stops them by the validation rows."""
     return GBTRegressor(
-        labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=step,
-        subsamplingRate=0.8, validationIndicatorCol="is_val", seed=seed,
+        labelCol=label, featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=step, minInstancesPerNode=min_leaf,
+        subsamplingRate=0.8, featureSubsetStrategy=str(share), seed=seed,
     )
 
 
@@ -40,13 +47,16 @@ def random_forest(label: str = SPREAD, trees: int = 200, depth: int = 20, min_le
     )
 
 
-def linear_models(label: str = SPREAD) -> dict[str, LinearRegression]:
-    """Ridge, lasso, elastic net and Huber regression."""
-    base = {"labelCol": label, "featuresCol": "features"}
+def linear_models(n_rows: int, label: str = SPREAD) -> dict[str, LinearRegression]:
+    """Ridge, lasso, elastic net and Huber regression with penalties of 1 on the weights as they are.
+
+    The ridge penalty is meant against the sum of squares of `n_rows` training rows, MLlib's against their mean.
+    """
+    base = {"labelCol": label, "featuresCol": "features", "standardization": False}
     return {
-        "ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0, **base),
-        "lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, **base),
-        "elastic_net": LinearRegression(regParam=0.1, elasticNetParam=0.5, **base),
+        "ridge": LinearRegression(regParam=1.0 / max(1, n_rows), elasticNetParam=0.0, **base),
+        "lasso": LinearRegression(regParam=1.0, elasticNetParam=1.0, **base),
+        "elastic_net": LinearRegression(regParam=1.0, elasticNetParam=0.5, **base),
         "huber": LinearRegression(loss="huber", epsilon=1.35, maxIter=100, **base),
     }
 
@@ -59,12 +69,43 @@ def regime_classifier(kind: str = "forest", trees: int = 100, depth: int = 10, s
 
 
 def fit(data: DataFrame, features: Sequence[str], estimator: Estimator) -> PipelineModel:
-    """Fit on the training rows, plus the validation rows where the estimator watches them."""
-    watches = estimator.hasParam("validationIndicatorCol") and estimator.isDefined("validationIndicatorCol")
-    rows = data.filter(F.col("split").isin("train", "val")) if watches else train_rows(data)
-    rows = rows.withColumn("is_val", F.col("split") == "val")
+    """Fit on the training rows; the number of boosting rounds is chosen on the validation rows."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[assemble, estimator]).fit(rows)
+    if isinstance(estimator, GBTRegressor):
+        return PipelineModel(stages=[assemble, fit_boosted(assemble.transform(data), estimator)])
+    return Pipeline(stages=[assemble, estimator]).fit(train_rows(data))
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The 1-based round with the least loss before `patience` rounds bring no less, and whether it came to that."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_boosted(data: DataFrame, estimator: GBTRegressor, patience: int = PATIENCE) -> GBTRegressionModel:
+    """Boosting up to the best round on the validation rows.
+
+    Rounds are fitted in doubling numbers until the best one lies `patience` rounds back, then those beyond it are
+    left out by a fit to that round: with one seed, fewer rounds give the same first trees. Without validation rows all
+    rounds are fitted.
+    """
+    train, val = train_rows(data), data.filter(F.col("split") == "val")
+    most = estimator.getMaxIter()
+    if val.isEmpty():
+        return estimator.fit(train)
+    tried = min(most, 2 * patience)
+    while True:
+        model = estimator.copy({estimator.maxIter: tried}).fit(train)
+        best, stopped = best_round(model.evaluateEachIteration(val, "squared"), patience)
+        if stopped or tried == most:
+            break
+        tried = min(most, 2 * tried)
+    return model if best == tried else estimator.copy({estimator.maxIter: best}).fit(train)
 
 
 def predict(model: PipelineModel, data: DataFrame, name: str, label: str = SPREAD, keys: Sequence[str] = (HOUR, KEY)) -> DataFrame:
@@ -75,12 +116,15 @@ def predict(model: PipelineModel, data: DataFrame, name: str, label: str = SPREA
 
 
 def sweep(data: DataFrame, features: Sequence[str], specs: dict[str, Estimator], label: str = SPREAD) -> tuple[DataFrame, dict[str, str]]:
-    """Fit every model and stack their predictions; models that fail are reported, not raised."""
+    """Fit every model and stack their predictions, with the reasons of those that cannot be fitted.
+
+    Only wrong parameters or columns count as such; a failed job, as after lost executors, is raised.
+    """
     frames, failures = [], {}
     for name, estimator in specs.items():
         try:
             frames.append(predict(fit(data, features, estimator), data, name, label))
-        except Exception as error:  # a model that cannot be fitted must not end the sweep
+        except (IllegalArgumentException, AnalysisException) as error:
             failures[name] = str(error).splitlines()[0]
     if not frames:
         raise RuntimeError(f"no model could be fitted: {failures}")
@@ -122,7 +166,8 @@ def naive_predictions(data: DataFrame, y: str = SPREAD, ts: str = HOUR, key: str
     Rows without a prediction (the first of an entity) are left out.
     """
     lagged = lag_features(data.select(ts, key, "split", y), y, (1, 24), key, ts)
-    means = train_rows(data).groupBy(key).agg(F.avg(y).alias("_mean"))
+    # stored first: its size, not a guess, decides whether the panel is shuffled for it
+    means = materialise(train_rows(data).groupBy(key).agg(F.avg(y).alias("_mean")), "means")
     wide = lagged.join(means, key, "left")
     return wide.select(
         ts, key, "split",
@@ -136,7 +181,7 @@ def naive_predictions(data: DataFrame, y: str = SPREAD, ts: str = HOUR, key: str
 def group_mean_predictions(data: DataFrame, label: str, by: Sequence[str], out: str) -> DataFrame:
     """Training mean per group, the overall training mean where a group has no training rows."""
     train = train_rows(data)
-    means = train.groupBy(*by).agg(F.avg(label).alias("_group"))
+    means = materialise(train.groupBy(*by).agg(F.avg(label).alias("_group")), "means")
     overall = train.agg(F.avg(label).alias("m")).scalar()
     return data.join(means, list(by), "left").withColumn(out, F.coalesce("_group", overall)).drop("_group")
 
@@ -164,16 +209,21 @@ QUANTILES = {0.1: "p10", 0.5: "p50", 0.9: "p90"}
 
 def quantile_by_group(data: DataFrame, y: str = SPREAD, by: Sequence[str] = (KEY,)) -> DataFrame:
     """p10, p50 and p90 of the training rows of each group, attached to all rows."""
-    fitted = quantile_columns(exact_quantiles(train_rows(data), [y], list(QUANTILES), by), QUANTILES, by)
+    fitted = materialise(quantile_columns(exact_quantiles(train_rows(data), [y], list(QUANTILES), by), QUANTILES, by), "quantiles")
     return data.join(fitted, list(by), "left")
 
 
-def conformal_interval(predictions: DataFrame) -> DataFrame:
+def conformal_interval(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Shift each prediction by the quantiles of the validation residuals.
 
-    Takes and keeps (.., split, y, prediction); split-conformal in the sense of Lei et al. 2018.
+    Takes and keeps (.., split, y, prediction); split-conformal in the sense of Lei et al. 2018. With `by`, each group,
+    as a model, has residuals of its own.
     """
-    residuals = predictions.filter(F.col("split") == "val").select((F.col("y") - F.col("prediction")).alias("residual"))
+    residuals = predictions.filter(F.col("split") == "val").select(*by, (F.col("y") - F.col("prediction")).alias("residual"))
+    if by:
+        cuts = materialise(quantile_columns(exact_quantiles(residuals, ["residual"], list(QUANTILES), by), QUANTILES, by), "residual-cuts")
+        return predictions.join(cuts.withColumnsRenamed({q: f"_{q}" for q in QUANTILES.values()}), list(by), "left").withColumns(
+            {q: F.col("prediction") + F.col(f"_{q}") for q in QUANTILES.values()}).drop(*[f"_{q}" for q in QUANTILES.values()])
     cuts = quantile_columns(exact_quantiles(residuals, ["residual"], list(QUANTILES)), QUANTILES, ["column"])
     shifted = {name: F.col("prediction") + F.col(f"_q.{name}") for name in QUANTILES.values()}
     return attach_row(predictions, cuts, "_q").withColumns(shifted).drop("_q")
@@ -181,7 +231,7 @@ def conformal_interval(predictions: DataFrame) -> DataFrame:
 
 def normal_interval(data: DataFrame, y: str = SPREAD, by: Sequence[str] = (KEY,)) -> DataFrame:
     """Training mean of the group with a 95% normal interval around it."""
-    fitted = train_rows(data).groupBy(*by).agg(F.avg(y).alias("prediction"), F.stddev_samp(y).alias("_std"))
+    fitted = materialise(train_rows(data).groupBy(*by).agg(F.avg(y).alias("prediction"), F.stddev_samp(y).alias("_std")), "intervals")
     return (
         data.join(fitted, list(by), "left")
         .withColumns({"lower": F.col("prediction") - Z95 * F.col("_std"), "upper": F.col("prediction") + Z95 * F.col("_std")})

@@ -34,31 +34,27 @@ class Roles:
 def feature_roles(df: DataFrame, exclude: Sequence[str] = (HOUR, SPREAD, DAM, RTM, "split")) -> Roles:
     """Strings are categorical, everything else continuous.
 
-    Numeric columns with a known categorical name are counted, in one pass, only if there are any.
+    Numeric columns with a known categorical name are categorical below `CATEGORICAL_BELOW` distinct values, counted
+    exactly up to that number.
     """
     out = {c.lower() for c in exclude}
     fields = [f for f in df.schema.fields if f.name.lower() not in out]
     strings = {f.name for f in fields if isinstance(f.dataType, T.StringType)}
     doubtful = [f.name for f in fields if f.name not in strings and f.name.lower() in CATEGORICAL_NAMES]
-    low = set()
-    if doubtful:
-        counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in doubtful]).first()
-        low = {c for c in doubtful if counts[c] < CATEGORICAL_BELOW}
+    low = {c for c in doubtful if df.select(c).dropna().distinct().limit(CATEGORICAL_BELOW).count() < CATEGORICAL_BELOW}
     categorical = tuple(f.name for f in fields if f.name in strings | low)
     return Roles(categorical, tuple(f.name for f in fields if f.name not in strings | low))
 
 
 def infer_target(columns: Sequence[str]) -> str:
-    """The column to predict, judged by name: the spread first, then anything called target or label."""
-    lowered = {c.lower(): c for c in columns}
-    for exact in ("dart", "dart_spread", "target", "label", "y"):
-        if exact in lowered:
-            return lowered[exact]
-    for part in ("dart", "spread", "target"):
-        for name in columns:
-            if part in name.lower():
-                return name
-    raise ValueError("no target column recognised")
+    """The price to predict, judged by name: `target_price`, else the first LMP column that is called a price, else the first LMP column."""
+    if "target_price" in columns:
+        return "target_price"
+    lmp = [c for c in columns if "lmp" in c.lower()]
+    called = [c for c in lmp if any(part in c.lower() for part in ("price", "spp"))]
+    if not lmp:
+        raise ValueError("no target column recognised")
+    return (called or lmp)[0]
 
 
 def numeric_features(df: DataFrame, target: str) -> list[str]:

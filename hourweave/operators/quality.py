@@ -92,22 +92,17 @@ def validation_report(df: DataFrame, grain: Sequence[str] = (HOUR, KEY), dam: st
     """Rows (check, value, status) for the seven checks.
 
     1 rows, 2 required columns, 3 time gaps and duplicates, 4 null columns, 5 spread, 6 numeric
-    columns, 7 entities. One wide aggregate feeds all but the gap and duplicate rows.
+    columns, 7 entities. One wide aggregate feeds all but the gap and duplicate rows. Absent
+    columns fail the second check; checks that need them are left out, all others are made.
     """
     ts, key = grain
     lacking = [c for c in (*grain, dam, rtm) if not present(df, [c])]
-    if lacking:
-        missing = ", ".join(lacking)
-        return df.sparkSession.range(1).select(
-            F.lit("required_columns").alias("check"), F.lit(float(len(lacking))).alias("value"),
-            F.lit(f"fail: {missing}").alias("status"),
-        )
     columns = df.columns
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     wide = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct(key).alias("entities"),
-        F.count(F.col(dam) - F.col(rtm)).alias("spread"),
+        *([F.count_distinct(key).alias("entities")] if key not in lacking else []),
+        *([F.count(F.col(dam) - F.col(rtm)).alias("spread")] if not {dam, rtm} & set(lacking) else []),
         *[F.count(c).alias(f"_{i}") for i, c in enumerate(columns)],
     )
     n = F.col("n")
@@ -122,20 +117,23 @@ def validation_report(df: DataFrame, grain: Sequence[str] = (HOUR, KEY), dam: st
     mostly = sum((F.when(F.col(f"_{i}") * 2 < n, 1).otherwise(0) for i in range(len(columns))), F.lit(0))
     base = wide.select(F.inline(F.array(
         row("rows", n, passed(n > 0)),
-        row("required_columns", F.lit(0), F.lit("pass")),
+        row("required_columns", F.lit(len(lacking)), F.lit(f"fail: {', '.join(lacking)}" if lacking else "pass")),
         row("null_columns", some_null, F.lit("info")),
         row("mostly_null_columns", mostly, passed(mostly == 0, "warn")),
-        row("spread_rows", F.col("spread"), F.when(F.col("spread") == 0, "fail").when(F.col("spread") * 2 < n, "warn").otherwise("pass")),
+        *([row("spread_rows", F.col("spread"), F.when(F.col("spread") == 0, "fail").when(F.col("spread") * 2 < n, "warn").otherwise("pass"))]
+          if not {dam, rtm} & set(lacking) else []),
         row("numeric_columns", F.lit(len(numeric)), F.lit("info")),
-        row("entities", F.col("entities"), F.lit("info")),
+        *([row("entities", F.col("entities"), F.lit("info"))] if key not in lacking else []),
     )))
+    if ts in lacking:
+        return base
     gaps = time_gap_summary(time_gaps(global_hours(df, ts), key=[], ts=ts)).select(F.inline(F.array(
         row("time_gaps", F.col("longer_gaps"), passed(F.col("longer_gaps") <= 100, "warn")),
     )))
-    copies = duplicate_keys(df, grain).select(F.inline(F.array(
+    copies = None if key in lacking else duplicate_keys(df, grain).select(F.inline(F.array(
         row("duplicates", F.col("duplicates"), passed(F.col("duplicates") == 0)),
     )))
-    return base.unionByName(gaps).unionByName(copies)
+    return base.unionByName(gaps).unionByName(copies) if copies is not None else base.unionByName(gaps)
 
 
 def drift_psi(train: DataFrame, test: DataFrame, column: str, bins: int = 10, floor: float = 1e-6) -> DataFrame:

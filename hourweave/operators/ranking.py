@@ -26,7 +26,7 @@ def cut_points(
     Each cut maps the row count to the number of rows on the left; a cut of 0 gives NULL.
     Also holds t0, t1, ...: how many rows equal to that tuple belong on the left.
 
-    The running sum runs over one row per bucket, so `bucket` must have a bounded number
+    Rows whose bucket is null come last. The running sum runs over one row per bucket, so `bucket` must have a bounded number
     of values: hours of the history, or the values of a short hash prefix. A bucket with a
     large part of all rows is narrowed `levels` times by binning the order columns, so that
     only the tuples of one small bin are ranked.
@@ -43,8 +43,8 @@ def cut_points(
     bounds = [f"_{n}{i}" for i in every for n in ("lo", "hi")]
 
     counts = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"), *extent)
-    whole = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    so_far = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.orderBy(F.col("_b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = Window.orderBy(F.col("_b").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = F.array(*[
         F.struct(F.lit(i).alias("cut"), cut(F.col("_n")).cast("long").alias("_r")) for i, cut in enumerate(cuts)
     ])
@@ -55,7 +55,7 @@ def cut_points(
 
     def inside() -> DataFrame:
         # one span per cut, so the broadcast is bounded by len(cuts)
-        joined = rows.join(F.broadcast(spans), "_b")
+        joined = rows.join(F.broadcast(spans.withColumnRenamed("_b", "_sb")), F.col("_b").eqNullSafe(F.col("_sb"))).drop("_sb")
         for i in every:
             joined = joined.filter((F.col(f"_k{i}") >= F.col(f"_lo{i}")) & (F.col(f"_k{i}") <= F.col(f"_hi{i}")))
         return joined
@@ -98,6 +98,13 @@ def _split_cuts(fractions: Sequence[float]) -> list[Cut]:
     return cuts
 
 
+def _nulls_last(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """`df` with a mark before each column for being null, the names of the marks, and the order with both."""
+    late = [f"_late{i}" for i in range(len(columns))]
+    marked = df.withColumns({n: F.col(c).isNull() for n, c in zip(late, columns)})
+    return marked, late, [x for pair in zip(late, columns) for x in pair]
+
+
 def chronological_split(
     df: DataFrame,
     fractions: Sequence[float] = (0.8, 0.1),
@@ -106,19 +113,19 @@ def chronological_split(
     tie_break: Sequence[str] = (KEY,),
     out: str = "split",
 ) -> DataFrame:
-    """Label rows by position in time: first floor(0.8 n) train, next floor(0.1 n) val, rest test.
+    """Label rows by position in time, null times last: first floor(0.8 n) train, next floor(0.1 n) val, rest test.
 
     (ts, *tie_break) must be unique for exact sizes, which `quality.duplicate_keys` checks;
     `chronological_split_copies` handles tables with repeated rows. No row is moved: each is
     compared with two cut tuples, which arrive as one scalar subquery.
     """
-    order = [ts, *tie_break]
-    cuts = cut_points(df, floor_hour(ts), order, _split_cuts(fractions))
+    marked, late, order = _nulls_last(df, [ts, *tie_break])
+    cuts = cut_points(marked, floor_hour(ts), order, _split_cuts(fractions))
     here = F.struct(*order)
     label = F.lit(names[-1])
     for i in reversed(range(len(fractions))):
         label = F.when(here <= F.col(f"_edge.c{i}"), F.lit(names[i])).otherwise(label)
-    return attach_row(df, cuts, "_edge").withColumn(out, label).drop("_edge")
+    return attach_row(marked, cuts, "_edge").withColumn(out, label).drop("_edge", *late)
 
 
 def chronological_split_copies(
@@ -135,11 +142,11 @@ def chronological_split_copies(
     collapsed to (row, count) before the shuffle and dealt out by count afterwards.
     """
     rest = [c for c in df.columns if c not in (ts, *tie_break)]
-    order = [ts, *tie_break, *rest]
+    marked, late, order = _nulls_last(df, [ts, *tie_break, *rest])
     k = len(fractions)
-    cuts = cut_points(df, floor_hour(ts), order, _split_cuts(fractions))
+    cuts = cut_points(marked, floor_hour(ts), order, _split_cuts(fractions))
     edge = F.col("_edge")
-    edged = attach_row(df, cuts, "_edge")
+    edged = attach_row(marked, cuts, "_edge")
     here = F.struct(*order)
     at_edge = F.coalesce(
         *[F.when(here.eqNullSafe(edge[f"c{i}"]), F.lit(True)) for i in range(k)], F.lit(False)
@@ -147,11 +154,11 @@ def chronological_split_copies(
     label = F.lit(names[-1])
     for i in reversed(range(k)):
         label = F.when(here <= edge[f"c{i}"], F.lit(names[i])).otherwise(label)
-    clear = edged.filter(~at_edge).withColumn(out, label).drop("_edge")
+    clear = edged.filter(~at_edge).withColumn(out, label).drop("_edge", *late)
 
     # copies of a cut tuple: the first t_i of them are left of cut i
     tied = attach_row(
-        edged.filter(at_edge).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")), cuts, "_edge"
+        edged.filter(at_edge).groupBy(*marked.columns).agg(F.count(F.lit(1)).alias("_n")), cuts, "_edge"
     )
     start = F.lit(0).cast("long")
     shares = []
@@ -191,7 +198,9 @@ def hash_sample(df: DataFrame, n: int, keys: Sequence[str], prefix: int = 4) ->
     The n-th smallest hash is located through the counts per hash prefix (16**prefix of
     them), so the rows pass through as a filter instead of a sort. `keys` must be unique.
     """
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    # each part with its length, so that a missing part cannot be taken for another's
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    text = F.concat_ws("|", *parts) if len(keys) > 1 else F.coalesce(F.col(keys[0]).cast("string"), F.lit(""))
     hashed = df.withColumn("_h", F.md5(text))
     size = F.lit(n)
     cuts = cut_points(hashed, F.substring("_h", 1, prefix), ["_h"], [lambda total: F.least(total, size)])

@@ -30,16 +30,25 @@ def lag_features_calendar(
     """The value n hours earlier in the same entity, null if that hour is absent.
 
     Each row is sent to the hours that look back at it and grouped there: one shuffle for
-    any number of lags. (key, ts) must be unique. `step` replaces the hour as unit.
+    any number of lags. Only copies with offset 0 carry the whole row. Rows that repeat (key, ts)
+    all stay and get the same lags; a lag that meets several values takes the largest. Rows with
+    a null key part have none. `step` replaces the hour as unit.
     """
-    rest = [c for c in df.columns if c not in (key, ts)]
     unit = step if step is not None else hours(1)
-    sends = F.array(F.lit(0), *[F.lit(n) for n in lags])
-    sent = df.select("*", F.explode(sends).alias("_n")).withColumn(ts, F.col(ts) + unit * F.col("_n"))
-    own = [F.max(F.when(F.col("_n") == 0, F.col(c))).alias(c) for c in rest]
-    back = [F.max(F.when(F.col("_n") == n, F.col(value))).alias(f"{value}_lag_{n}h") for n in lags]
-    grouped = sent.groupBy(key, ts).agg(*own, *back, F.max(F.col("_n") == 0).alias("_here"))
-    return grouped.filter("_here").select(*df.columns, *[f"{value}_lag_{n}h" for n in lags])
+    whole = F.struct(*df.columns)
+    kind = df.select(whole.alias("r")).schema["r"].dataType
+    sends = F.array(
+        F.struct(F.lit(0).alias("_n"), whole.alias("_row"), F.lit(None).cast(df.schema[value].dataType).alias("_v")),
+        *[F.struct(F.lit(n).alias("_n"), F.lit(None).cast(kind).alias("_row"), F.col(value).alias("_v")) for n in lags],
+    )
+    sent = df.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.inline(sends)).withColumn("_t", F.col("_t") + unit * F.col("_n"))
+    back = [F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(f"{value}_lag_{n}h") for n in lags]
+    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+    # collect_list skips the nulls of the copies that carry no row
+    grouped = sent.filter(known).groupBy("_k", "_t").agg(F.collect_list("_row").alias("_rows"), *back)
+    found = grouped.select(F.explode("_rows").alias("_r"), *[f"{value}_lag_{n}h" for n in lags]).select("_r.*", *[f"{value}_lag_{n}h" for n in lags])
+    lost = df.filter(F.col(key).isNull() | F.col(ts).isNull())
+    return found.unionByName(lost, allowMissingColumns=True)
 
 
 def rolling_stats(

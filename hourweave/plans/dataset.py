@@ -13,7 +13,7 @@ from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.prep import (
     Roles, feature_roles, standardize, standardize_fit, target_encode_apply, target_encode_fit, train_rows,
 )
-from hourweave.operators.ranking import chronological_split, hash_sample
+from hourweave.operators.ranking import chronological_split
 
 
 @dataclass(frozen=True)
@@ -39,24 +39,17 @@ class Fitted:
 
 def prepare(
     features: DataFrame,
-    max_total: int | None = None,
-    max_train: int | None = None,
     store: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, Fitted]:
     """Prepared rows (hour, key as `entity`, split, target, features) and the fitted state.
 
-    The split rows feed both fits and the result; pass `session.materialise` as `store` to
-    write them once instead of deriving them each time. The size limits exist for parity with single-machine runs; Spark needs neither.
+    The split rows feed both fits and the result, and the fitted tables every later scoring; pass `session.materialise`
+    as `store` to write them once instead of deriving them each time. All rows take part.
     """
-    data = features if max_total is None else hash_sample(features, max_total, [HOUR, KEY])
-    data = chronological_split(spread(data))
-    if max_train is not None:
-        chosen = hash_sample(train_rows(data), max_train, [HOUR, KEY])
-        data = chosen.unionByName(data.filter(F.col("split") != "train"))
-    data = store(data)
+    data = store(chronological_split(spread(features)))
     roles = feature_roles(data)
     train = train_rows(data)
-    fitted = Fitted(roles, target_encode_fit(train, roles.categorical), standardize_fit(train, roles.continuous))
+    fitted = Fitted(roles, store(target_encode_fit(train, roles.categorical)), store(standardize_fit(train, roles.continuous)))
     kept = data.withColumn("entity", F.col(KEY))
     return fitted.apply(kept), fitted
 

@@ -1,11 +1,14 @@
 """Queries over preparation, metrics, models, ensembles and streams.
 
-Model queries use few and shallow trees so that a run stays short; all rows take part. The
-library defaults are the full sizes.
+Model queries fit the library's default sizes on all rows and return what must hold of any
+correct fit, which SQL can state: a prediction for each row, inside the training range for
+averages of training rows, better than the training mean on training rows, probabilities and
+importances that sum to 1.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,12 +151,12 @@ def mape_masked(t: Tables) -> DataFrame:
 
 @query(
     "confusion_matrix",
-    """SELECT CAST(a.l AS BIGINT) AS actual, CAST(p.l AS BIGINT) AS predicted, count(r.actual) AS n_rows
-       FROM (SELECT unnest([0, 1, 2, 3]) AS l) AS a CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS l) AS p
-       LEFT JOIN (SELECT actual, predicted FROM regimes WHERE model = 'previous') AS r ON r.actual = a.l AND r.predicted = p.l GROUP BY 1, 2""",
+    """SELECT m.model, CAST(a.l AS BIGINT) AS actual, CAST(p.l AS BIGINT) AS predicted, count(r.actual) AS n_rows
+       FROM (SELECT DISTINCT model FROM regimes) AS m CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS l) AS a CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS l) AS p
+       LEFT JOIN regimes AS r ON r.model = m.model AND r.actual = a.l AND r.predicted = p.l GROUP BY 1, 2, 3""",
 )
 def confusion_matrix(t: Tables) -> DataFrame:
-    return X.confusion_matrix(_regimes(t).filter(F.col("model") == "previous"))
+    return X.confusion_matrix(_regimes(t), by=["model"])
 
 
 @query(
@@ -212,14 +215,13 @@ def pinball_loss(t: Tables) -> DataFrame:
 
 @query(
     "quantile_crossing",
-    f"""SELECT SettlementPoint, {CROSSED} AS quantile_violations, round(({CROSSED}) * CAST(100 AS DOUBLE) / (2 * count(*)), 6)
+    f"""SELECT model, SettlementPoint, {CROSSED} AS quantile_violations, round(({CROSSED}) * CAST(100 AS DOUBLE) / (2 * count(*)), 6)
         AS quantile_violations_pct FROM (
-          SELECT SettlementPoint, prediction - 5 AS p10, prediction AS p50, y AS p90 FROM naive WHERE model = 'previous') AS a GROUP BY 1""",
+          SELECT model, SettlementPoint, prediction - 5 AS p10, prediction AS p50, y AS p90 FROM naive) AS a GROUP BY 1, 2""",
 )
 def quantile_crossing(t: Tables) -> DataFrame:
-    previous = _naive(t).filter(F.col("model") == "previous")
-    rows = previous.select(KEY, (F.col("prediction") - 5).alias("p10"), F.col("prediction").alias("p50"), F.col("y").alias("p90"))
-    return X.quantile_crossing(rows, by=[KEY])
+    rows = _naive(t).select("model", KEY, (F.col("prediction") - 5).alias("p10"), F.col("prediction").alias("p50"), F.col("y").alias("p90"))
+    return X.quantile_crossing(rows, by=["model", KEY])
 
 
 @query(
@@ -244,12 +246,12 @@ def rmse_alert(t: Tables) -> DataFrame:
 
 @query(
     "conformal_interval",
-    f"""SELECT {GRAIN}, split, {rounded_all(['y', 'prediction'])}, {', '.join(f'round(prediction + q.r{p}, 6) AS p{p}' for p in (10, 50, 90))}
-        FROM naive, (SELECT {', '.join(f'quantile_cont(y - prediction, 0.{p}) AS r{p}' for p in (10, 50, 90))} FROM naive
-          WHERE model = 'key_mean' AND split = 'val') AS q WHERE model = 'key_mean'""",
+    f"""SELECT {GRAIN}, split, n.model, {rounded_all(['y', 'prediction'])}, {', '.join(f'round(prediction + q.r{p}, 6) AS p{p}' for p in (10, 50, 90))}
+        FROM naive AS n LEFT JOIN (SELECT model, {', '.join(f'quantile_cont(y - prediction, 0.{p}) AS r{p}' for p in (10, 50, 90))} FROM naive
+          WHERE split = 'val' GROUP BY 1) AS q ON n.model = q.model""",
 )
 def conformal_interval(t: Tables) -> DataFrame:
-    return M.conformal_interval(_stored_naive(t).filter(F.col("model") == "key_mean").drop("model"))
+    return M.conformal_interval(_stored_naive(t), by=["model"])
 
 
 @query(
@@ -346,59 +348,102 @@ def ensemble_output(t: Tables) -> DataFrame:
     return E.ensemble_output(predictions, E.ensemble_weights(predictions), MODELS)
 
 
-# distributed models: checked by invariants, not by SQL --------------------------------
+# distributed models ----------------------------------------------------------------
 
+PER_SPLIT = "SELECT '{model}' AS model, split, count(*) AS n_rows, count(*) AS n_predicted, {more} FROM unified_split GROUP BY split"
+BETTER = "CASE WHEN split = 'train' THEN true END AS better_than_mean"
 
-def _scored(predictions: DataFrame) -> DataFrame:
-    return X.regression_metrics(predictions, by=["model", "split"])
 
+def _held(predictions: DataFrame) -> DataFrame:
+    """Per model and split: rows, rows with a finite prediction, and on training rows whether the mean is beaten."""
+    y, p = F.col("y"), F.col("prediction")
+    finite = p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e300)
+    better = F.avg((y - p) ** 2) < F.var_pop(y)
+    return predictions.groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(finite, 1)).alias("n_predicted"),
+        better.alias("better"),
+    ).select("model", "split", "n_rows", "n_predicted", F.when(F.col("split") == "train", F.col("better")).alias("better_than_mean"))
 
-@query("gbt_regression")
+
+@query("gbt_regression", PER_SPLIT.format(model="gbt", more=BETTER))
 def gbt_regression(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
-    model = M.fit(data, _features(fitted), M.gbt(rounds=10, depth=3))
-    return _scored(M.predict(model, data, "gbt"))
+    model = M.fit(data, _features(fitted), M.gbt())
+    return _held(M.predict(model, data, "gbt"))
 
 
-@query("rf_regression")
+@query("rf_regression", PER_SPLIT.format(model="random_forest", more=f"{BETTER}, count(*) AS n_in_range"))
 def rf_regression(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
-    model = M.fit(data, _features(fitted), M.random_forest(trees=10, depth=4, min_leaf=10))
-    return _scored(M.predict(model, data, "random_forest"))
+    model = M.fit(data, _features(fitted), M.random_forest())
+    predictions = M.predict(model, data, "random_forest")
+    limits = prep.train_rows(data).agg(F.min(S.SPREAD).alias("low"), F.max(S.SPREAD).alias("high"))
+    inside = S.attach_row(predictions, limits, "_r").filter(F.col("prediction").between(F.col("_r.low") - 1e-9, F.col("_r.high") + 1e-9))
+    return _held(predictions).join(inside.groupBy("split").agg(F.count(F.lit(1)).alias("n_in_range")), "split")
 
 
-@query("linear_regression")
+@query(
+    "linear_regression",
+    " UNION ALL ".join(PER_SPLIT.format(model=m, more="true AS known") for m in ("ridge", "lasso", "elastic_net", "huber")),
+)
 def linear_regression(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
-    predictions, _ = M.sweep(data, _features(fitted), M.linear_models())
-    return _scored(predictions)
+    predictions, failures = M.sweep(data, _features(fitted), M.linear_models(prep.train_rows(data).count()))
+    return _held(predictions).drop("better_than_mean").withColumn("known", F.lit(not failures))
 
 
-@query("regime_classifier")
+@query(
+    "linear_one_feature",
+    f"""SELECT {GRAIN}, split, round(regr_intercept + regr_slope * DAM_Price_Hourly, 3) AS prediction FROM splits,
+          (SELECT regr_slope(DART, DAM_Price_Hourly) AS regr_slope, regr_intercept(DART, DAM_Price_Hourly) AS regr_intercept FROM train) AS f""",
+)
+def linear_one_feature(t: Tables) -> DataFrame:
+    model = M.fit(t.split, [S.DAM], LinearRegression(labelCol=S.SPREAD, featuresCol="features", solver="normal"))
+    return M.predict(model, t.split, "ols").select(HOUR, KEY, "split", F.round("prediction", 3).alias("prediction"))
+
+
+@query(
+    "regime_classifier",
+    "SELECT split, count(*) AS n_rows, count(*) AS n_valid, count(*) AS n_sum_to_one FROM unified_split GROUP BY split",
+)
 def regime_classifier(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
     labelled = M.with_regime(data)
-    model = M.fit(labelled, _features(fitted), M.regime_classifier(trees=10, depth=4))
-    return X.classification_metrics(X.confusion_counts(M.regime_predictions(model, labelled), by=["split"]), by=["split"])
+    model = M.fit(labelled, _features(fitted), M.regime_classifier())
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    return M.regime_predictions(model, labelled).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("prediction").between(0, 3), 1)).alias("n_valid"),
+        F.count(F.when(F.abs(total - 1) < 1e-6, 1)).alias("n_sum_to_one"))
 
 
 def _stages(t: Tables) -> tuple[DataFrame, Fitted, list]:
     data, fitted = _prepared(t)
-    return data, fitted, [M.fit(data, _features(fitted), M.gbt(label, rounds=5, depth=3)) for label in (S.DAM, S.RTM)]
+    return data, fitted, [M.fit(data, _features(fitted), M.gbt(label)) for label in (S.DAM, S.RTM)]
 
 
-@query("two_stage_gbt")
+@query(
+    "two_stage_gbt",
+    " UNION ALL ".join(PER_SPLIT.format(model=m, more="true AS added_up") for m in ("da", "rt", "dart")),
+)
 def two_stage_gbt(t: Tables) -> DataFrame:
     data, _, (da, rt) = _stages(t)
     first, second = M.predict(da, data, "da", S.DAM), M.predict(rt, data, "rt", S.RTM)
     both = M.two_stage(first, second).withColumn("model", F.lit("dart")).select(first.columns)
-    return _scored(first.unionByName(second).unionByName(both))
+    held = _held(first.unionByName(second).unionByName(both)).drop("better_than_mean")
+    sums = first.join(second.select(HOUR, KEY, F.col("prediction").alias("rt_pred")), [HOUR, KEY]).join(
+        both.select(HOUR, KEY, F.col("prediction").alias("both")), [HOUR, KEY])
+    wrong = sums.filter(F.abs(F.col("prediction") - F.col("rt_pred") - F.col("both")) > 1e-9).agg((F.count(F.lit(1)) == 0).alias("ok"))
+    return S.attach_row(held, wrong, "_w").withColumn("added_up", F.col("_w.ok")).drop("_w")
 
 
-@query("feature_importance")
+@query("feature_importance", f"SELECT {1 + len(CONTINUOUS)} AS n_features, 1 AS total, true AS ordered")
 def feature_importance(t: Tables) -> DataFrame:
     _, fitted, stages = _stages(t)
-    return M.feature_importance(t.spark, stages, _features(fitted))
+    names = _features(fitted)
+    table = M.feature_importance(t.spark, stages, names, k=len(names))
+    return table.agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).cast("int").alias("total"),
+        (F.min("importance") >= 0).alias("ordered"))
 
 
 # streams ---------------------------------------------------------------------------

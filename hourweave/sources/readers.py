@@ -84,21 +84,30 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return empty(spark, schema)
 
 
+#: Roles whose named feed may not be there yet.
+OPTIONAL = frozenset({"rtm_alt"})
+
+
 @dataclass(frozen=True)
 class Market:
-    """One market's feeds: role -> parquet path, catalog table, or a function that gives a DataFrame."""
+    """One market's feeds: role -> parquet path, catalog table, or a function that gives a DataFrame.
+
+    A market may do without a role. A feed that it names must exist, unless its role is in `OPTIONAL`.
+    """
 
     name: str
     feeds: Mapping[str, str | Callable[[], DataFrame]] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, role: str) -> DataFrame:
-        """The feed in `role`; a role without a feed, or whose table is absent, is empty."""
+        """The feed in `role`; a role without a feed is empty."""
         schema = FEEDS[role]
         feed = self.feeds.get(role)
         if feed is None:
             return empty(spark, schema)
         if callable(feed):
             return nan_to_null(feed())
+        if role not in OPTIONAL:
+            return read_parquet(spark, feed) if "/" in feed else nan_to_null(spark.table(feed))
         if "/" in feed:
             return read_optional(spark, feed, schema)
         return nan_to_null(spark.table(feed)) if spark.catalog.tableExists(feed) else empty(spark, schema)

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hourweave.operators import aggregates as A
@@ -96,9 +97,12 @@ def test_constraints_tolerate_absent_columns(spark, hour):
 
 def test_markets_by_name(spark, market, tmp_path):
     markets = Markets([market])
-    markets.register(Market("empty", {"rtm": str(tmp_path / "absent"), "dam": "no_such_table"}))
-    assert markets["empty"].read(spark, "rtm").schema == FEEDS["rtm"]
-    assert markets["empty"].read(spark, "dam").isEmpty()
+    markets.register(Market("empty", {"rtm_alt": str(tmp_path / "absent"), "rtm": str(tmp_path / "absent"), "dam": "no_such_table"}))
+    assert markets["empty"].read(spark, "rtm_alt").schema == FEEDS["rtm_alt"]
+    assert markets["empty"].read(spark, "wind_hourly").isEmpty()
+    for named in ("rtm", "dam"):
+        with pytest.raises(AnalysisException):
+            markets["empty"].read(spark, named)
     with pytest.raises(KeyError, match="toy"):
         markets["other"]
 
@@ -107,3 +111,11 @@ def test_requests(spark, hour):
     text = '{"data": [{"TimestampHour": "2024-01-01 00:00:00", "SettlementPoint": "hub", "x": 2.5}, {"SettlementPoint": "node"}]}'
     rows = request_rows(spark.createDataFrame([(text,)], "value string"), ["x", "y"]).collect()
     assert [tuple(r) for r in rows] == [(hour(0), "hub", 2.5, None), (None, "node", None, None)]
+
+
+def test_repeated_hours_do_not_multiply_the_panel(spark, hour):
+    panel = spark.createDataFrame([(hour(0), "a"), (hour(0), "b")], "TimestampHour timestamp_ntz, SettlementPoint string")
+    wind = spark.createDataFrame([(hour(0), 2.0), (hour(0), 1.0), (hour(0), None)], "TimestampHour timestamp_ntz, w double")
+    load = spark.createDataFrame([(hour(0), 5.0), (None, 6.0)], "TimestampHour timestamp_ntz, l double")
+    rows = J.join_hourly(panel, [wind, load]).collect()
+    assert sorted((r.SettlementPoint, r.w, r.l) for r in rows) == [("a", 1.0, 5.0), ("b", 1.0, 5.0)]

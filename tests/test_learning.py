@@ -47,7 +47,8 @@ def test_roles(spark, features):
 
 
 @pytest.mark.parametrize(
-    ("columns", "target"), [(["a", "DART"], "DART"), (["x", "My_Spread"], "My_Spread"), (["target", "dart_spread"], "dart_spread")]
+    ("columns", "target"),
+    [(["DART", "RTM_LMP_HourlyAvg"], "RTM_LMP_HourlyAvg"), (["DART", "x_lmp", "LMP_Price"], "LMP_Price"), (["LMP_SPP", "target_price"], "target_price")],
 )
 def test_target_by_name(columns, target):
     assert prep.infer_target(columns) == target
@@ -55,7 +56,7 @@ def test_target_by_name(columns, target):
 
 def test_no_target():
     with pytest.raises(ValueError):
-        prep.infer_target(["a", "b"])
+        prep.infer_target(["a", "DART"])
 
 
 def test_numeric_features_need_a_full_target(spark):
@@ -184,7 +185,8 @@ def test_quality_checks(spark, features):
     copies = features.unionByName(features.limit(3))
     report = {r.check: r.status for r in Q.validation_report(copies).collect()}
     assert report["duplicates"] == "fail" and report["spread_rows"] == "pass" and report["time_gaps"] == "pass"
-    assert Q.validation_report(features.drop("RTM_LMP_HourlyAvg")).first().status == "fail: RTM_LMP_HourlyAvg"
+    lacking = {r.check: r.status for r in Q.validation_report(features.drop("RTM_LMP_HourlyAvg")).collect()}
+    assert lacking["required_columns"] == "fail: RTM_LMP_HourlyAvg" and lacking["rows"] == "pass"
     with pytest.raises(ValueError, match="empty"):
         Q.require_columns(features.limit(0))
     with pytest.raises(ValueError, match="nope"):
@@ -199,7 +201,7 @@ def test_drift(spark):
 
 def test_models_learn_and_reload(prepared, tmp_path):
     data, _ = prepared
-    specs = {"gbt": M.gbt(rounds=8, depth=3), "broken": M.gbt(label="absent", rounds=2), "ridge": M.linear_models()["ridge"]}
+    specs = {"gbt": M.gbt(rounds=8, depth=3), "broken": M.gbt(label="absent", rounds=2), "ridge": M.linear_models(prep.train_rows(data).count())["ridge"]}
     predictions, failures = M.sweep(data, COLUMNS, specs)
     assert set(failures) == {"broken"}
     scores = {(r.model, r.split): r.r2 for r in X.regression_metrics(predictions, by=["model", "split"]).collect()}
@@ -211,6 +213,22 @@ def test_models_learn_and_reload(prepared, tmp_path):
     assert kept[0] == kept[1]
 
 
+def test_rounds_are_chosen_by_validation(prepared):
+    assert M.best_round([5, 4, 3, 3.5, 3.6], 2) == (3, True) and M.best_round([5, 4, 3], 2) == (3, False)
+    data, _ = prepared
+    model = M.fit(data, COLUMNS, M.gbt(rounds=60, depth=3, min_leaf=1)).stages[-1]
+    val = M.VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(data.filter("split = 'val'"))
+    losses = model.evaluateEachIteration(val, "squared")
+    assert len(losses) > 1 and losses[-1] == min(losses) < losses[0]
+
+
+def test_report_goes_on_without_a_column(spark, hour):
+    df = spark.createDataFrame([(hour(0), "a", 1.0), (hour(0), "a", 2.0)], "TimestampHour timestamp_ntz, SettlementPoint string, DAM_Price_Hourly double")
+    got = {r.check: (r.value, r.status) for r in Q.validation_report(df).collect()}
+    assert got["required_columns"] == (1.0, "fail: RTM_LMP_HourlyAvg")
+    assert got["rows"][0] == 2 and got["duplicates"][1] == "fail" and "time_gaps" in got and "spread_rows" not in got
+
+
 def test_regime_probabilities(prepared):
     data, _ = prepared
     labelled = M.with_regime(data)

@@ -100,6 +100,29 @@ def test_calendar_lag_sees_gaps(spark, hour):
     assert [(r.v, r.v_lag_1h, r.v_lag_2h) for r in rows] == [(1.0, None, None), (2.0, 1.0, None), (3.0, None, 2.0)]
 
 
+def test_calendar_lag_keeps_repeated_rows(spark, hour):
+    df = spark.createDataFrame([(hour(0), "a", 1.0), (hour(0), "a", 4.0), (hour(1), "a", 2.0), (hour(1), "a", 2.0), (None, "a", 9.0)], PANEL)
+    rows = W.lag_features_calendar(df, "v", (1,)).collect()
+    assert sorted((r.v, r.v_lag_1h or 0) for r in rows) == [(1.0, 0), (2.0, 4.0), (2.0, 4.0), (4.0, 0), (9.0, 0)]
+
+
+@pytest.mark.parametrize("nulls", [1, 5, 10])
+def test_split_puts_null_times_last(spark, hour, nulls):
+    df = spark.createDataFrame([(None if i < nulls else hour(i), f"k{i}", float(i)) for i in range(10)], PANEL)
+    for split in (K.chronological_split, K.chronological_split_copies):
+        rows = split(df).collect()
+        sizes = [sum(r.split == s for r in rows) for s in ("train", "val", "test")]
+        assert sizes == [8, 1, 1]
+        order = {"train": 0, "val": 1, "test": 2}
+        ranked = sorted(rows, key=lambda r: (r.TimestampHour is None, r.TimestampHour or hour(0), r.SettlementPoint))
+        assert [order[r.split] for r in ranked] == sorted(order[r.split] for r in rows)
+
+
+def test_sample_tells_missing_key_parts_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a|", ""), ("a", "|")], "x string, y string")
+    assert K.hash_sample(df, 2, ["x", "y"]).count() == 2
+
+
 def test_sequences_skip_gaps_and_nulls(spark, hour):
     present = [h for h in range(12) if h != 5]
     df = spark.createDataFrame([(hour(h), "a", None if h == 9 else float(h)) for h in present], PANEL)
