@@ -130,7 +130,7 @@ def _plan(slim: DataFrame, weights: Sequence[float], share: float, max_passes: i
 def _last_rows(dealt: DataFrame, plan: DataFrame) -> DataFrame:
     """`source, id, size` of the rows drawn from each source's last block, which holds about `block_rows` rows."""
     ends = plan.where("wanted > 0").select(F.col("source").alias("s"), "whole", "wanted")
-    inside = dealt.join(F.broadcast(ends), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("whole")))
+    inside = dealt.join(F.broadcast(ends) if plan.count() <= BROADCAST_LIMITS else ends, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("whole")))
     items = inside.groupBy("s", "wanted", "order", "id", "size").agg(F.sum("size").alias("words")).where("words > 0")
     packed = items.groupBy("s", "wanted").agg(F.sort_array(F.collect_list(F.struct((-F.col("words")).alias("minus"), "order", "id", "size"))).alias("items"))
     nothing = F.struct(F.col("wanted").alias("left"), F.array().cast(packed.schema["items"].dataType).alias("taken"))
@@ -200,11 +200,11 @@ def draw_mix(
     slim = materialise(docs.select(text_id.alias("id"), text_source.alias("source"), size.cast("long").alias("size"), order.alias("order")), "mix-rows")
     plan, dealt = _plan(slim, weights, share, max_passes, block_rows)
     last = materialise(_last_rows(dealt, plan), "mix-last-rows")
-    some = last.select("s").distinct()
+    some = last.select("s", F.lit(1).alias("has_last")).distinct()
     quota = F.col("passes").cast("long") * F.col("blocks") + F.col("whole") * (F.col("rest") > 0).cast("long")
     plan = plan.withColumn("whole", F.when(F.col("rest") > 0, F.col("whole")).otherwise(0))
-    quotas = plan.alias("p").join(F.broadcast(some), F.col("p.source").eqNullSafe(F.col("s")), "left").select(
-        "p.rank", (quota + F.col("s").isNotNull().cast("long")).alias("quota"))
+    quotas = plan.alias("p").join(some, F.col("p.source").eqNullSafe(F.col("s")), "left").select(
+        "p.rank", (quota + F.coalesce("has_last", F.lit(0))).alias("quota"))
     limits = split_quotas(quotas.where("quota > 0"), shards, seed)
     per_source = materialise(plan.join(limits, "rank", "left").select(
         F.col("source").alias("of__source"), "words", "target", "blocks", "passes", "whole", "limits"), "mix-sources")
