@@ -118,14 +118,19 @@ def prepared_dataset(t: Tables) -> DataFrame:
 
 @query(
     "batch_scores",
-    """SELECT TimestampHour, SettlementPoint, round(coalesce(e.encoding, (SELECT avg(DART) FROM train)), 6) AS DART_Prediction,
-         'encoded_mean' AS ModelType FROM unified AS u LEFT JOIN encoding AS e ON u.SettlementPoint = e.category""",
+    """SELECT TimestampHour, u.SettlementPoint, round(f.a + f.b * coalesce(e.encoding, f.m), 4) AS DART_Prediction, 'linear' AS ModelType
+       FROM unified AS u LEFT JOIN encoding AS e ON u.SettlementPoint = e.category, (
+         SELECT regr_intercept(DART, coalesce(encoding, m)) AS a, regr_slope(DART, coalesce(encoding, m)) AS b, max(m) AS m
+         FROM (SELECT DART, encoding, (SELECT avg(DART) FROM train) AS m FROM train LEFT JOIN encoding ON SettlementPoint = category) AS x) AS f""",
 )
 def batch_scores(t: Tables) -> DataFrame:
-    _, fitted = prepare(t.unified_table, store=materialise)
+    """A fitted model applied to rows that are first brought to the fitted columns."""
+    data, fitted = _prepared(t)
+    model = M.fit(data, ["encoded"], LinearRegression(labelCol=S.SPREAD, featuresCol="features", solver="normal"))
     rows = t.unified_table.withColumn("entity", F.col(KEY))
-    scored = fitted.score_input(rows, keep=(HOUR, "entity")).withColumnsRenamed({KEY: "prediction", "entity": KEY})
-    return prediction_rows(scored, model_type="encoded_mean")
+    ready = fitted.score_input(rows, keep=(HOUR, "entity")).withColumnsRenamed({KEY: "encoded", "entity": KEY})
+    scored = prediction_rows(model.transform(ready), model_type="linear")
+    return scored.withColumn("DART_Prediction", F.round("DART_Prediction", 4))
 
 
 # metrics ---------------------------------------------------------------------------
