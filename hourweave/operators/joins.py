@@ -9,11 +9,12 @@ range, since an hour-grain table then has a known number of rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourweave.functions.timeutil import HOUR, KEY
 
@@ -30,6 +31,24 @@ def within(df: DataFrame, span: HourRange | None, ts: str = HOUR) -> DataFrame:
     return df.filter((F.col(ts) >= start) & (F.col(ts) < end))
 
 
+def stored_within(df: DataFrame, span: HourRange | None, stored: str) -> DataFrame:
+    """Rows whose stored time or day can lie in the range, by bounds on the column itself, which reach the scan.
+
+    Times are kept from the first hour's start to an hour past the end, days from the one before the first, as an hour
+    ending label can reach into the next day; `within` on the computed hour is exact.
+    """
+    if span is None:
+        return df
+    start, end = span
+    kind = df.schema[stored].dataType
+    if isinstance(kind, T.DateType):
+        low, high = F.lit((start - timedelta(days=1)).date()), F.lit((end + timedelta(days=1)).date())
+    else:
+        wide = timedelta(days=1) if stored.lower().replace("_", "") in ("deliverydate", "operday") else timedelta(hours=1)
+        low, high = (F.lit(t.isoformat(sep=" ")).cast(kind) for t in (start - wide, end + wide))
+    return df.filter((F.col(stored) >= low) & (F.col(stored) < high))
+
+
 def outer_join(frames: Sequence[DataFrame], on: Sequence[str] = (HOUR, KEY)) -> DataFrame:
     """Full outer join of several feeds on the grain; rows with a null key part are dropped first.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hourweave.functions.scalar import DAM, RTM, RTM_ALT, rename_select
 from hourweave.functions.timeutil import HOUR, KEY, deliverydate_to_hour, interval_to_hour, operday_to_hour
 from hourweave.operators.aggregates import constraint_hourly, constraint_system, hourly_mean
-from hourweave.operators.joins import HourRange, join_hourly, outer_join, union_chunks, within
+from hourweave.operators.joins import HourRange, join_hourly, outer_join, stored_within, union_chunks, within
 from hourweave.operators.reshape import (
     FORECAST_ZONES, SOLAR_MAPPING, WEATHER_ZONES, regional_wide, wind_mapping, zones_wide,
 )
@@ -66,23 +66,32 @@ def constraints(raw: DataFrame) -> DataFrame:
     return constraint_hourly(interval_to_hour(raw, "SCEDTimeStamp"))
 
 
+#: The column that holds a feed's time or day.
+STORED_TIME = {
+    "dam": "DeliveryDate", "rtm": "SCEDTimestamp", "rtm_alt": "SCEDTimestamp", "load_forecast_zone": "OperDay", "load_weather_zone": "OperDay",
+    "solar_5min": "INTERVAL_ENDING", "solar_hourly": "DELIVERY_DATE", "wind_hourly": "DELIVERY_DATE", "constraints": "SCEDTimeStamp",
+}
+
+
+def _feed(spark: SparkSession, market: Market, role: str, span: HourRange | None) -> DataFrame:
+    return stored_within(market.read(spark, role), span, STORED_TIME[role])
+
+
 def price_panel(spark: SparkSession, market: Market, span: HourRange | None = None) -> DataFrame:
     """Day-ahead, real-time and alternative real-time prices on one grain."""
     feeds = [
-        dam_prices(market.read(spark, "dam")),
-        realtime_prices_both(market.read(spark, "rtm"), market.read(spark, "rtm_alt")),
+        dam_prices(_feed(spark, market, "dam", span)),
+        realtime_prices_both(_feed(spark, market, "rtm", span), _feed(spark, market, "rtm_alt", span)),
     ]
     return outer_join([within(f, span) for f in feeds])
 
 
-def hourly_globals(spark: SparkSession, market: Market) -> list[DataFrame]:
-    return [
-        forecast_zone_load(market.read(spark, "load_forecast_zone")),
-        weather_zone_load(market.read(spark, "load_weather_zone")),
-        solar_5min(market.read(spark, "solar_5min")),
-        solar_hourly(market.read(spark, "solar_hourly")),
-        wind_hourly(market.read(spark, "wind_hourly")),
-    ]
+def hourly_globals(spark: SparkSession, market: Market, span: HourRange | None = None) -> list[DataFrame]:
+    made = {
+        "load_forecast_zone": forecast_zone_load, "load_weather_zone": weather_zone_load, "solar_5min": solar_5min,
+        "solar_hourly": solar_hourly, "wind_hourly": wind_hourly,
+    }
+    return [make(_feed(spark, market, role, span)) for role, make in made.items()]
 
 
 def unified_features(
@@ -90,12 +99,12 @@ def unified_features(
 ) -> DataFrame:
     """One row per hour and entity: prices, load, solar and wind, optionally system-wide constraints.
 
-    `span` limits the hours; it reaches the scans as a filter where a feed stores its hour
-    and makes the hour-grain side of the join small enough to broadcast by count.
+    `span` limits the hours; it bounds the stored time or day of every feed, so scans are pruned,
+    and makes the hour-grain side of the join, one row per hour, small enough to broadcast.
     """
-    tables = hourly_globals(spark, market)
+    tables = hourly_globals(spark, market, span)
     if with_constraints:
-        tables.append(constraint_system(constraints(market.read(spark, "constraints"))))
+        tables.append(constraint_system(constraints(_feed(spark, market, "constraints", span))))
     return join_hourly(price_panel(spark, market, span), tables, span)
 
 

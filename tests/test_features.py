@@ -119,3 +119,20 @@ def test_repeated_hours_do_not_multiply_the_panel(spark, hour):
     load = spark.createDataFrame([(hour(0), 5.0), (None, 6.0)], "TimestampHour timestamp_ntz, l double")
     rows = J.join_hourly(panel, [wind, load]).collect()
     assert sorted((r.SettlementPoint, r.w, r.l) for r in rows) == [("a", 1.0, 5.0), ("b", 1.0, 5.0)]
+
+
+def test_hour_range_reaches_every_scan(spark, hour, market, tmp_path):
+    stored = {}
+    for role in P.STORED_TIME:
+        path = str(tmp_path / role)
+        market.read(spark, role).write.parquet(path)
+        stored[role] = path
+    named = Market("stored", stored)
+    for span in ((hour(0), hour(1)), (hour(1), hour(3)), (hour(23), hour(30))):
+        out = P.unified_features(spark, named, span=span, with_constraints=True)
+        whole = P.unified_features(spark, named, with_constraints=True).filter((F.col("TimestampHour") >= span[0]) & (F.col("TimestampHour") < span[1]))
+        assert out.exceptAll(whole).isEmpty() and out.count() == whole.count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == len(P.STORED_TIME)
+    assert all("GreaterThanOrEqual" in line and "LessThan" in line for line in scans)
