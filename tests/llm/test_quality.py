@@ -41,7 +41,7 @@ def test_base_rule_and_table(docs, empty):
 
 def test_one_rule_at_a_time(spark):
     text = "of the and to " * 5 + " ".join(f"word{i}" for i in range(60))
-    df = spark.createDataFrame([(1, text), (2, text + " $$$" * 30), (3, text.upper()), (4, text.replace("of", "x").replace("the", "y").replace("and", "z").replace("to", "w"))], "doc_id long, text string")
+    df = spark.createDataFrame([(1, text), (2, text + " $$$" * 30), (3, text.upper()), (4, text.replace("of", "qx").replace("the", "qy").replace("and", "qz").replace("to", "qw"))], "doc_id long, text string")
     for rule, fails in (("symbol_ratio", {2}), ("upper_ratio", {3}), ("stop_word_ratio", {3, 4})):
         rules = [r for r in qr.RULES if r.measure == rule]
         assert {r.doc_id for r in qr.measure(df).where(qr.compile_rules(rules)).collect()} == fails
