@@ -84,7 +84,7 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
         (F.size(line) - F.size(F.array_distinct(line))).cast("long").alias(p + "n_dup_lines"),
         # not deterministic for the optimizer: else a filter on the verdict is moved below the arrays it is made from and
         # evaluates them again for every word
-        F.when(F.rand(0) >= 0, covered.cast("long")).alias(p + "n_repeat_words"),
+        F.when(F.monotonically_increasing_id() >= 0, covered.cast("long")).alias(p + "n_repeat_words"),
         F.size(F.filter(w, lambda x: x.isin(*stop))).cast("long").alias(p + "n_stop_words"),
         F.length(F.regexp_replace(whole, r"[^\p{Lu}]+", "")).cast("long").alias(p + "n_upper"),
         F.size(line).cast("long").alias(p + "n_lines"),
