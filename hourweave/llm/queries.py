@@ -110,9 +110,8 @@ def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     archive = F.floor(F.col("page_id") / WARC_RECORDS)
     folder, replica = scratch_path(spark, "warc"), scratch_path(spark, "warc-replica")
-    index = write_warc(pages, folder, archive)
-    write_warc(pages, replica, archive, damaged=F.col("page_id") % 97 == 13)
-    return fixity_report(index, folder, replica).withColumnRenamed("id", "page_id")
+    index = write_warc(pages, replica, archive, damaged=F.col("page_id") % 97 == 13, compress=True, pristine=folder)
+    return fixity_report(index, folder, replica, compress=True).withColumnRenamed("id", "page_id")
 
 
 ORACLE_SQL["op2_warc_fixity"] = report_sql(WARC_RECORDS, "page_id % 97 = 13")

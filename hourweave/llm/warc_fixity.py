@@ -1,7 +1,8 @@
 """WARC archives and a Merkle audit of their replicas.
 
-`write_warc` stores records in WARC/1.1 files and returns the index `file, offset, length` of each. For an audit every
-replica's records are read by that index and hashed where they lie; hashes are rolled up into a tree over the file's
+`write_warc` stores records in WARC/1.1 files and returns the index `file, offset, length` of each. With `compress` each record
+is a gzip member of its own, as the format foresees; `offset` and `length` then still count record bytes, and `at` and
+`stored` tell where the member lies. For an audit every replica's records are read by that index and hashed where they lie; hashes are rolled up into a tree over the file's
 byte offsets: a leaf range is `range_bytes` long, a node stands for `fan` neighbouring ones, and its hash covers the
 ordered hashes below it, up to one root for each file. `audit` compares roots, then only the children of nodes that
 differ, level by level, and last the records of the ranges found, so intact branches cost nothing beyond their root.
@@ -17,7 +18,9 @@ an empty table gives no file and no row; other columns are not stored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack
 
@@ -34,7 +37,7 @@ FAN = 16
 SPARE = 64
 DATE = "2024-01-01T00:00:00Z"
 
-INDEX = "id long, file string, offset long, length long"
+INDEX = "id long, file string, offset long, length long, at long, stored long"
 
 
 def record(key: int | None, url: str | None, payload: bytes, date: str = DATE) -> bytes:
@@ -49,10 +52,12 @@ def record(key: int | None, url: str | None, payload: bytes, date: str = DATE) -
 
 def write_warc(
     pages: DataFrame, folder: str, archive: Column, id_column: str = "page_id", url: str = "url", payload: str = "html", damaged: Column | None = None,
+    compress: bool = False, pristine: str | None = None,
 ) -> DataFrame:
     """Write the records of each archive number to `folder`, in the order of ids, and return the index, stored.
 
-    `damaged` marks records of which one bit in the middle is turned, to rehearse an audit.
+    `damaged` marks records of which one stored bit in the middle is turned, to rehearse an audit; `pristine` is a second
+    folder that gets the same files without the damage, from the same shuffle.
     """
     ship_package(pages.sparkSession)
     body = F.coalesce(col(payload).cast("binary"), F.lit(b""))
@@ -65,50 +70,64 @@ def write_warc(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ExitStack() as files:
-            current, out, offset = None, None, 0
+            current, offset, at, outs, suffix = None, 0, 0, [], ".gz" if compress else ""
             for part in slices(batches, 64):
                 index = []
                 for archive, key, target, data, broken in zip(*(part.column(k).to_pylist() for k in range(5))):
                     if archive != current:
                         files.close()
-                        current, offset = archive, 0
+                        current, offset, at = archive, 0, 0
                         name = f"records-{archive:09d}.warc" if archive >= 0 else f"records-spare-{-1 - archive:03d}.warc"
-                        out = files.enter_context(publish(f"{folder}/{name}"))
+                        outs = [files.enter_context(publish(f"{to}/{name}{suffix}")) for to in (folder, pristine) if to]
                     raw = record(key, target, data)
-                    if broken:
-                        middle = len(raw) // 2
-                        raw = raw[:middle] + bytes([raw[middle] ^ 1]) + raw[middle + 1 :]
-                    out.write(raw)
-                    index.append((key, name, offset, len(raw)))
+                    kept = gzip.compress(raw, 6, mtime=0) if compress else raw
+                    middle = len(kept) // 2
+                    outs[0].write(kept[:middle] + bytes([kept[middle] ^ 1]) + kept[middle + 1 :] if broken else kept)
+                    for out in outs[1:]:
+                        out.write(kept)
+                    index.append((key, name, offset, len(raw), at, len(kept)))
                     offset += len(raw)
+                    at += len(kept)
                 if index:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*index), (pa.int64(), pa.string(), pa.int64(), pa.int64()))], names=["id", "file", "offset", "length"])
+                    kinds = (pa.int64(), pa.string(), *[pa.int64()] * 4)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*index), kinds)], names=["id", "file", "offset", "length", "at", "stored"])
 
     return materialise(rows.mapInArrow(run, INDEX), "warc-index")
 
 
-def hash_records(index: DataFrame, folder: str) -> DataFrame:
-    """`index` with `sha256` of each record's bytes in `folder`, null if none are there; stored."""
+def _unpacked(data: bytes) -> bytes | None:
+    try:
+        return gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        return None
+
+
+def hash_records(index: DataFrame, folder: str, compress: bool = False) -> DataFrame:
+    """`index` with `stored_sha256` of each record's stored bytes in `folder`, null if none are there, and `sha256` of the
+    record itself, null also if they cannot be unpacked; stored."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1024):
-            hashes = []
+            hashes, inner = [], []
             with ExitStack() as files:
                 name = handle = None
-                for file, offset, length in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
+                for file, offset, length in zip(*(part.column(k).to_pylist() for k in (1, 4, 5))):
                     if file != name:
                         files.close()
                         try:
-                            name, handle = file, files.enter_context(open_ranges(f"{folder}/{file}"))
+                            name, handle = file, files.enter_context(open_ranges(f"{folder}/{file}{'.gz' if compress else ''}"))
                         except FileNotFoundError:
                             handle = None
                     data = b"" if handle is None or offset >= handle.size() else handle.read_at(length, offset)
                     hashes.append(hashlib.sha256(data).hexdigest() if data else None)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(hashes, pa.string())], names=["id", "file", "offset", "length", "sha256"])
+                    whole = _unpacked(data) if compress and data else data
+                    inner.append(hashlib.sha256(whole).hexdigest() if whole else None)
+            columns = [pa.array(x, pa.string()) for x in (hashes, inner)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], *columns], names=["id", "file", "offset", "length", "stored_sha256", "sha256"])
 
     ship_package(index.sparkSession)
-    return materialise(index.select("id", "file", "offset", "length").mapInArrow(run, INDEX + ", sha256 string"), "record-hashes")
+    schema = "id long, file string, offset long, length long, stored_sha256 string, sha256 string"
+    return materialise(index.select("id", "file", "offset", "length", "at", "stored").mapInArrow(run, schema), "record-hashes")
 
 
 def build_tree(records: DataFrame, range_bytes: int = RANGE_BYTES, fan: int = FAN) -> list[DataFrame]:
@@ -116,8 +135,8 @@ def build_tree(records: DataFrame, range_bytes: int = RANGE_BYTES, fan: int = FA
 
     A range has at most range_bytes / 1 records, a node at most `fan` children, so no group grows with the file.
     """
-    text = lambda x: F.concat_ws(":", x["offset"], x["length"], F.coalesce(x["sha256"], F.lit("-")))
-    ordered = F.sort_array(F.collect_list(F.struct("offset", "length", "sha256")))
+    text = lambda x: F.concat_ws(":", x["offset"], x["length"], F.coalesce(x["stored_sha256"], F.lit("-")))
+    ordered = F.sort_array(F.collect_list(F.struct("offset", "length", "stored_sha256")))
     level = records.groupBy("file", F.floor(F.col("offset") / range_bytes).alias("place")).agg(F.sha2(F.array_join(F.transform(ordered, text), "\n"), 256).alias("hash"))
     levels = [materialise(level, "merkle-level")]
     top = levels[0].agg(F.max("place")).first()[0] or 0
@@ -148,14 +167,14 @@ def audit(one: DataFrame, two: DataFrame, range_bytes: int = RANGE_BYTES, fan: i
             a, b = (x.join(suspects, (x["file"] == suspects["of"]) & (F.floor(x["place"] / fan) == suspects["node"]), "left_semi") for x in (a, b))
         suspects = materialise(_differing(a, b, ["file", "place"], "hash").select(F.col("file").alias("of"), F.col("place").alias("node")), "suspects")
     within = lambda x: x.join(suspects, (x["file"] == suspects["of"]) & (F.floor(x["offset"] / range_bytes) == suspects["node"]), "left_semi")
-    found = _differing(within(one), within(two), ["file", "offset"], "sha256")
+    found = _differing(within(one), within(two), ["file", "offset"], "stored_sha256")
     status = F.when(F.col("of_one").isNull(), "extra").when(F.col("in_two").isNull(), "missing").otherwise("corrupt")
     return found.select("file", "offset", status.alias("status"))
 
 
-def fixity_report(index: DataFrame, folder: str, replica: str) -> DataFrame:
+def fixity_report(index: DataFrame, folder: str, replica: str, compress: bool = False) -> DataFrame:
     """Every record of the index: id, `file`, `offset`, `length`, `sha256` in `folder`, and the `status` of `replica`."""
-    one, two = hash_records(index, folder), hash_records(index, replica)
+    one, two = hash_records(index, folder, compress), hash_records(index, replica, compress)
     found = audit(one, two)
     return one.join(found, ["file", "offset"], "left").select("id", "file", "offset", "length", "sha256", F.coalesce("status", F.lit("intact")).alias("status"))
 

@@ -1,5 +1,6 @@
 """Fingerprints, page texts and archives."""
 
+import gzip
 import hashlib
 import random
 
@@ -171,6 +172,22 @@ def test_missing_and_extra(archive, spark):
     assert {r.status for r in nowhere.collect()} == {"missing"}
 
 
+def test_compressed_archives(archive, spark):
+    """Each record a gzip member: same index of records, smaller files, damage found in the stored bytes."""
+    rows, plain, _, _ = archive
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one, two = scratch_path(spark, "warc-gz"), scratch_path(spark, "warc-gz-copy")
+    index = wf.write_warc(pages, two, F.floor(F.col("page_id") / 100), damaged=F.col("page_id").isin(3, 399), compress=True, pristine=one)
+    same = ["id", "file", "offset", "length"]
+    assert index.select(same).exceptAll(plain.select(same)).isEmpty() and index.count() == plain.count()
+    report = wf.fixity_report(index, one, two, compress=True).collect()
+    assert sorted(r.id for r in report if r.status != "intact") == [3, 399]
+    assert sorted(r.sha256 for r in report) == sorted(hashlib.sha256(wf.record(i, u, (h or "").encode())).hexdigest() for i, u, h in rows)
+    first = min(index.collect(), key=lambda r: (r.file, r.offset))
+    data = gzip.open(f"{one}/{first.file}.gz".removeprefix("file:")).read()
+    assert data[: first.length].startswith(b"WARC/1.1\r\n")
+
+
 def test_archives_of_nothing(spark, empty):
     pages = empty.selectExpr("doc_id AS page_id", "text AS html", "source AS url")
     folder = scratch_path(spark, "warc-empty")
