@@ -24,7 +24,7 @@ an empty table gives none; columns of the input are kept and clashing names are
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,12 +45,20 @@ def _uniform(*parts: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is written and evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _log_factorial(n: Column) -> Column:
     """ln n!, by Stirling's series shifted by eight, with an error below 1e-12."""
-    x = n.cast("double") + 9.0
-    series = 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    product = (x - 1) * (x - 2) * (x - 3) * (x - 4) * (x - 5) * (x - 6) * (x - 7) * (x - 8)
-    return (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+    def of(x: Column) -> Column:
+        series = 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+        product = (x - 1) * (x - 2) * (x - 3) * (x - 4) * (x - 5) * (x - 6) * (x - 7) * (x - 8)
+        return (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+    return _let(n.cast("double") + 9.0, of)
 
 
 def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
@@ -58,11 +66,22 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) ->
 
     Terms are added over twelve standard deviations on both sides of the mean; what lies outside is under 1e-30.
     """
+    of = F.struct(total.cast("long").alias("t"), marked.cast("long").alias("m"), drawn.cast("long").alias("d"), u.alias("u"))
+    return _let(of, lambda v: _let(_support(v["t"], v["m"], v["d"]), lambda s: _inverse(v["t"], v["m"], v["d"], v["u"], s["low"], s["high"])))
+
+
+def _support(total: Column, marked: Column, drawn: Column) -> Column:
     t, m, d = (x.cast("double") for x in (total, marked, drawn))
     mean = d * m / F.greatest(t, F.lit(1.0))
-    spread = 12 * F.sqrt(F.greatest(mean * (1 - m / F.greatest(t, F.lit(1.0))), F.lit(0.0))) + 12
-    low = F.greatest(F.lit(0), drawn + marked - total, F.floor(mean - spread)).cast("long")
-    high = F.least(drawn, marked, F.ceil(mean + spread)).cast("long")
+
+    def around(spread: Column) -> Column:
+        low = F.greatest(F.lit(0).cast("long"), drawn + marked - total, F.floor(mean - spread)).cast("long")
+        return F.struct(low.alias("low"), F.least(drawn, marked, F.ceil(mean + spread)).cast("long").alias("high"))
+
+    return _let(12 * F.sqrt(F.greatest(mean * (1 - m / F.greatest(t, F.lit(1.0))), F.lit(0.0))) + 12, around)
+
+
+def _inverse(total: Column, marked: Column, drawn: Column, u: Column, low: Column, high: Column) -> Column:
     first = F.exp(
         _log_factorial(marked) - _log_factorial(low) - _log_factorial(marked - low)
         + _log_factorial(total - marked) - _log_factorial(drawn - low) - _log_factorial(total - marked - drawn + low)
