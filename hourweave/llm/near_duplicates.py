@@ -1,18 +1,19 @@
 """Near-duplicate documents by SuperMinHash signatures, banding, exact verification and union-find.
 
 1. One pass over the texts gives each document its set of 5-word shingles (64-bit hashes), a 128-bit digest of that
-   set and its SuperMinHash signature as 25 band keys of 5 registers and one byte of each register. Documents with equal
-   sets are one class; only classes go on, so copies cost one aggregation.
-2. Classes that share a band key are a bucket. A pair at the threshold of 0.85 misses all 25 bands with probability
-   5e-7. Buckets are not turned into pairs: each class is compared with its bucket's smallest one, and found links are
-   merged into components. Only buckets that still hold several components go on.
+   set and its SuperMinHash signature as band keys of up to 5 registers and one byte of each register. Documents with
+   equal sets are one class; only classes go on, so copies cost one aggregation.
+2. Classes that share a band key are a bucket. The number of bands follows from the threshold (`banding`: 25 of 5 at
+   0.85, 37 of 5 at 0.8), so that a pair at it misses all bands with a probability of at most 5e-7. Buckets are not
+   turned into pairs: each class is compared with its bucket's smallest one, and found links are merged into
+   components. Only buckets that still hold several components go on.
 3. Buckets that share classes form a cluster. A cluster of up to `CLUSTER_MOST` classes is cut into blocks; a task takes
    two blocks of whole sets, gets all their intersections as one matrix product and returns links that join components,
    fewer than it has classes. In buckets of larger clusters, members outside the largest component are compared with
    those of other components, 32 leaders a bucket, then 1024, and so on, until every pair of a bucket is in one
    component or was compared. No pair is dropped either way.
-   Such a comparison first looks at sizes and the register bytes (a pair at the threshold falls below `LEAST_ALIKE`
-   with probability under 1e-9), then intersects the whole sets.
+   Such a comparison first looks at sizes and the register bytes (a pair at the threshold falls below `least_alike`
+   with a probability of at most 1e-9), then intersects the whole sets.
 4. Links are merged inside each task by union-find, then across tasks by contracting to the smallest neighbour, until
    no link between two components is left.
 
@@ -25,6 +26,7 @@ and the text are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,8 +40,13 @@ from hourweave.session import materialise
 
 WIDTH = 5
 REGISTERS, BAND_ROWS = 125, 5
+#: The threshold of group_duplicates, and the one at which deduplicate removes.
 PERCENT = 85
-LEAST_ALIKE = 0.64
+REMOVE_PERCENT = 80
+#: Probabilities that a pair at the threshold shares no band, and that its register bytes look less alike.
+MISSED_BANDS, MISSED_BYTES = 5e-7, 1e-9
+#: Bands before their registers become fewer.
+BANDS_MOST = 64
 CACHE = 400_000
 #: Ids sent to all tasks at once, 16 MB; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -55,6 +62,30 @@ _words: dict[bytes, bytes] = {}
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and registers a band for pairs that are alike by `percent` or more."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent has to be over 0 and at most 100: {percent}")
+    for rows in range(BAND_ROWS, 0, -1):
+        hit = (percent / 100) ** rows
+        bands = max(1, math.ceil(math.log(MISSED_BANDS) / math.log1p(-hit))) if hit < 1 else 1
+        if bands <= BANDS_MOST:
+            break
+    return bands, rows
+
+
+def least_alike(percent: int) -> float:
+    """The share of register bytes below which a pair is not verified."""
+    registers = math.prod(banding(percent))
+    share, below, k = percent / 100, 0.0, 0
+    while k < registers:
+        below += math.comb(registers, k) * share**k * (1 - share) ** (registers - k)
+        if below > MISSED_BYTES:
+            break
+        k += 1
+    return k / registers
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -121,8 +152,9 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, id_column: str, text: str, width: int = WIDTH) -> DataFrame:
+def sketches(docs: DataFrame, id_column: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """`id, n, node, bands, bytes` of every row; `node` names the shingle set."""
+    registers, band_rows = math.prod(banding(percent)), banding(percent)[1]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -131,9 +163,9 @@ def sketches(docs: DataFrame, id_column: str, text: str, width: int = WIDTH) ->
                 s = shingles(value, width)
                 sizes.append(len(s))
                 if len(s):
-                    sig = signature(s)
+                    sig = signature(s, registers)
                     nodes.append(_digest(s))
-                    bands.append(band_keys(sig))
+                    bands.append(band_keys(sig, band_rows))
                     low.append((sig & 255).astype(np.uint8).tobytes())
                 else:
                     nodes.append(None)
@@ -182,7 +214,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str
     info = classes.select("node", "n", "bytes")
     a, b = (info.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("bytes").alias(f"bytes_{k}")) for k in "ab")
     sized = pairs.distinct().join(b, "b").join(a, "a").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    likely = materialise(_alike(sized, LEAST_ALIKE), "likely-pairs")
+    likely = materialise(_alike(sized, least_alike(percent)), "likely-pairs")
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = materialise(_sets(docs, id_column, text, classes.select("id", "node").join(nodes, "node", "left_semi"), width), "sets")
     with_sets = likely.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
@@ -341,7 +373,7 @@ def group_duplicates(
 ) -> DataFrame:
     """One row per document: id, `n_shingles`, `component_id`, `kept`."""
     ship_package(docs.sparkSession)
-    rows = materialise(sketches(docs, id_column, text, width), "shingle-sketches")
+    rows = materialise(sketches(docs, id_column, text, width, percent), "shingle-sketches")
     named = rows.where(F.col("node").isNotNull() & F.col("id").isNotNull())
     # the registers follow from the set, so any row of a class has them
     classes = materialise(named.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")), "classes")
@@ -376,7 +408,7 @@ def group_duplicates(
         F.coalesce(F.col("id") == F.col("smallest"), F.lit(True)).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = REMOVE_PERCENT) -> DataFrame:
     """The rows of `docs` less all but one of each group of near-duplicates; rows with null ids stay."""
     grouped = materialise(group_duplicates(docs, id_column, text, width, percent), "groups")
     key = fresh("gone__id", docs.columns)

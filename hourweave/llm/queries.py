@@ -27,6 +27,7 @@ ORACLE_SQL: dict[str, str] = {}
 TOKEN_LIMIT = 2048
 END_ID = 2
 GOOD_FROM = 0.3
+ALIKE_PERCENT = 85
 MIX_WEIGHTS = (1, 2, 3)
 WARC_RECORDS = 2048
 
@@ -80,7 +81,7 @@ def op4_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_duplicates(read_table(spark, sf_dir, "documents"))
+    return group_duplicates(read_table(spark, sf_dir, "documents"), percent=ALIKE_PERCENT)
 
 
 @query

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from hourweave.llm import near_duplicates as nd
 from hourweave.llm.queries import QUERIES
 
@@ -120,3 +121,42 @@ def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op10_near_duplicates"](spark, sf_dir).collect()}
     assert got == groups(rows)
+
+
+def spans(r, n, starts):
+    """Texts that are windows of one word sequence: their likeness follows from the distance."""
+    words = [f"s{r.randrange(10**9)}" for _ in range(n + max(starts))]
+    return [" ".join(words[k : k + n]) for k in starts]
+
+
+def test_stage_links_from_080_on(spark):
+    """Pairs between 0.80 and 0.85 are near-duplicates for the pipeline; at 0.79 they are not."""
+    r, rows = random.Random(7), []
+    for n, shift in ((104, 11), (94, 9), (204, 20), (904, 95), (104, 12)):
+        for _ in range(8):
+            rows += [(len(rows) + k, t) for k, t in enumerate(spans(r, n, (0, shift)))]
+    likeness = [100 * len(a & b) / len(a | b) for a, b in zip(*[iter([shingle_set(t) for _, t in rows])] * 2)]
+    assert sum(80 <= x < 85 for x in likeness) == 32 and sum(78 < x < 80 for x in likeness) == 8
+    want = {i for i, (_, _, keep) in groups(rows, 80).items() if keep}
+    assert want != {i for i, (_, _, keep) in groups(rows, 85).items() if keep}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in corpus_pipeline.near_duplicates_stage(spark, df, "").collect()} == want
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80])
+def test_lower_thresholds_equal_all_pairs(spark, variants, percent):
+    r = random.Random(8)
+    rows = variants + [(1000 + 2 * g + k, t) for g in range(60) for k, t in enumerate(spans(r, 64, (0, r.randint(1, 50))))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in nd.group_duplicates(df, percent=percent).collect()}
+    assert got == groups(rows, percent)
+
+
+def test_recall_follows_the_threshold():
+    assert nd.banding(85) == (25, 5) and nd.banding(80) == (37, 5) and nd.banding(100)[0] == 1
+    for percent in range(5, 100):
+        bands, rows = nd.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= nd.MISSED_BANDS
+        assert nd.least_alike(percent) < percent / 100
+    with pytest.raises(ValueError):
+        nd.banding(0)
