@@ -9,9 +9,10 @@
    components. Only buckets that still hold several components go on.
 3. Buckets that share classes form a cluster. A cluster of up to `CLUSTER_MOST` classes is cut into blocks; a task takes
    two blocks of whole sets, gets all their intersections as one matrix product and returns links that join components,
-   fewer than it has classes. In buckets of larger clusters, members outside the largest component are compared with
-   those of other components, 32 leaders a bucket, then 1024, and so on, until every pair of a bucket is in one
-   component or was compared. No pair is dropped either way.
+   fewer than it has classes. In buckets of larger clusters, members outside the component that is largest before the
+   first round are compared with those of other components, 32 leaders a bucket, then 1024, and so on, until every pair
+   of a bucket is in one component or was compared: each such member leads once, whatever becomes the largest component
+   later. No pair is dropped either way.
    Such a comparison first looks at sizes and the register bytes (a pair at the threshold falls below `least_alike`
    with a probability of at most 1e-9), then intersects the whole sets.
 4. Links are merged inside each task by union-find, then across tasks by contracting to the smallest neighbour, until
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ CACHE = 400_000
 BROADCAST_IDS = 2_000_000
 #: Links that one task may unite, some 100 MB.
 LOCAL_LINKS = 300_000
-#: Leaders of a mixed bucket in the second round, and the factor for each further one.
+#: Leaders of a mixed bucket in the first round, and the factor for each further one.
 LEADERS = 32
 #: Classes of a cluster that is compared in blocks, and the classes and set elements of a block.
 CLUSTER_MOST = 50_000
@@ -279,23 +280,50 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return materialise(banded.join(heads, "key"), "buckets")
 
 
+def _exempt(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """`key, node, size, exempt`, stored: members of the bucket's largest component never lead."""
+    named = buckets.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = named.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = each.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("size"))
+    return materialise(named.join(largest, "key").select("key", "node", "size", (F.col("component") == F.col("largest")).alias("exempt")), "buckets-exempt")
+
+
 def _open_pairs(buckets: DataFrame, found: DataFrame, start: int, end: int) -> tuple[DataFrame, DataFrame]:
     """Members of buckets with several components, stored, and the pairs of their leaders number `start` to `end`.
 
-    A bucket's members outside its largest component lead in the order of a hash: member x leads if the hash, as a share
-    of its range, falls into [start / size, end / size).
+    A bucket's members that are not exempt lead in the order of a hash: member x leads if the hash, as a share of its
+    range, falls into [start / size, end / size).
     """
-    named = buckets.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = each.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("size"))
-    mixed = materialise(named.join(mixed.where("parts > 1").drop("parts"), "key"), "mixed-buckets")
+    named = buckets.select("key", "node", "size", "exempt").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
+    mixed = materialise(named.join(several, "key"), "mixed-buckets")
     place = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 30)) * F.col("size") / (1 << 30)
-    leads = (F.col("component") != F.col("largest")) & (place >= start) & (place < end)
+    leads = ~F.col("exempt") & (place >= start) & (place < end)
     leaders = mixed.where(leads).select("key", F.col("node").alias("l"), F.col("component").alias("lc"))
     pairs = mixed.join(leaders, "key").where(F.col("component") != F.col("lc"))
     return mixed, pairs.select(F.least("l", "node").alias("a"), F.greatest("l", "node").alias("b"))
 
 
+def compare_leaders(buckets: DataFrame, links: DataFrame, found: DataFrame, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`node, component` once every pair of a bucket is in one component or was compared; `compare` gives the links of pairs."""
+    start, end = 0, LEADERS
+    if not buckets.isEmpty():
+        buckets = _exempt(buckets, found)
+    while not buckets.isEmpty():
+        buckets, pairs = _open_pairs(buckets, found, start, end)
+        if buckets.isEmpty():
+            break
+        largest = buckets.agg(F.max("size")).first()[0]
+        more = compare(pairs)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links)
+        if end >= largest:
+            break
+        start, end = end, end * LEADERS
+    return found
+
+
 def _open_clusters(buckets: DataFrame, found: DataFrame, classes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """Classes of clusters of buckets with several components: `cluster, node, component, id, n, blocks`, stored; and the
     buckets (`key, node`) of larger clusters."""
@@ -384,19 +412,7 @@ def group_duplicates(
     clustered, buckets = _open_clusters(buckets, found, classes, cluster_most)
     links = links.unionByName(compare_clusters(clustered, docs, id_column, text, width, percent))
     found = components(links)
-    start, end = 0, LEADERS
-    while not buckets.isEmpty():
-        buckets, pairs = _open_pairs(buckets, found, start, end)
-        if buckets.isEmpty():
-            break
-        largest = buckets.agg(F.max("size")).first()[0]
-        more = verify(pairs, classes, docs, id_column, text, width, percent)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links)
-        if end >= largest:
-            break
-        start, end = end, end * LEADERS
+    found = compare_leaders(buckets, links, found, lambda pairs: verify(pairs, classes, docs, id_column, text, width, percent))
     merged = classes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = merged.groupBy("component").agg(F.min("id").alias("smallest"))
     of_node = merged.join(smallest, "component").select("node", "smallest")

@@ -160,3 +160,25 @@ def test_recall_follows_the_threshold():
         assert nd.least_alike(percent) < percent / 100
     with pytest.raises(ValueError):
         nd.banding(0)
+
+
+def test_every_pair_of_a_large_bucket_is_compared(spark):
+    """The largest component of the bucket changes after the first round; no pair may be left out for it."""
+    name = lambda i: bytes([i])
+    parts = [range(0, 26), range(26, 48), range(48, 70), range(70, 100)]  # A, B1, B2, single ones
+    first = {i: part[0] for part in parts[:3] for i in part} | {i: i for i in parts[3]}
+    buckets = spark.createDataFrame([(1, name(i)) for i in first], "key long, node binary")
+    tree = spark.createDataFrame([(name(c), name(i)) for i, c in first.items() if i != c], "a binary, b binary")
+    compared: set[tuple[int, int]] = set()
+    rounds = []
+
+    def compare(pairs):
+        new = {(r.a[0], r.b[0]) for r in pairs.collect()}
+        rounds.append(len(new))
+        compared.update(new)
+        # every member of B1 is like every one of B2; nothing else is alike
+        return spark.createDataFrame([(name(a), name(b)) for a, b in new if a in parts[1] and b in parts[2]], "a binary, b binary")
+
+    found = {r.node[0]: r.component[0] for r in nd.compare_leaders(buckets, tree, nd.components(tree), compare).collect()}
+    assert len(rounds) == 2 and {found.get(i, i) for i in (*parts[1], *parts[2])} == {26}
+    assert {(i, j) for i in first for j in range(i + 1, 100) if found.get(i, i) != found.get(j, j)} <= compared
