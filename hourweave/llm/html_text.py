@@ -8,7 +8,10 @@
    falls back to its own best container.
 
 Inside a container, menus, sidebars, footers, forms, scripts, styles, adverts, notices and reader comments are left
-out by tag, role or class. References are decoded once, white space in a block becomes one space, blocks are joined by
+out by tag, role, class or id. Each class and the id is judged by itself: a bad word wins over a good one beside it
+("article-comments", "content-sidebar"), except in names that state or sort something ("has-sidebar", "comments-open",
+"tag-cookies"), that wrap article and sidebar ("content-sidebar-wrap"), or that name an article by its subject
+("cookie-story"). References are decoded once, white space in a block becomes one space, blocks are joined by
 one space.
 
 Defined results: null and empty pages give the empty text; pages without markup are one block; unclosed and crossed
@@ -60,6 +63,14 @@ _BAD_WORD = frozenset(
     "respond disqus replies cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription signup share sharing social related "
     "breadcrumb breadcrumbs pagination pager widget login masthead toolbar skip disclaimer copyright".split())
 _GOOD_WORD = frozenset("article content post entry story main body text".split())
+#: Bad words that are harmless before one of _ITEM, where they say what the article is about.
+_SUBJECT = frozenset("notice notices alert cookie cookies consent gdpr disclaimer copyright login promotion".split())
+_ITEM = frozenset("article entry post story".split())
+#: First and last words of names that state what a page has or sort it under something, and last words of frames.
+_STATES = frozenset("has have no not with without is category cat tag type status format topic".split())
+_STATED = frozenset("open closed enabled disabled".split())
+_FRAME = frozenset("wrap wrapper container layout grid row".split())
+_BESIDE = frozenset("sidebar aside".split())
 _WORDS = re.compile(r"[a-z]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -81,16 +92,28 @@ class _Node:
         return ">".join(reversed(steps))
 
 
+def _bad_name(name: str) -> bool:
+    """Whether a class or an id names something that is left out."""
+    words = _WORDS.findall(_HUMP.sub(" ", name).lower())
+    bad = _BAD_WORD.intersection(words)
+    if not bad or len(words) > 1 and (words[0] in _STATES or words[-1] in _STATED):
+        return False
+    if bad <= _SUBJECT and words[-1] in _ITEM:
+        return False
+    return not (bad <= _BESIDE and words[-1] in _FRAME and _GOOD_WORD.intersection(words))
+
+
 def _node(tag: str, attributes: str, parent: _Node | None) -> _Node:
     found = {}
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             found.setdefault(name.lower(), value[1:-1] if value[:1] in "\"'" and value[:1] else value)
     names = unescape(found.get("class", ""))
-    words = set(_WORDS.findall(_HUMP.sub(" ", f"{names} {found.get('id', '')}").lower()))
+    marks = [*names.split(), *unescape(found.get("id", "")).split()]
+    words = set(_WORDS.findall(_HUMP.sub(" ", " ".join(marks)).lower()))
     bad = tag in _LEFT_OUT or "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _BAD_ROLE
     bad = bad or (tag == "header" and not (parent is not None and parent.in_article))
-    bad = bad or (bool(words & _BAD_WORD) and not words & _GOOD_WORD - {"body", "main", "text"} and tag not in ("html", "body", "article", "main"))
+    bad = bad or (tag not in ("html", "body", "article", "main") and bool(words & _BAD_WORD) and any(map(_bad_name, marks)))
     label = tag + "".join(sorted("." + c for c in set(_DIGITS.sub("", names).lower().split()) if c))
     node = _Node(tag, label, parent, bad)
     if words & _GOOD_WORD or tag in ("article", "main"):

@@ -107,6 +107,28 @@ def test_main_text():
         assert ht.main_text(html, None) == text
 
 
+@pytest.mark.parametrize("attribute", ["class", "id"])
+@pytest.mark.parametrize("name", "article-comments post-comments entry-footer post-share story-ad content-sidebar post-related articleComments mainNav sponsored-content comments".split())
+def test_named_parts_of_an_article_are_left_out(attribute, name):
+    """Longer than the article, so neither its text nor its score may count."""
+    part = f"<div {attribute}='{name}'><p>" + "This reader says that it is all quite different, and at some length. " * 9 + "</p></div>"
+    page = f"<body><div class='story'><p>The town has a new bridge.</p>{part}<p>It opens in May.</p></div></body>"
+    path, _ = ht.vote(page)
+    assert path.endswith(">div.story")
+    assert ht.main_text(page, path) == ht.main_text(page, None) == "The town has a new bridge. It opens in May."
+
+
+def test_good_class_beside_a_bad_one_is_left_out():
+    page = "<body><div class='story'><p>The town has a new bridge.</p><div class='post comments'>Nice one</div></div></body>"
+    assert ht.main_text(page, None) == "The town has a new bridge."
+
+
+@pytest.mark.parametrize("name", ["post has-sidebar", "entry comments-open", "post tag-cookies category-social", "content-sidebar-wrap", "cookie-story", "post-content"])
+def test_harmless_words_keep_the_article(name):
+    page = f"<body><div class='{name}'><p>The town has a new bridge.</p><p>It opens in May.</p></div></body>"
+    assert ht.main_text(page, None) == "The town has a new bridge. It opens in May."
+
+
 def test_hosts_outvote_a_page(spark):
     """A page whose comments are longer than its article follows its host."""
     usual = "<body><div class='story'><p>" + prose(120, 1) + "</p></div><div class='talk'><p>hi</p></div>"
