@@ -20,8 +20,9 @@
 
 Defined results: texts without a word have the empty set and stay alone; with fewer words than a shingle, the sequence
 is the one shingle; null ids are linked with nothing, have no component and are kept; repeated rows share a component,
-and all rows of the kept id are marked kept (`deduplicate` keeps one of them); an empty table gives none; only the id
-and the text are read.
+and all rows of the kept id are marked kept (`deduplicate` keeps one of them); an id with several texts is judged text by
+text: its rows may be in several groups, of which two can bear its id, and `deduplicate` keeps one row of each group;
+an empty table gives none; only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -400,6 +401,12 @@ def group_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, cluster_most: int = CLUSTER_MOST,
 ) -> DataFrame:
     """One row per document: id, `n_shingles`, `component_id`, `kept`."""
+    return _grouped(docs, id_column, text, width, percent, cluster_most).select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"), "kept")
+
+
+def _grouped(docs: DataFrame, id_column: str, text: str, width: int, percent: int, cluster_most: int = CLUSTER_MOST) -> DataFrame:
+    """One row per document: `id, n, node, component, smallest, kept`; node and component are null without words or id."""
     ship_package(docs.sparkSession)
     rows = materialise(sketches(docs, id_column, text, width, percent), "shingle-sketches")
     named = rows.where(F.col("node").isNotNull() & F.col("id").isNotNull())
@@ -415,24 +422,46 @@ def group_duplicates(
     found = compare_leaders(buckets, links, found, lambda pairs: verify(pairs, classes, docs, id_column, text, width, percent))
     merged = classes.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = merged.groupBy("component").agg(F.min("id").alias("smallest"))
-    of_node = merged.join(smallest, "component").select("node", "smallest")
+    of_node = merged.join(smallest, "component").select("node", "component", "smallest")
     alone = F.col("node").isNull() | F.col("id").isNull()
-    joined = named.select("id", "n", "node").join(of_node, "node").select("id", "n", "smallest")
-    rest = rows.where(alone).select("id", "n", F.col("id").alias("smallest"))
-    return joined.unionByName(rest).select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("smallest"), F.lit(True)).alias("kept"))
+    joined = named.select("id", "n", "node").join(of_node, "node").select("id", "n", "node", "component", "smallest")
+    none = F.lit(None).cast("binary")
+    rest = rows.where(alone).select("id", "n", none.alias("node"), none.alias("component"), F.col("id").alias("smallest"))
+    return joined.unionByName(rest).withColumn("kept", F.coalesce(F.col("id") == F.col("smallest"), F.lit(True)))
+
+
+def _nodes_of(docs: DataFrame, text: str, name: str, width: int) -> DataFrame:
+    """`docs` with the name of each row's shingle set, null without words."""
+    whole = fresh("whole__text", [*docs.columns, name])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            sets = [shingles(value, width) for value in texts(part.column(part.num_columns - 1))]
+            nodes = pa.array([_digest(s) if len(s) else None for s in sets], pa.binary())
+            own = list(part.schema)[:-1]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], nodes], schema=pa.schema([*own, pa.field(name, pa.binary())]))
+
+    rows = docs.select(*[col(c) for c in docs.columns], col(text).cast("string").alias(whole))
+    return rows.mapInArrow(run, docs.withColumn(name, F.lit(None).cast("binary")).schema)
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = REMOVE_PERCENT) -> DataFrame:
-    """The rows of `docs` less all but one of each group of near-duplicates; rows with null ids stay."""
-    grouped = materialise(group_duplicates(docs, id_column, text, width, percent), "groups")
-    key = fresh("gone__id", docs.columns)
-    gone = grouped.where(~F.col("kept")).select(col(id_column).alias(key))
-    few = gone.count() <= BROADCAST_IDS
-    gone = gone.distinct()
-    left = docs.join(F.broadcast(gone) if few else gone, col(id_column) == col(key), "left_anti")
-    repeated = grouped.where("kept").where(col(id_column).isNotNull()).groupBy(col(id_column)).agg(F.count("*").alias("n")).where("n > 1")
+    """The rows of `docs` less all but one of each group of near-duplicates; rows with null ids stay.
+
+    Rows of ids that occur once are removed by id; those of repeated ids are taken by id and shingle set, one of each group.
+    """
+    grouped = materialise(_grouped(docs, id_column, text, width, percent).select("id", "node", "component", "kept"), "groups")
+    per_id = grouped.where(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept"))
+    changed = materialise(per_id.where("n > 1 OR NOT kept").select("id", "n"), "changed-ids")
+    few = changed.count() <= BROADCAST_IDS
+    sent = lambda ids: F.broadcast(ids) if few else ids
+    key, node, component = (fresh(x, docs.columns) for x in ("changed__id", "row__node", "row__component"))
+    left = docs.join(sent(changed.select(F.col("id").alias(key))), col(id_column) == col(key), "left_anti")
+    repeated = changed.where("n > 1").select("id")
     if repeated.isEmpty():
         return left
-    return left.where(col(id_column).isNotNull()).dropDuplicates([id_column]).unionByName(left.where(col(id_column).isNull()))
+    again = docs.join(sent(repeated.toDF(key)), col(id_column) == col(key), "left_semi")
+    stay = grouped.where("kept").join(sent(repeated), "id", "left_semi").select(F.col("id").alias(key), F.col("node").alias(node + "_"), F.col("component").alias(component)).distinct()
+    again = _nodes_of(again, text, node, width).join(stay, (col(id_column) == col(key)) & col(node).eqNullSafe(col(node + "_")))
+    # rows without words have no component: one of each id
+    return left.unionByName(again.dropDuplicates([id_column, component]).select(*[col(c) for c in docs.columns]))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourweave.llm import near_duplicates as nd
@@ -182,3 +183,15 @@ def test_every_pair_of_a_large_bucket_is_compared(spark):
     found = {r.node[0]: r.component[0] for r in nd.compare_leaders(buckets, tree, nd.components(tree), compare).collect()}
     assert len(rounds) == 2 and {found.get(i, i) for i in (*parts[1], *parts[2])} == {26}
     assert {(i, j) for i in first for j in range(i + 1, 100) if found.get(i, i) != found.get(j, j)} <= compared
+
+
+def test_one_id_with_several_texts(spark):
+    """Rows are removed by id and text: no unlike text of a repeated id is lost, and one row of each group stays."""
+    r = random.Random(9)
+    a, b, c, d, e = (" ".join(f"t{r.randrange(10**9)}" for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (5, a + " end"), (5, b), (7, c), (7, d), (7, d), (8, d + " end"), (9, e), (9, e + " end"), (10, ""), (10, None), (10, e + " stop"), (11, "alone"), (None, a), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row__node", F.lit("kept"))
+    left = nd.deduplicate(df)
+    assert left.columns == df.columns
+    got = Counter((x.doc_id, x.text and x.text.removesuffix(" end") or "") for x in left.collect())
+    assert got == Counter([(1, a), (5, b), (7, c), (7, d), (9, e), (10, ""), (11, "alone"), (None, a), (None, a)])
