@@ -7,7 +7,8 @@
    lower envelope solves each of the bucket counts.
 3. Inside a bucket, rows stand in the order of a hash; positions come from row counts of hash slices (a prefix sum) plus
    the rank inside a slice, so no bucket is sorted in one task. Batch b holds the rows b * capacity up to the next,
-   where capacity is what the token budget holds of the bucket's top, one at least.
+   where capacity is what the budget holds of the bucket's top, one at least. The budget is in the unit of `length`:
+   op1 and the pipeline count words at ASCII white space, not tokens.
 
 Defined results: null and empty texts have length 0 and are packed like others; a document longer than the budget has
 batches of one; ties of the hash are broken by id, equal rows share their set of places; an empty table gives none;
