@@ -7,6 +7,9 @@ the scan and a long text costs n log n.
 Repeated words: the hash of each 3-word window and its position are sorted together, so equal windows are neighbours;
 the positions of those windows are sorted again, and each adds the words up to the next one, three at most.
 
+Scope: the stop-word rule knows English, French, German and Spanish in lower case. Clean texts in other languages, and texts
+wholly in capitals, fail it.
+
 Defined results: null, empty and white-space texts have no words, all counts 0, and fail the base rule; every row is
 judged by itself, so repeated rows and ids get equal results and null ids stay; an empty table gives none; columns of
 the input are kept, and the added ones go under `prefix`.
