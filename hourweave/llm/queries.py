@@ -16,6 +16,7 @@ from hourweave.llm.near_duplicates import group_duplicates
 from hourweave.llm.packing import pack
 from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
+from hourweave.llm.source_divergence import divergence_sql, source_divergence
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
 from hourweave.llm.token_files import read_documents, write_token_files
 from hourweave.llm.warc_fixity import fixity_report, report_sql, write_warc
@@ -116,3 +117,11 @@ def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op2_warc_fixity"] = report_sql(WARC_RECORDS, "page_id % 97 = 13")
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+ORACLE_SQL["op11_source_divergence"] = divergence_sql()
