@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier
 from hourweave.llm.common import read_table, word_count
+from hourweave.llm.conversation_repair import damaged, repair_conversations
 from hourweave.llm.html_text import extract_text
 from hourweave.llm.mixing import draw_mix
 from hourweave.llm.near_duplicates import group_duplicates
@@ -125,3 +126,8 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op11_source_divergence"] = divergence_sql()
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(read_table(spark, sf_dir, "conversations")))
