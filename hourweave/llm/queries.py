@@ -17,6 +17,7 @@ from hourweave.llm.near_duplicates import group_duplicates
 from hourweave.llm.packing import pack
 from hourweave.llm.phrase_fingerprint import compare_with_following
 from hourweave.llm.quality_rules import judge, rules_sql
+from hourweave.llm.repeated_spans import remove_repeats
 from hourweave.llm.source_divergence import divergence_sql, source_divergence
 from hourweave.llm.token_counts import count_tokens, load_tokenizer
 from hourweave.llm.token_files import read_documents, write_token_files
@@ -131,3 +132,8 @@ ORACLE_SQL["op11_source_divergence"] = divergence_sql()
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(read_table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
