@@ -9,10 +9,11 @@ with `count` occurrences the share `p = 1 + floor(SCALE * (count + 2) / (N + 2 *
 2. Most pairs of counts hold a zero. A pair of sources starts from `V * f(zero, zero)`; each term of one source alone
    corrects that by its own share, counted per distinct share.
 3. What is left are terms that both sources have. A term is a row: its nonzero shares in order of the source. Equal rows
-   are one row with a multiplicity. Sorted rows are the depth-first walk of a frequent-pattern tree: a task keeps only
-   the path it stands on; a node that is left adds its correction with every ancestor once, times its multiplicity,
-   however many terms share the path. Rows are dealt by ranges of whole paths; a subtree that two tasks hold is in both
-   with a part of its multiplicity, which changes no sum.
+   are one row with a multiplicity. Sorted rows are the depth-first walk of a frequent-pattern tree: a row opens nodes
+   where it leaves the path of the row before it, and a node's multiplicity is that of the rows until it is left. Each
+   node adds its correction with every ancestor once, times its multiplicity, however many terms share the path. Rows
+   are dealt by ranges of whole paths and walked 4,096 at a time; a node that two walks hold is in both with a part of
+   its multiplicity, which changes no sum.
 
 Defined results: null text, lang and source are ''. A group without terms, or in a language without kept terms, still
 has its pairs (value 0 if `V` = 0). Repeated rows are documents of their own. An empty table gives no rows. Further
@@ -22,10 +23,12 @@ source, as the result is.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +38,8 @@ from hourweave.session import materialise
 LEAST_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
-#: Entries a task holds before it passes its counts or sums on.
-HELD = 200_000
+#: Terms of groups a task holds before it passes its counts on.
+HELD = 500_000
 
 #: Bytes of terms stay (A-Z lowered), all others separate.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -46,32 +49,28 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     """Rows (lang, source, term, n occurrences, d documents) of partial counts; several rows may have one key."""
     ship_package(docs.sparkSession)
 
-    def passed(held: dict[tuple[str, str, bytes], list[int]]) -> pa.RecordBatch:
-        keys = list(held)
-        return pa.record_batch({
-            "lang": pa.array([k[0] for k in keys], pa.string()), "source": pa.array([k[1] for k in keys], pa.string()),
-            "term": pa.array([k[2] for k in keys], pa.binary()),
-            "n": pa.array([v[0] for v in held.values()], pa.int64()), "d": pa.array([v[1] for v in held.values()], pa.int64()),
-        })
+    def passed(found: dict[tuple[str, str], Counter], within: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), documents in within.items():
+            terms, occurrences = list(documents), found[lang, source]
+            yield pa.record_batch({
+                "lang": pa.repeat(pa.scalar(lang, pa.string()), len(terms)), "source": pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                "term": pa.array(terms, pa.binary()), "n": pa.array([occurrences[t] for t in terms], pa.int64()),
+                "d": pa.array(documents.values(), pa.int64()),
+            })
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str, bytes], list[int]] = {}
+        found: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        within: dict[tuple[str, str], Counter] = defaultdict(Counter)
         for part in slices(batches, 64):
             for lang, source, text in zip(*(c.to_pylist() for c in part.columns)):
-                own: dict[bytes, int] = {}
-                for term in text.translate(_TERM_BYTES).split():
-                    own[term] = own.get(term, 0) + 1
-                for term, n in own.items():
-                    if (sums := held.get(key := (lang, source, term))) is None:
-                        held[key] = [n, 1]
-                    else:
-                        sums[0] += n
-                        sums[1] += 1
-            if len(held) > HELD:
-                yield passed(held)
-                held = {}
-        if held:
-            yield passed(held)
+                terms = text.translate(_TERM_BYTES).split()
+                found[lang, source].update(terms)
+                within[lang, source].update(set(terms))
+            if sum(map(len, within.values())) > HELD:
+                yield from passed(found, within)
+                found.clear()
+                within.clear()
+        yield from passed(found, within)
 
     plain = [F.coalesce(col(c).cast("string"), F.lit("")) for c in (lang, source, text)]
     rows = docs.select(plain[0].alias("lang"), plain[1].alias("source"), plain[2].cast("binary").alias("text"))
@@ -88,7 +87,7 @@ def gap(p: Column, q: Column) -> Column:
     return F.when(p + q > 0, F.call_function("div", (p - q) * (p - q), p + q)).otherwise(0).cast("long")
 
 
-def _gaps(p: np.ndarray, q: np.ndarray | int) -> np.ndarray:
+def _gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
@@ -97,59 +96,42 @@ def tree_corrections(paths: DataFrame) -> DataFrame:
     ship_package(paths.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[tuple[str, str], int] = {}
-        depth, lang, seen = 0, None, 0
-        items: list[tuple] = []  # of the path the walk stands on
-        p, zero, name, times = (np.zeros(64, np.int64) for _ in range(4))
-        sums: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        def leave(to: int) -> None:
-            """Nodes below depth `to` are done: each meets its ancestors once."""
-            nonlocal depth, seen
-            while depth > to:
-                depth -= 1
-                m, own, none = times[depth], p[depth], zero[depth]
-                if depth:
-                    above, above_zero = p[:depth], zero[:depth]
-                    value = _gaps(above, own) - _gaps(above, none) - _gaps(above_zero, own) + _gaps(above_zero, none)
-                    sums.append((name[:depth].copy(), np.full(depth, name[depth]), m * value))
-                    seen += depth
-                    times[depth - 1] += m
-
-        def passed() -> pa.RecordBatch:
-            a, b, v = (np.concatenate(x) for x in zip(*sums))
-            pairs, place = np.unique(np.stack([a, b]), axis=1, return_inverse=True)
-            total = np.zeros(pairs.shape[1], np.int64)
-            np.add.at(total, place.ravel(), v)
-            known = list(names)
-            return pa.record_batch({
-                "lang": pa.array([known[i][0] for i in pairs[0]], pa.string()), "a": pa.array([known[i][1] for i in pairs[0]], pa.string()),
-                "b": pa.array([known[i][1] for i in pairs[1]], pa.string()), "value": pa.array(total, pa.int64()),
+        for part in slices(batches, 4096):
+            sizes = pc.list_value_length(part.column(1)).to_numpy().astype(np.int64)
+            items = part.column(1).flatten()
+            source = pc.dictionary_encode(items.field("source"))
+            lang = pc.dictionary_encode(part.column(0))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            depth = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            name, p, zero = (np.full((len(sizes), int(sizes.max(initial=0))), -1, np.int64) for _ in range(3))
+            name[row, depth] = source.indices.to_numpy()
+            p[row, depth], zero[row, depth] = items.field("p").to_numpy(), items.field("zero").to_numpy()
+            langs, m = lang.indices.to_numpy(), part.column(2).to_numpy()
+            # how long a path each row has in common with the one before it
+            same = (name[1:] == name[:-1]) & (p[1:] == p[:-1]) & (name[1:] >= 0) & (langs[1:] == langs[:-1])[:, None]
+            common = np.concatenate([[0], np.cumprod(same, axis=1).sum(axis=1)])
+            before = np.concatenate([[0], np.cumsum(m)])
+            n = len(source.dictionary)
+            keys, values = [], []
+            for at in range(1, name.shape[1]):
+                # a node opens where a row leaves its predecessor's path at or above it, and stands until the next does
+                opens = np.append(np.flatnonzero(common <= at), len(sizes))
+                nodes = opens[:-1][sizes[opens[:-1]] > at]
+                times = (before[opens[1:]] - before[opens[:-1]])[sizes[opens[:-1]] > at]
+                own, none, above, above_zero = p[nodes, at, None], zero[nodes, at, None], p[nodes, :at], zero[nodes, :at]
+                value = _gaps(above, own) - _gaps(above, none) - _gaps(above_zero, own) + _gaps(above_zero, none)
+                values.append((times[:, None] * value).ravel())
+                keys.append(((langs[nodes, None] * n + name[nodes, :at]) * n + name[nodes, at, None]).ravel())
+            if not keys:
+                continue
+            pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.zeros(len(pairs), np.int64)
+            np.add.at(total, place, np.concatenate(values))
+            yield pa.record_batch({
+                "lang": lang.dictionary.take(pa.array(pairs // (n * n))), "a": source.dictionary.take(pa.array(pairs // n % n)),
+                "b": source.dictionary.take(pa.array(pairs % n)), "value": pa.array(total, pa.int64()),
             })
 
-        for part in slices(batches, 1024):
-            for here, path, m in zip(*(c.to_pylist() for c in part.columns)):
-                path = [(x["source"], x["p"], x["zero"]) for x in path]
-                common = 0
-                if here == lang:
-                    while common < depth and common < len(path) and items[common] == path[common]:
-                        common += 1
-                leave(common)
-                lang, items = here, path
-                if len(path) > len(p):
-                    p, zero, name, times = (np.concatenate([x, np.zeros(2 * len(path), np.int64)]) for x in (p, zero, name, times))
-                for source, own, none in path[common:]:
-                    p[depth], zero[depth], times[depth] = own, none, 0
-                    name[depth] = names.setdefault((here, source), len(names))
-                    depth += 1
-                times[depth - 1] += m
-                if seen > HELD:
-                    yield passed()
-                    sums, seen = [], 0
-        leave(0)
-        if sums:
-            yield passed()
-
     return paths.select("lang", "path", "m").mapInArrow(run, "lang string, a string, b string, value long")
 
 
