@@ -43,10 +43,10 @@ LENGTH = 50
 GRAM = 26
 SLICE_BYTES = 4 << 20
 #: Bytes of entries a group of buckets should have.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 CONTEXTS = 64
-#: Windows looked at together; their places fit into 20 bits.
-BLOCK = (1 << 20) - 64
+#: Windows looked at together, so that their names stay in a core's cache; their places fit into 20 bits.
+BLOCK = 1 << 18
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _U = np.uint64
