@@ -10,12 +10,15 @@
 Inside a container, menus, sidebars, footers, forms, scripts, styles, adverts, notices and reader comments are left
 out by tag, role, class or id. Each class and the id is judged by itself: a bad word wins over a good one beside it
 ("article-comments", "content-sidebar"), except in names that state or sort something ("has-sidebar", "comments-open",
-"tag-cookies"), that wrap article and sidebar ("content-sidebar-wrap"), or that name an article by its subject
-("cookie-story"). References are decoded once, white space in a block becomes one space, blocks are joined by
+"tag-cookies", but not "category-menu"), that wrap article and sidebar ("content-sidebar-wrap"), or that name an article
+by its subject ("cookie-story"). What is left out is also judged by its share of the page: an element named so stays if
+it holds most of the page's text and with it all its h1 or, without any, its only article; a part by its tag only if
+nothing would be left without it (a form or "sidebar-right-layout" around the whole page). References are decoded once, white space in a block becomes one space, blocks are joined by
 one space.
 
 Defined results: null and empty pages give the empty text; pages without markup are one block; unclosed and crossed
-tags are closed as browsers do for paragraphs, list items and table cells; urls without a host share one; repeated
+tags are closed as browsers do for paragraphs, list items and table cells; a `<` that no `>` follows is text, and after a
+quote that is never closed tags end at their first `>`, so the scan is linear in any input; urls without a host share one; repeated
 rows give equal results, equal votes are decided by the larger path; an empty table gives none; all columns of the
 input are kept, the text goes under a new name.
 """
@@ -23,7 +26,9 @@ input are kept, the text goes under a new name.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -38,7 +43,10 @@ BROADCAST_HOSTS = 100_000
 #: Steps of a path that are kept, counted from the container upwards.
 PATH_STEPS = 12
 
-_MARKUP = re.compile(r"<!--.*?(?:--!?>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_OPENING = re.compile(r"<(?=[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile("[>\"']")
+_COMMENT_END = re.compile("--!?>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.S)
 _DIGITS = re.compile(r"\d+")
 
@@ -49,9 +57,11 @@ _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _CONTAINER = frozenset("article main section div td body blockquote center dd details form aside footer header nav ul ol li table fieldset figure".split())
-_LEFT_OUT = frozenset(
-    "script style noscript template svg math iframe object embed head title nav menu footer aside form button select textarea input dialog canvas audio video "
-    "noembed noframes xmp".split())
+_DROPPED = frozenset(
+    "script style noscript template svg math iframe object embed head title button select textarea input dialog canvas audio video noembed noframes xmp".split())
+_DOUBTED = frozenset("nav menu footer aside form".split())
+#: Elements that are parts of a page by their tag: only an otherwise empty page is taken from them.
+_PLAIN_PART = frozenset("nav menu footer aside header".split())
 #: A start tag in the key closes an open element of the value, unless one of _SCOPE lies between.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("html body table ul ol dl article section main div aside nav footer header form blockquote".split())
@@ -62,12 +72,20 @@ _BAD_WORD = frozenset(
     "nav navbar navigation menu sidebar aside footer ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner comment comments "
     "respond disqus replies cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription signup share sharing social related "
     "breadcrumb breadcrumbs pagination pager widget login masthead toolbar skip disclaimer copyright".split())
+#: Bad words written together, as one word of a name.
+_JOINED = re.compile(
+    "(?:left|right|top|sub|main|side|bottom|foot|site|mega|user|mobile|page|primary|secondary)(?:nav|menu|navbar|menubar)|comments?(?:list|form|area|section|box|block|thread)"
+    "|cookies?(?:bar|banner|notice|consent|law|box|popup)|adsbygoogle|(?:top|side|bottom|banner)?ad(?:box|slot|unit|banner|wrapper|container)|(?:left|right)sidebar|sidenote"
+    "|related(?:posts|links|articles)|share(?:bar|buttons)|social(?:bar|links|icons)|newsletterbox|sitefooter|pagefooter")
 _GOOD_WORD = frozenset("article content post entry story main body text".split())
 #: Bad words that are harmless before one of _ITEM, where they say what the article is about.
 _SUBJECT = frozenset("notice notices alert cookie cookies consent gdpr disclaimer copyright login promotion".split())
 _ITEM = frozenset("article entry post story".split())
 #: First and last words of names that state what a page has or sort it under something, and last words of frames.
-_STATES = frozenset("has have no not with without is category cat tag type status format topic".split())
+_STATES = frozenset("has have no not with without is".split())
+_SORTS = frozenset("category cat tag type status format topic".split())
+#: Last words that name a part of the page whatever stands before them, but for _STATES.
+_PART = frozenset("nav navbar navigation menu advert adverts ad ads advertisement advertising sidebar related".split())
 _STATED = frozenset("open closed enabled disabled".split())
 _FRAME = frozenset("wrap wrapper container layout grid row".split())
 _BESIDE = frozenset("sidebar aside".split())
@@ -76,13 +94,20 @@ _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class _Node:
-    __slots__ = ("tag", "label", "parent", "bad", "score", "in_article")
+    """An element. `drop` leaves it out for good; `doubt` does so unless its share of the page speaks against it."""
 
-    def __init__(self, tag: str, label: str, parent: "_Node | None", bad: bool):
+    __slots__ = ("tag", "label", "parent", "drop", "doubt", "bad", "score", "in_article", "block", "container", "held", "heads", "articles", "paragraphs")
+
+    def __init__(self, tag: str, label: str, parent: "_Node | None", drop: bool, doubt: bool):
         self.tag, self.label, self.parent = tag, label, parent
-        self.bad = bad or (parent is not None and parent.bad)
+        self.drop = drop or (parent is not None and parent.drop)
+        self.doubt = doubt
+        self.bad = self.drop or doubt or (parent is not None and parent.bad)
         self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
+        self.block: _Node = self if tag in _BLOCK or parent is None else parent.block
+        self.container: _Node = self if tag in _CONTAINER or parent is None else parent.container
         self.score = 0.0
+        self.held = self.heads = self.articles = self.paragraphs = 0
 
     def path(self) -> str:
         steps, node = [], self
@@ -95,83 +120,114 @@ class _Node:
 def _bad_name(name: str) -> bool:
     """Whether a class or an id names something that is left out."""
     words = _WORDS.findall(_HUMP.sub(" ", name).lower())
-    bad = _BAD_WORD.intersection(words)
+    bad = {w for w in words if w in _BAD_WORD or _JOINED.fullmatch(w)}
     if not bad or len(words) > 1 and (words[0] in _STATES or words[-1] in _STATED):
         return False
+    if len(words) > 1 and words[0] in _SORTS and words[-1] not in _PART:
+        return False
     if bad <= _SUBJECT and words[-1] in _ITEM:
         return False
     return not (bad <= _BESIDE and words[-1] in _FRAME and _GOOD_WORD.intersection(words))
 
 
-def _node(tag: str, attributes: str, parent: _Node | None) -> _Node:
+def _node(tag: str, attributes: str, parent: _Node) -> _Node:
     found = {}
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             found.setdefault(name.lower(), value[1:-1] if value[:1] in "\"'" and value[:1] else value)
     names = unescape(found.get("class", ""))
     marks = [*names.split(), *unescape(found.get("id", "")).split()]
-    words = set(_WORDS.findall(_HUMP.sub(" ", " ".join(marks)).lower()))
-    bad = tag in _LEFT_OUT or "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _BAD_ROLE
-    bad = bad or (tag == "header" and not (parent is not None and parent.in_article))
-    bad = bad or (tag not in ("html", "body", "article", "main") and bool(words & _BAD_WORD) and any(map(_bad_name, marks)))
+    drop = tag in _DROPPED or "hidden" in found or found.get("aria-hidden") == "true"
+    doubt = tag in _DOUBTED or found.get("role", "").lower() in _BAD_ROLE or tag == "header" and not parent.in_article
+    doubt = doubt or tag not in ("html", "body", "article", "main") and any(map(_bad_name, marks))
     label = tag + "".join(sorted("." + c for c in set(_DIGITS.sub("", names).lower().split()) if c))
-    node = _Node(tag, label, parent, bad)
-    if words & _GOOD_WORD or tag in ("article", "main"):
+    node = _Node(tag, label, parent, drop, doubt)
+    if tag in ("article", "main") or marks and _GOOD_WORD.intersection(_WORDS.findall(_HUMP.sub(" ", " ".join(marks)).lower())):
         node.score = 25.0
     return node
 
 
+class _Tags:
+    """Ends of tags, each character looked at a fixed number of times."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.last, self.plain = html, html.rfind(">"), False
+
+    def end(self, start: int) -> int:
+        """The place of the `>` of the tag that begins at `start`, -1 if it has none."""
+        if start > self.last:
+            return -1
+        at = start
+        while not self.plain:
+            m = _QUOTE_OR_END.search(self.html, at)
+            if m is not None and m[0] == ">":
+                return m.start()
+            # a quote that is not closed: from here on quotes mean nothing
+            at = -1 if m is None else self.html.find(m[0], m.end()) + 1
+            self.plain = at <= 0
+        return self.html.find(">", start)
+
+
 def parse(html: str) -> list[tuple[_Node, str, int]]:
     """Blocks in page order: the element they stand in, their text and how much of it is links. Left-out parts are not in it."""
     blocks: list[tuple[_Node, str, int]] = []
-    root = _Node("", "", None, False)
-    stack = [root]
+    root = _Node("", "", None, False, False)
+    nodes, stack = [root], [root]
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
-    linked = depth_a = 0
+    linked = 0
 
     def flush() -> None:
         nonlocal linked
         if text:
             value = " ".join("".join(text).split())
             if value:
-                holder = stack[-1]
-                while holder.tag not in _BLOCK and holder.parent is not None:
-                    holder = holder.parent
-                if not holder.bad:
-                    blocks.append((holder, value, min(linked, len(value))))
+                blocks.append((stack[-1].block, value, min(linked, len(value))))
             text.clear()
         linked = 0
 
     def add(value: str) -> None:
         nonlocal linked
-        if value and not stack[-1].bad:
+        if value and not stack[-1].drop:
             value = unescape(value)
             text.append(value)
-            if depth_a:
+            if open_tags["a"]:
                 linked += len(value)
 
     def pop_to(index: int) -> None:
-        nonlocal depth_a
-        depth_a -= sum(x.tag == "a" for x in stack[index:])
+        open_tags.subtract(x.tag for x in stack[index:])
         del stack[index:]
 
+    tags = _Tags(html)
     at = 0
     size = len(html)
     while at < size:
-        m = _MARKUP.search(html, at)
+        m = _OPENING.search(html, at)
         if m is None:
             add(html[at:])
             break
-        add(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        start = m.start()
+        add(html[at:start])
+        if html.startswith("<!--", start):
+            m = _COMMENT_END.search(html, start + 4)
+            at = m.end() if m else size
             continue
-        tag = m[2].lower()
+        if html[start + 1] in "!?":
+            end = html.find(">", start)
+            at = end + 1 if end >= 0 else size
+            continue
+        end = tags.end(start)
+        if end < 0:
+            add(html[start:])
+            break
+        at = end + 1
+        m = _NAME.match(html, start + 1, end)
+        tag, attributes = m[2].lower(), html[m.end() : end]
         block = tag in _BLOCK
         if block:
             flush()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags[tag] > 0 else ():
                 if stack[i].tag == tag:
                     pop_to(i)
                     break
@@ -180,41 +236,69 @@ def parse(html: str) -> list[tuple[_Node, str, int]]:
             continue
         if tag in _CLOSE_P or tag in _CLOSES:
             ends = _CLOSES.get(tag, frozenset()) | {"p"}
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(open_tags[x] > 0 for x in ends) else ():
                 if stack[i].tag in ends:
                     pop_to(i)
                     break
                 if stack[i].tag in _SCOPE:
                     break
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+            end = _raw_end(tag).search(html, at)
             at = end.end() if end else size
             continue
-        if tag in _VOID or m[3].endswith("/") and not block:
+        if tag in _VOID or attributes.endswith("/") and not block:
             continue
-        stack.append(_node(tag, m[3], stack[-1]))
-        depth_a += tag == "a"
+        node = _node(tag, attributes, stack[-1])
+        nodes.append(node)
+        stack.append(node)
+        open_tags[tag] += 1
     flush()
-    return blocks
+    _decide(nodes, blocks)
+    return [b for b in blocks if not b[0].bad]
+
+
+@lru_cache(None)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I)
+
+
+def _decide(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> None:
+    """Settle the doubts: an element stays if it holds what the page is about."""
+    if not any(n.doubt and not n.drop for n in nodes):
+        return
+    for node, value, linked in blocks:
+        node.held += len(value) - linked
+    for node in reversed(nodes):  # children come after their parents
+        node.heads += node.tag == "h1"
+        node.articles += node.tag in ("article", "main")
+        node.paragraphs += node.tag == "p"
+        if node.parent is not None:
+            up = node.parent
+            up.held, up.heads, up.articles, up.paragraphs = up.held + node.held, up.heads + node.heads, up.articles + node.articles, up.paragraphs + node.paragraphs
+    page = nodes[0]
+    left = sum(len(value) - linked for node, value, linked in blocks if not node.bad)
+    for node in nodes[1:]:
+        if node.doubt and not node.drop and not node.parent.bad:
+            most = 2 * node.held > page.held
+            whole = node.heads == page.heads if page.heads else node.articles == page.articles == 1
+            about = node.heads or node.articles or node.tag == "form" and node.paragraphs
+            if most and (about and not left or whole and node.tag not in _PLAIN_PART):
+                node.doubt = False
+        node.bad = node.drop or node.doubt or node.parent.bad
 
 
 def score(blocks: list[tuple[_Node, str, int]]) -> list[_Node]:
     """Containers with a score, best first."""
     seen: dict[int, _Node] = {}
     for node, value, linked in blocks:
-        holder = node
-        while holder.tag not in _CONTAINER and holder.parent is not None:
-            holder = holder.parent
+        holder = node.container
         worth = len(value) * (1 - linked / max(1, len(value))) * (1.25 if len(value) > 80 else 0.5)
         for share in (1.0, 0.5):
             if holder is None:
                 break
             seen[id(holder)] = holder
             holder.score += share * worth
-            up = holder.parent
-            while up is not None and up.tag not in _CONTAINER:
-                up = up.parent
-            holder = up
+            holder = holder.parent.container if holder.parent is not None else None
     return sorted(seen.values(), key=lambda n: (-n.score, n.path()))
 
 
@@ -227,32 +311,29 @@ def vote(html: str) -> tuple[str, float] | None:
 def main_text(html: str, path: str | None) -> str:
     """The text on the path, or of the page's best container."""
     blocks = parse(html)
-    on_path: dict[int, bool] = {}
 
-    def inside(node: _Node | None) -> bool:
-        if node is None:
-            return False
-        if id(node) not in on_path:
-            # label first: building a path costs more
-            on_path[id(node)] = (node.label == last and node.path() == path) or inside(node.parent)
-        return on_path[id(node)]
+    def below(is_top: Callable[[_Node], bool]) -> list[str]:
+        """Texts of the blocks with such an element at or above them; each element is asked once."""
+        known: dict[int, bool] = {}
+        out = []
+        for node, value, _ in blocks:
+            way = []
+            while node is not None and id(node) not in known and not is_top(node):
+                way.append(node)
+                node = node.parent
+            found = node is not None and known.get(id(node), True)
+            known.update((id(x), found) for x in way)
+            if found:
+                out.append(value)
+        return out
 
     if path is not None:
         last = path.rpartition(">")[2]
-        found = [value for node, value, _ in blocks if inside(node)]
-        if found:
+        # label first: building a path costs more
+        if found := below(lambda node: node.label == last and node.path() == path):
             return " ".join(found)
     ranked = score(blocks)
-    if not ranked:
-        return ""
-    best = ranked[0]
-
-    def under(node: _Node | None) -> bool:
-        while node is not None and node is not best:
-            node = node.parent
-        return node is best
-
-    return " ".join(value for node, value, _ in blocks if under(node))
+    return " ".join(below(lambda node: node is ranked[0])) if ranked else ""
 
 
 def host(url: Column) -> Column:
