@@ -175,11 +175,10 @@ def fit_rows(ids: list, labels: list[int], rows: list[np.ndarray], bits: int) ->
     return w, ratio, bias, a, b
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality",
-    max_rows: int = MAX_ROWS, bits: int = BITS,
-) -> dict:
-    """The model as a small dictionary. Only ids, texts and the given labels are read."""
+def training_rows(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS, bits: int = BITS,
+) -> DataFrame:
+    """`id, y, f` of at most `max_rows` labelled documents, one for each id and text, in a fixed order of their hashes."""
     ship_package(docs.sparkSession)
     key = fresh("label__id", docs.columns)
     taught = labels.where(col(label).isNotNull() & col(id_column).isNotNull()).groupBy(col(id_column).alias(key)).agg(F.min(col(label)).alias("y"))
@@ -192,10 +191,22 @@ def fit(
             row, feature = features(texts(part.column(1)), bits)
             ends = np.searchsorted(row, np.arange(part.num_rows + 1))
             yield pa.record_batch({
-                "id": part.column(0).cast(pa.string()), "y": part.column(2).cast(pa.int32()),
+                "id": part.column(0).cast(pa.string()), "y": part.column(2).cast(pa.int32()), "h": part.column(3),
                 "f": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32())),
             })
 
+    found = rows.withColumn("h", F.xxhash64("text")).mapInArrow(extract, "id string, y int, h long, f array<int>")
+    # copies of a row, however many, are one
+    one = found.groupBy("id", "h").agg(F.first("y").alias("y"), F.first("f").alias("f"))
+    return one.orderBy(F.xxhash64(F.lit(17), F.col("id")), "id", "h").limit(max_rows).select("id", "y", "f")
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality",
+    max_rows: int = MAX_ROWS, bits: int = BITS,
+) -> dict:
+    """The model as a small dictionary, from at most `max_rows` rows. Only ids, texts and the given labels are read."""
+
     def train(batches: Iterable[pa.RecordBatch]):
         ids, y, rows = [], [], []
         for batch in batches:
@@ -209,7 +220,7 @@ def fit(
             "curve": pa.array([[float(bias), float(a), float(b)]], pa.list_(pa.float64())),
         })
 
-    sample = rows.mapInArrow(extract, "id string, y int, f array<int>").repartition(1)
+    sample = training_rows(docs, labels, id_column, text, label, max_rows, bits)
     model = sample.mapInArrow(train, "weights binary, ratio binary, curve array<double>").collect()
     if not model:
         return {"weights": np.zeros(1 << bits, "<f4").tobytes(), "ratio": np.zeros(1 << bits, "<f4").tobytes(), "curve": [0.0, 0.0, 0.0], "bits": bits}

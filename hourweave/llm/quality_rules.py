@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourweave.llm.common import WORD, col
+from hourweave.llm.common import WORD, col, fresh
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -60,7 +60,7 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """Adds `n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words` and the counts that the ratios need."""
     p = prefix
     whole = F.coalesce(col(text).cast("string"), F.lit(""))
-    words, lines, windows, repeats = (p + x for x in ("words__", "lines__", "windows__", "repeats__"))
+    words, lines, windows, repeats = (fresh(p + x, docs.columns) for x in ("words__", "lines__", "windows__", "repeats__"))
     with_word = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     df = docs.withColumns({words: F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), lines: with_word})
     w = col(words)
@@ -127,10 +127,27 @@ def compile_rules(rules: Sequence[Rule] = RULES, prefix: str = "") -> Column:
     return broken
 
 
+#: Names that `judge` adds.
+ADDED = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_upper", "n_lines", "n_bullet_lines", "n_ellipsis_lines",
+    "base_failed", "kept")
+
+
+def free_prefix(docs: DataFrame, prefix: str = "") -> str:
+    """`prefix`, after as many underscores as no added name needs to clash with a column."""
+    have = {c.lower() for c in docs.columns}
+    while any((prefix + name).lower() in have for name in ADDED):
+        prefix = "_" + prefix
+    return prefix
+
+
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", prefix: str = "") -> DataFrame:
-    """`docs` with the counts of `measure`, `base_failed` and `kept`."""
-    p = prefix
-    measured = measure(docs, text, prefix)
+    """`docs` with the counts of `measure`, `base_failed` and `kept`.
+
+    Where a column of `docs` has one of these names, underscores go in front of all the added ones (see `free_prefix`).
+    """
+    p = free_prefix(docs, prefix)
+    measured = measure(docs, text, p)
     n, repeats = col(p + "n_words"), col(p + "n_repeat_words")
     base = (n < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n)
     return measured.withColumn(p + "base_failed", base).withColumn(p + "kept", ~(col(p + "base_failed") | compile_rules(rules, p)))
@@ -138,9 +155,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", pr
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows of `docs` that break no rule, with their own columns only."""
-    prefix = "rule__"
-    while any(c.lower().startswith(prefix) for c in docs.columns):
-        prefix = "_" + prefix
+    prefix = free_prefix(docs, "rule__")
     return judge(docs, rules, text, prefix).where(col(prefix + "kept")).select(*[col(c) for c in docs.columns])
 
 

@@ -62,7 +62,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(read_table(spark, sf_dir, "documents"))
+    judged = judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

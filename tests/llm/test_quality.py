@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hourweave.llm import quality_classifier as qc
 from hourweave.llm import quality_rules as qr
@@ -53,6 +54,23 @@ def test_keep_good_keeps_columns(docs):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in qr.judge(docs, prefix="q_").where("q_kept").collect()}
 
 
+def test_every_added_name_as_a_column(spark, docs, tmp_path):
+    """Columns of a table that have the names of counts, verdicts and helpers stay as they are."""
+    plain = docs.select("doc_id", "text")
+    taken = plain.withColumns({c: F.lit(7) for c in (*qr.ADDED, "words__", "lines__", "windows__", "repeats__", "rule__kept", "_n_words")})
+    judged = qr.judge(taken)
+    assert judged.columns[: len(taken.columns)] == taken.columns and judged.where("n_words <> 7 OR kept <> 7 OR words__ <> 7 OR rule__kept <> 7").isEmpty()
+    added = judged.columns[len(taken.columns) :]
+    assert [c.lstrip("_") for c in added] == list(qr.ADDED)
+    own = {(r.doc_id, r[added[-1]], r[added[0]]) for r in judged.collect()}
+    assert own == {(r.doc_id, r.kept, r.n_words) for r in qr.judge(plain).collect()}
+    kept = qr.keep_good(taken)
+    assert kept.columns == taken.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in qr.keep_good(plain).collect())
+    taken.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    query = QUERIES["op5_quality_rules"](spark, str(tmp_path))
+    assert {(r.doc_id, r.kept, r.n_words) for r in query.collect()} == own
+
+
 def test_rules_run_no_python(spark, sf_dir):
     plan = QUERIES["op5_quality_rules"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
@@ -107,6 +125,20 @@ def test_few_labels(spark, docs, labels):
     assert len({r.p for r in rows if not (r.text or "").strip()}) == 1
 
 
+def test_copies_of_labelled_rows_do_not_grow_the_fit(spark, monkeypatch):
+    """A labelled id a hundred thousand times, with one text and with many: the fit reads at most `max_rows` rows."""
+    base = [(i, f"text {i} of the best kind" if i % 2 else f"### {i} $$$ %%%") for i in range(40)]
+    rows = spark.createDataFrame(base, "doc_id long, text string")
+    many = rows.unionByName(spark.range(100_000).selectExpr("3 AS doc_id", "'text 3 of the best kind' AS text")).unionByName(
+        spark.range(5_000).selectExpr("4 AS doc_id", "concat('### ', id, ' $$$ %%%') AS text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    assert qc.training_rows(many, labels, max_rows=60, bits=12).count() == 60
+    assert qc.training_rows(many, labels, max_rows=10**6, bits=12).count() == 40 + 5_000 - 1  # id 4 has one of the texts already
+    assert qc.training_rows(rows, labels, max_rows=20, bits=12).count() == 20
+    copies = rows.unionByName(rows).unionByName(rows)
+    assert qc.fit(copies, labels, bits=12) == qc.fit(rows, labels, bits=12)
+
+
 def test_labels_of_other_rows_never_matter(spark, docs):
     """Scores follow from texts alone."""
     r = random.Random(1)
