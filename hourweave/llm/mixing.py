@@ -165,7 +165,7 @@ def _last_rows(dealt: DataFrame, plan: DataFrame) -> DataFrame:
     filled = filled.withColumn("best", best)
     nearer = F.coalesce(-F.col("best.minus") - F.col("fit.left") < F.col("fit.left"), F.lit(False))
     taken = F.when(nearer, F.array_append(F.col("fit.taken"), F.col("best"))).otherwise(F.col("fit.taken"))
-    return filled.select("s", F.explode(taken).alias("t")).select("s", F.col("t.id").alias("i"), F.col("t.size").alias("z"))
+    return filled.select("s", F.explode(taken).alias("t")).select("s", F.col("t.id").alias("i"), F.col("t.size").alias("z"), F.col("t.order").alias("o"))
 
 
 def split_quotas(plan: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -205,17 +205,20 @@ def split_quotas(plan: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def draw_mix(
     docs: DataFrame, size: Column, weights: Sequence[float], id_column: str = "doc_id", source: str = "source", share: float = 1.0,
-    max_passes: int = 3, shards: int = SHARDS, block_rows: int = BLOCK_ROWS, seed: int = 11, prefix: str = "mix_",
+    max_passes: int = 3, shards: int = SHARDS, block_rows: int = BLOCK_ROWS, seed: int = 11, prefix: str = "mix_", text: str | None = "text",
 ) -> DataFrame:
     """`docs` with `mix_size`, `mix_source_size`, `mix_target` and `mix_draws`, an array of (pass, shard, position).
 
-    A row is in the mix once for each of its draws; `mix_rows` makes rows of them.
+    A row is in the mix once for each of its draws; `mix_rows` makes rows of them. Rows are told apart by id, size and `text`,
+    where the table has it; rows that agree in all of them are drawn alike.
     """
     p = prefix
     names = {k: fresh(p + k, docs.columns) for k in ("size", "source_size", "target", "draws")}
     helper = fresh("row__order", docs.columns)
     text_id, text_source = col(id_column).cast("string"), col(source).cast("string")
-    order = F.xxhash64(F.lit(seed), text_id, size)
+    # ids may be null or repeated: the text tells rows apart too
+    whole = [col(text).cast("string")] if text is not None and text.lower() in {c.lower() for c in docs.columns} else []
+    order = F.xxhash64(F.lit(seed), text_id, size, *whole)
     slim = materialise(docs.select(text_id.alias("id"), text_source.alias("source"), size.cast("long").alias("size"), order.alias("order")), "mix-rows")
     plan, dealt = _plan(slim, weights, share, max_passes, block_rows)
     last = materialise(_last_rows(dealt, plan), "mix-last-rows")
@@ -230,8 +233,8 @@ def draw_mix(
     small = per_source.count() * shards <= BROADCAST_LIMITS
     rows = docs.withColumn(helper, order).withColumn(names["size"], size.cast("long"))
     rows = rows.join(F.broadcast(per_source) if small else per_source, text_source.eqNullSafe(F.col("of__source")), "left")
-    chosen = last.select(F.col("s").alias("last__source"), F.col("i").alias("last__id"), F.col("z").alias("last__size"), F.lit(True).alias("last__row"))
-    same = text_id.eqNullSafe(F.col("last__id")) & text_source.eqNullSafe(F.col("last__source")) & (col(names["size"]) == F.col("last__size"))
+    chosen = last.select(F.col("s").alias("last__source"), F.col("i").alias("last__id"), F.col("z").alias("last__size"), F.col("o").alias("last__order"), F.lit(True).alias("last__row"))
+    same = text_id.eqNullSafe(F.col("last__id")) & text_source.eqNullSafe(F.col("last__source")) & (col(names["size"]) == F.col("last__size")) & (col(helper) == F.col("last__order"))
     rows = rows.join(F.broadcast(chosen) if chosen.count() <= BROADCAST_LIMITS else chosen, same, "left")
     block = F.pmod(col(helper), F.col("blocks")).cast("long")
     # pass k goes through the blocks from another one on, so that a shard's stretch is not the same stretch every time

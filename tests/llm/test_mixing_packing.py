@@ -42,6 +42,19 @@ def mixed(spark):
     return rows, spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
+def test_rows_without_ids_of_one_size(spark):
+    """Texts tell them apart, so a source without ids comes near its target like any other."""
+    rows = [(None if s == "a" else i, f"w{i} " * 10, s) for s, n in (("a", 1000), ("b", 500)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = {"a": 10_000, "b": 5_000}
+    want = fill(sizes, (1, 2, 3))
+    for block_rows in (16, 512, 4096):
+        taken = Counter()
+        for r in mixing.draw_mix(df, word_count(F.col("text")), (1, 2, 3), block_rows=block_rows).collect():
+            taken[r.source] += r.mix_size * len(r.mix_draws)
+        assert all(abs(taken[s] - want[s]) <= 10 for s in sizes)
+
+
 def test_targets_takings_and_shards(mixed):
     rows, df = mixed
     draw = lambda: mixing.draw_mix(df, word_count(F.col("text")), (1, 2, 3), shards=8, block_rows=16)
