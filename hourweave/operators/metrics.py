@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourweave.operators.quantiles import exact_quantiles
+from hourweave.session import materialise
 
 MAPE_EPSILON = 1e-10
 
@@ -106,16 +108,27 @@ def interval_coverage(df: DataFrame, low: str, high: str, y: str = "y", by: Sequ
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(inside.cast("double")).alias("coverage"))
 
 
-def interval_width(df: DataFrame, low: str, high: str) -> DataFrame:
-    """mean, median, population deviation, smallest and largest width."""
-    widths = df.select((F.col(high) - F.col(low)).alias("width"))
-    median = exact_quantiles(widths, ["width"], [0.5]).select("value").scalar()
-    return widths.agg(
-        F.avg("width").alias("mean_width"),
-        F.stddev_pop("width").alias("std_width"),
-        F.min("width").alias("min_width"),
-        F.max("width").alias("max_width"),
-    ).withColumn("median_width", median)
+def _with_median(sums: DataFrame, df: DataFrame, width: Column, name: str, by: Sequence[str]) -> DataFrame:
+    """Add the exact median of `width` per group."""
+    found = exact_quantiles(df.select(*by, width.alias("width")), ["width"], [0.5], by)
+    if not by:
+        return sums.withColumn(name, found.select("value").scalar())
+    # stored: its size decides how the groups meet
+    medians = materialise(found.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("value").alias(name)), "medians")
+    same = reduce(lambda a, c: a & c, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return sums.join(medians, same, "left").drop(*[f"_{c}" for c in by])
+
+
+def interval_width(df: DataFrame, low: str, high: str, by: Sequence[str] = ()) -> DataFrame:
+    """mean, median, population deviation, smallest and largest width, per group of `by`."""
+    width = F.col(high) - F.col(low)
+    sums = df.groupBy(*by).agg(
+        F.avg(width).alias("mean_width"),
+        F.stddev_pop(width).alias("std_width"),
+        F.min(width).alias("min_width"),
+        F.max(width).alias("max_width"),
+    )
+    return _with_median(sums, df, width, "median_width", by)
 
 
 def pinball_loss(df: DataFrame, levels: dict[str, float], y: str = "y", by: Sequence[str] = ()) -> DataFrame:
@@ -145,14 +158,13 @@ def calibration_band(coverage: Column, goal: float = 0.8) -> Column:
     )
 
 
-def quantile_metrics(df: DataFrame, y: str = "y") -> DataFrame:
-    """One row evaluating p10, p50 and p90 together."""
+def quantile_metrics(df: DataFrame, y: str = "y", by: Sequence[str] = ()) -> DataFrame:
+    """One row per group of `by`, evaluating p10, p50 and p90 together."""
     err = F.col(y) - F.col("p50")
     width = F.col("p90") - F.col("p10")
     crossed = F.count_if(F.col("p10") > F.col("p50")) + F.count_if(F.col("p50") > F.col("p90"))
     n = F.count(F.lit(1))
-    median = exact_quantiles(df.select(width.alias("width")), ["width"], [0.5]).select("value").scalar()
-    sums = df.agg(
+    sums = df.groupBy(*by).agg(
         F.avg(F.abs(err)).alias("mae_p50"),
         F.sqrt(F.avg(err * err)).alias("rmse_p50"),
         (1 - F.try_divide(F.avg(err * err), F.var_pop(y))).alias("r2_p50"),
@@ -162,7 +174,7 @@ def quantile_metrics(df: DataFrame, y: str = "y") -> DataFrame:
         crossed.alias("quantile_violations"),
         (crossed / (2 * n) * 100).alias("quantile_violations_pct"),
     )
-    return sums.withColumn("interval_median_width", median).withColumn("calibration", calibration_band(F.col("coverage_80")))
+    return _with_median(sums, df, width, "interval_median_width", by).withColumn("calibration", calibration_band(F.col("coverage_80")))
 
 
 def rmse_alert(metrics: DataFrame, threshold: float = 10.0) -> DataFrame:

@@ -7,18 +7,23 @@ rows, and no row is sampled away.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.errors import AnalysisException, IllegalArgumentException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException, IllegalArgumentException, PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourweave.functions.scalar import DAM, RTM, SPREAD, attach_row, regime
 from hourweave.functions.timeutil import HOUR, KEY
+from hourweave.operators.boosting import PATIENCE, fit_boosted, leaves
+from hourweave.operators.ensemble import sweep_metrics
 from hourweave.operators.prep import train_rows
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.operators.windows import lag_features
@@ -27,9 +32,6 @@ from hourweave.session import materialise
 Z95 = 1.959964
 
 
-PATIENCE = 50
-
-
 def gbt(
     label: str = SPREAD, rounds: int = 1000, depth: int = 6, step: float = 0.05, min_leaf: int = 20, share: float = 0.8, seed: int = 42,
 ) -> GBTRegressor:
@@ -68,46 +70,14 @@ def regime_classifier(kind: str = "forest", trees: int = 100, depth: int = 10, s
     return LogisticRegression(family="multinomial", maxIter=100, **base)
 
 
-def fit(data: DataFrame, features: Sequence[str], estimator: Estimator) -> PipelineModel:
-    """Fit on the training rows; the number of boosting rounds is chosen on the validation rows."""
+def fit(data: DataFrame, features: Sequence[str], estimator: Estimator, patience: int = PATIENCE) -> PipelineModel:
+    """Fit on the training rows; boosting stops `patience` rounds after the best one on the validation rows."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     if isinstance(estimator, GBTRegressor):
-        return PipelineModel(stages=[assemble, fit_boosted(assemble.transform(data), estimator)])
+        return PipelineModel(stages=[assemble, fit_boosted(assemble.transform(data), estimator, patience)])
     return Pipeline(stages=[assemble, estimator]).fit(train_rows(data))
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The 1-based round with the least loss before `patience` rounds bring no less, and whether it came to that."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_boosted(data: DataFrame, estimator: GBTRegressor, patience: int = PATIENCE) -> GBTRegressionModel:
-    """Boosting up to the best round on the validation rows.
-
-    Rounds are fitted in doubling numbers until the best one lies `patience` rounds back, then those beyond it are
-    left out by a fit to that round: with one seed, fewer rounds give the same first trees. Without validation rows all
-    rounds are fitted.
-    """
-    train, val = train_rows(data), data.filter(F.col("split") == "val")
-    most = estimator.getMaxIter()
-    if val.isEmpty():
-        return estimator.fit(train)
-    tried = min(most, 2 * patience)
-    while True:
-        model = estimator.copy({estimator.maxIter: tried}).fit(train)
-        best, stopped = best_round(model.evaluateEachIteration(val, "squared"), patience)
-        if stopped or tried == most:
-            break
-        tried = min(most, 2 * tried)
-    return model if best == tried else estimator.copy({estimator.maxIter: best}).fit(train)
-
-
 def predict(model: PipelineModel, data: DataFrame, name: str, label: str = SPREAD, keys: Sequence[str] = (HOUR, KEY)) -> DataFrame:
     """Rows (keys, split, model, y, prediction)."""
     return model.transform(data).select(
@@ -115,17 +85,32 @@ def predict(model: PipelineModel, data: DataFrame, name: str, label: str = SPREA
     )
 
 
-def sweep(data: DataFrame, features: Sequence[str], specs: dict[str, Estimator], label: str = SPREAD) -> tuple[DataFrame, dict[str, str]]:
+def sweep(
+    data: DataFrame, features: Sequence[str], specs: dict[str, Estimator], label: str = SPREAD, workers: int = 4, patience: int = PATIENCE,
+) -> tuple[DataFrame, dict[str, str]]:
     """Fit every model and stack their predictions, with the reasons of those that cannot be fitted.
 
-    Only wrong parameters or columns count as such; a failed job, as after lost executors, is raised.
+    Fits are submitted by `workers` threads, each model in a scheduler pool of its own, over one stored table. Wrong
+    parameters or columns fail at once; a fit whose job fails is tried once more, then counts as failed too.
     """
-    frames, failures = [], {}
-    for name, estimator in specs.items():
-        try:
-            frames.append(predict(fit(data, features, estimator), data, name, label))
-        except (IllegalArgumentException, AnalysisException) as error:
-            failures[name] = str(error).splitlines()[0]
+    stored = materialise(data, "sweep")
+
+    def attempt(item: tuple[str, Estimator]) -> PipelineModel | str:
+        name, estimator = item
+        data.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        for last in (False, True):
+            try:
+                return fit(stored, features, estimator, patience)
+            except (IllegalArgumentException, AnalysisException) as error:
+                return str(error).splitlines()[0]
+            except (PySparkException, Py4JJavaError) as error:
+                if last:
+                    return str(error).splitlines()[0]
+
+    with ThreadPoolExecutor(workers) as pool:
+        fitted = dict(zip(specs, pool.map(inheritable_thread_target(data.sparkSession)(attempt), specs.items())))
+    failures = {name: model for name, model in fitted.items() if isinstance(model, str)}
+    frames = [predict(model, stored, name, label) for name, model in fitted.items() if name not in failures]
     if not frames:
         raise RuntimeError(f"no model could be fitted: {failures}")
     out = frames[0]
@@ -134,6 +119,20 @@ def sweep(data: DataFrame, features: Sequence[str], specs: dict[str, Estimator],
     return out, failures
 
 
+def sweep_specs(n_rows: int, label: str = SPREAD, rounds: int = 1000, step: float = 0.05, trees: int = 200) -> dict[str, Estimator]:
+    """The default field of a sweep: boosted trees, a forest and the linear family."""
+    return {"gbt": gbt(label, rounds=rounds, step=step), "random_forest": random_forest(label, trees=trees), **linear_models(n_rows, label)}
+
+
+def sweep_board(predictions: DataFrame, failures: dict[str, str]) -> DataFrame:
+    """Models by validation MAE, all scored in one grouped pass; failed ones last, with null metrics and their reason."""
+    board = sweep_metrics(predictions).withColumn("failure", F.lit(None).cast("string"))
+    lost = predictions.sparkSession.createDataFrame(sorted(failures.items()), "model string, failure string")
+    # one row per model of the sweep
+    place = F.row_number().over(Window.orderBy(F.col("val_mae").asc_nulls_last(), "model"))
+    return board.unionByName(lost, allowMissingColumns=True).withColumn("place", F.when(F.col("failure").isNull(), place))
+
+
 def regime_predictions(model: PipelineModel, data: DataFrame, keys: Sequence[str] = (HOUR, KEY)) -> DataFrame:
     """Rows (keys, split, y, prediction, probability array)."""
     return model.transform(data).select(
@@ -213,6 +212,26 @@ def quantile_by_group(data: DataFrame, y: str = SPREAD, by: Sequence[str] = (KEY
     return data.join(fitted, list(by), "left")
 
 
+def quantile_forest(data: DataFrame, features: Sequence[str], forest: RandomForestRegressor, y: str = SPREAD, names: dict[float, str] = QUANTILES) -> DataFrame:
+    """Quantiles given the features: the training quantiles of a row's leaf in each tree, averaged over the trees.
+
+    Leaf quantiles are exact and come from all training rows. Rows keep all columns; names of quantiles are added.
+    """
+    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+    model = forest.fit(train_rows(assemble.transform(data)))
+    rows = materialise(leaves(model, assemble.transform(data)).drop("features", "prediction"), "leaves")
+    member = train_rows(rows).select(F.col(y).cast("double").alias("_y"), F.posexplode("leaves").alias("tree", "leaf"))
+    cuts = quantile_columns(exact_quantiles(member, ["_y"], list(names), ["tree", "leaf"]), names, ["tree", "leaf"])
+    # one list per tree, in order of the leaf: as large as the forest, not as the data
+    by_leaf = F.map_from_entries(F.collect_list(F.struct("leaf", F.array(*names.values()).alias("cuts"))))
+    per_tree = cuts.groupBy("tree").agg(by_leaf.alias("by_leaf"))
+    table = materialise(per_tree.agg(F.map_from_entries(F.collect_list(F.struct("tree", "by_leaf"))).alias("forest")), "forest-quantiles")
+    held = F.transform("leaves", lambda leaf, tree: F.col("_q.forest")[tree][leaf])
+    with_cuts = attach_row(rows, table, "_q").withColumn("_held", held).drop("_q")
+    mean = lambda i: F.aggregate("_held", F.lit(0.0), lambda a, x: a + x[i]) / F.size("_held")
+    return with_cuts.withColumns({name: mean(i) for i, name in enumerate(names.values())}).drop("_held", "leaves")
+
+
 def conformal_interval(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Shift each prediction by the quantiles of the validation residuals.
 

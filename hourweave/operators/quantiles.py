@@ -1,9 +1,10 @@
-"""Exact quantiles by narrowing value ranges, for groups of any size.
+"""Exact quantiles by radix selection, for groups of any size.
 
-`percentile` keeps every distinct value of a group in one buffer. Here the value range
-of a group is divided into equal bins, bins are counted (partial aggregation first), and
-only the bin that holds the wanted rank is looked at again. Bins are re-fitted to their
-true minimum and maximum at each level, so skewed values narrow as fast as even ones.
+`percentile` keeps every distinct value of a group in one buffer. Here a double becomes a long that orders as the double
+does (its IEEE bits), and ranks are found digit by digit: each pass counts the next digit of all groups and columns at
+once (partial aggregation first) and keeps only the digits that hold a wanted rank. The first digit has the sign, the
+exponent and eight bits more, so values over any range spread over it. Passes go on until no kept digit holds more than
+`OPEN_ROWS` values; those are then ranked by value.
 """
 
 from __future__ import annotations
@@ -13,74 +14,95 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourweave.functions.scalar import bin_number
+from hourweave.session import materialise
+
+#: Rows of one digit that are ranked by value instead of counted by a further digit.
+OPEN_ROWS = 100_000
+#: Bits below each digit.
+SHIFTS = (44, 28, 12, 0)
+
+
+def order_bits(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add a long that orders as the double `value` does; equal codes mean equal values, NaN must not occur.
+
+    The exponent comes from a logarithm and is put right where that is off by one; all divisions are by powers of two.
+    """
+    size = F.abs(value)
+    near = F.floor(F.least(F.greatest(F.coalesce(F.log2(size), F.lit(-1022.0)), F.lit(-1022.0)), F.lit(1023.0))).cast("long")
+    shifted = F.when(F.col("_m") >= 2, 1).when((F.col("_m") < 1) & (F.col("_e") > -1022), -1).otherwise(0)
+    whole = F.lit(1 << 52)
+    code = F.when(size == float("inf"), F.lit(2047) * whole).otherwise(
+        (F.col("_e") + F.col("_s") + 1022) * whole + (F.col("_m") / F.when(F.col("_s") == 1, 2.0).when(F.col("_s") == -1, 0.5).otherwise(1.0) * whole).cast("long"))
+    return (
+        df.withColumn("_e", near).withColumn("_m", F.when(size < float("inf"), size / F.pow(F.lit(2.0), F.col("_e"))).otherwise(1.0))
+        .withColumn("_s", shifted).withColumn(name, F.when(F.col(value) < 0, -code).otherwise(code)).drop("_e", "_m", "_s")
+    )
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    levels: int = 2,
-    bins: int = 4096,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), open_rows: int | None = None,
 ) -> DataFrame:
     """Long table (by..., column, prob, value), linear interpolation between ranks.
 
-    Nulls are left out; a column that is all null has no rows.
+    Nulls and NaN are left out; a column that is all null has no rows. A null is a group of its own. Reads `df` once per
+    digit and once more: twice in all unless a digit holds more than `open_rows` values.
     """
-    by = list(by)
+    by, open_rows = list(by), OPEN_ROWS if open_rows is None else open_rows
     group = [*by, "column"]
-    span = [*group, "n", "skipped", "low", "high"]
-
-    long = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot(by, list(columns), "column", "v")
-        .filter(F.col("v").isNotNull())
-    )
-    extent = [
-        F.struct(
-            F.lit(c).alias("column"), F.count(c).alias("n"), F.lit(0).cast("long").alias("skipped"),
-            F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"),
-        ).alias(f"_{i}")
-        for i, c in enumerate(columns)
-    ]
-    spans = (
-        df.groupBy(*by).agg(*extent)
-        .select(*by, F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
-        .filter(F.col("n") > 0)
-    )
-    # every rank wanted in a group of n values; which piece holds it follows from the rows before the piece
+    value = F.when(~F.isnan("v"), F.col("v"))
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(by, list(columns), "column", "v")
+    coded = order_bits(long.withColumn("v", value).filter(F.col("v").isNotNull()), "v", "code")
+    # every rank wanted in a group of n values; which digit holds it follows from the rows before the digit
     ranks = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("upper"), (end((F.col("n") - 1) * F.lit(float(p))) + 1).alias("rank"))
         for p in probs
         for side, end in enumerate((F.floor, F.ceil))
     ])
 
-    def pieces(keys: list[Column | str], order: str, *extra: Column) -> DataFrame:
-        """Counted pieces of the spans that hold a wanted rank, with the rows before them in their group."""
-        # without groups there is at most one span per column and rank, hence the broadcast
-        lookup = spans if by else F.broadcast(spans)
-        inside = long.join(lookup, group).filter((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+    def inside(spans: DataFrame, shift: int) -> DataFrame:
+        """The rows whose digits are kept."""
+        mine = [F.col(g).alias(f"_{g}") for g in group]
+        # without groups there is at most one digit per column and rank, hence the broadcast
+        lookup = spans.select(*mine, "n", "skipped", "digit")
+        match = F.shiftright("code", shift) == F.col("digit")
+        for g in group:
+            match = match & F.col(g).eqNullSafe(F.col(f"_{g}"))
+        return coded.join(lookup if by else F.broadcast(lookup), match).drop(*[f"_{g}" for g in group])
+
+    def holding(counted: DataFrame, span: Sequence[str], order: str) -> DataFrame:
+        """Counted pieces that hold a wanted rank, with the rows before them in their group."""
         ahead = Window.partitionBy(*span).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return (
-            inside.groupBy(*span, *keys).agg(F.count(F.lit(1)).alias("c"), *extra)
-            .withColumn("before", F.col("skipped") + F.coalesce(F.sum("c").over(ahead), F.lit(0)))
+            counted.withColumn("before", F.col("skipped") + F.coalesce(F.sum("c").over(ahead), F.lit(0)))
             .withColumn("held", F.filter(ranks, lambda r: r["rank"].between(F.col("before") + 1, F.col("before") + F.col("c"))))
             .filter(F.size("held") > 0)
         )
 
-    for _ in range(levels):
-        bin_no = bin_number(F.col("v"), F.col("low"), F.col("high"), bins).alias("bin")
-        spans = pieces([bin_no], "bin", F.min("v").alias("_low"), F.max("v").alias("_high")).select(
-            *group, "n", F.col("before").alias("skipped"), F.col("_low").alias("low"), F.col("_high").alias("high")
-        )
-    found = pieces(["v"], "v").select(*group, "n", "v", F.inline("held"))
+    spans = None
+    for i, shift in enumerate(SHIFTS):
+        digit = F.shiftright("code", shift).alias("next")
+        if spans is None:
+            counted = coded.groupBy(*group, digit).agg(F.count(F.lit(1)).alias("c"))
+            counted = counted.withColumns({"n": F.sum("c").over(Window.partitionBy(*group)), "skipped": F.lit(0).cast("long")})
+            pieces = holding(counted, group, "next")
+        else:
+            span = [*group, "n", "skipped", "digit"]
+            pieces = holding(inside(spans, SHIFTS[i - 1]).groupBy(*span, digit).agg(F.count(F.lit(1)).alias("c")), span, "next")
+        spans = materialise(pieces.select(*group, "n", F.col("before").alias("skipped"), F.col("next").alias("digit"), "c"), "quantile-digits")
+        most = spans.agg(F.max("c")).first()[0]
+        if most is None or most <= open_rows:
+            break
+    span = [*group, "n", "skipped", "digit"]
+    found = holding(inside(spans, shift).groupBy(*span, "v").agg(F.count(F.lit(1)).alias("c")), span, "v")
+    found = found.select(*group, "n", "v", F.inline("held"))
     lower = F.max(F.when(F.col("upper") == 0, F.col("v")))
     upper = F.max(F.when(F.col("upper") == 1, F.col("v")))
     at = (F.col("n") - 1) * F.col("prob")
+    share = at - F.floor(at)
+    between = F.when(share == 0, F.col("lower")).otherwise(F.col("lower") + (F.col("upper") - F.col("lower")) * share)
     return (
         found.groupBy(*group, "n", "prob").agg(lower.alias("lower"), upper.alias("upper"))
-        .select(*group, "prob", (F.col("lower") + (F.col("upper") - F.col("lower")) * (at - F.floor(at))).alias("value"))
+        .select(*group, "prob", between.alias("value"))
     )
 
 

@@ -241,6 +241,14 @@ def over_segments(
     segment are also sent to the next one, where they serve as history and are dropped
     afterwards, so results equal those of a window over the whole key.
     """
+    sent, window = segments(df, key, order, bucket, reach, segment_rows)
+    return own_rows(sent.withColumns(columns(window)))
+
+
+def segments(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column, reach: int, segment_rows: int = 50_000,
+) -> tuple[DataFrame, Window]:
+    """The rows of `over_segments` with their history, position (`_pos`) and segment (`_seg`), and the window over a segment."""
     size = max(segment_rows, reach, 1)
     placed = positions(df, key, order, bucket)
     own = F.floor(F.col("_pos") / size)
@@ -248,8 +256,12 @@ def over_segments(
     sent = placed.withColumn("_own", own).withColumn(
         "_seg", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
     )
-    window = Window.partitionBy(*key, "_seg").orderBy("_pos")
-    return sent.withColumns(columns(window)).filter(F.col("_seg") == F.col("_own")).drop("_seg", "_own", "_pos")
+    return sent, Window.partitionBy(*key, "_seg").orderBy("_pos")
+
+
+def own_rows(sent: DataFrame) -> DataFrame:
+    """The rows of `segments` without history and helpers."""
+    return sent.filter(F.col("_seg") == F.col("_own")).drop("_seg", "_own", "_pos")
 
 
 def daily(ts: str = HOUR) -> Column:

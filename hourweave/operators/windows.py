@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourweave.functions.timeutil import HOUR, KEY, hours
-from hourweave.operators.ranking import daily, over_segments
+from hourweave.operators.ranking import daily, over_segments, own_rows, segments
 
 LAGS = (1, 24, 168)
 
@@ -29,26 +29,20 @@ def lag_features_calendar(
 ) -> DataFrame:
     """The value n hours earlier in the same entity, null if that hour is absent.
 
-    Each row is sent to the hours that look back at it and grouped there: one shuffle for
-    any number of lags. Only copies with offset 0 carry the whole row. Rows that repeat (key, ts)
-    all stay and get the same lags; a lag that meets several values takes the largest. Rows with
-    a null key part have none. `step` replaces the hour as unit.
+    Values are reduced to one per (key, hour) first, sent to the hours that look back at them and gathered there, for any
+    number of lags at once. Rows are never collected: the gathered lags, one row per (key, hour), are joined back to them,
+    where adaptive execution splits an hour with many rows over tasks. Rows that repeat (key, ts) all stay and get the
+    same lags; a lag that meets several values takes the largest. Rows with a null key part have none. `step` replaces
+    the hour as unit.
     """
     unit = step if step is not None else hours(1)
-    whole = F.struct(*df.columns)
-    kind = df.select(whole.alias("r")).schema["r"].dataType
-    sends = F.array(
-        F.struct(F.lit(0).alias("_n"), whole.alias("_row"), F.lit(None).cast(df.schema[value].dataType).alias("_v")),
-        *[F.struct(F.lit(n).alias("_n"), F.lit(None).cast(kind).alias("_row"), F.col(value).alias("_v")) for n in lags],
-    )
-    sent = df.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), F.inline(sends)).withColumn("_t", F.col("_t") + unit * F.col("_n"))
-    back = [F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(f"{value}_lag_{n}h") for n in lags]
-    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
-    # collect_list skips the nulls of the copies that carry no row
-    grouped = sent.filter(known).groupBy("_k", "_t").agg(F.collect_list("_row").alias("_rows"), *back)
-    found = grouped.select(F.explode("_rows").alias("_r"), *[f"{value}_lag_{n}h" for n in lags]).select("_r.*", *[f"{value}_lag_{n}h" for n in lags])
-    lost = df.filter(F.col(key).isNull() | F.col(ts).isNull())
-    return found.unionByName(lost, allowMissingColumns=True)
+    names = {n: f"{value}_lag_{n}h" for n in lags}
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    values = df.filter(known).groupBy(F.col(key).alias("_k"), F.col(ts).alias("_t")).agg(F.max(value).alias("_v"))
+    sends = F.array(*[F.struct(F.lit(n).alias("_n"), F.col("_v").alias("_v")) for n in lags])
+    sent = values.select("_k", "_t", F.inline(sends)).withColumn("_t", F.col("_t") + unit * F.col("_n"))
+    gathered = sent.groupBy("_k", "_t").agg(*[F.max(F.when(F.col("_n") == n, F.col("_v"))).alias(name) for n, name in names.items()])
+    return df.join(gathered, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t")), "left").drop("_k", "_t")
 
 
 def rolling_stats(
@@ -60,20 +54,38 @@ def rolling_stats(
     ts: str = HOUR,
     segment_rows: int = 50_000,
 ) -> DataFrame:
-    """Rolling mean and sample deviation over the last n rows, null until n values are there."""
-
-    def full(w: Window, n: int, stat: Column) -> Column:
-        frame = w.rowsBetween(1 - n, 0)
-        return F.when(F.count(value).over(frame) == n, stat.over(frame))
+    """Rolling mean and sample deviation over the last n rows, null until n values are there.
 
-    return over_segments(
-        df, [key], [ts], daily(ts), max([*means, *stds]) - 1,
-        lambda w: {
-            **{f"{value}_ma_{n}": full(w, n, F.avg(value)) for n in means},
-            **{f"{value}_std_{n}": full(w, n, F.stddev_samp(value)) for n in stds},
-        },
-        segment_rows,
-    )
+    Positions are cut into blocks of n. The last n rows are the block so far and the rest of the block before, so a window is
+    a running sum from the front and one from the back, each built once per row. Nothing is subtracted: an outlier leaves
+    no error behind once it is out of the window. Deviations are merged from means and squared distances to them.
+    """
+    sent, w = segments(df, [key], [ts], daily(ts), max([*means, *stds]) - 1, segment_rows)
+    helpers, stats = [], {}
+    for n in dict.fromkeys([*means, *stds]):
+        block = F.floor(F.col("_pos") / n)
+        sides = {"f": Window.partitionBy(key, "_seg", f"_b{n}").orderBy("_pos"), "b": Window.partitionBy(key, "_seg", f"_b{n}").orderBy(F.desc("_pos"))}
+        made = {"n": F.count(value), "s": F.sum(value), "v": F.var_pop(value)}
+        sent = sent.withColumn(f"_b{n}", block)
+        for side, over in sides.items():
+            running = over.rowsBetween(Window.unboundedPreceding, 0)
+            sent = sent.withColumns({f"_{side}{name}{n}": made[name].over(running) for name in ("n", "s", "v") if name != "v" or n in stds})
+        # a whole block has nothing before it
+        whole = (F.col("_pos") + 1) % n == 0
+        early = {name: F.when(~whole, F.lag(f"_b{name}{n}", n - 1).over(w)) for name in ("n", "s", "v") if name != "v" or n in stds}
+        sent = sent.withColumns({f"_e{name}{n}": c for name, c in early.items()})
+        count = F.col(f"_fn{n}") + F.coalesce(f"_en{n}", F.lit(0))
+        total = F.coalesce(f"_fs{n}", F.lit(0.0)) + F.coalesce(f"_es{n}", F.lit(0.0))
+        if n in means:
+            stats[f"{value}_ma_{n}"] = F.when(count == n, total / n)
+        if n in stds:
+            a, b = F.col(f"_fn{n}"), F.coalesce(f"_en{n}", F.lit(0))
+            apart = F.when((a > 0) & (b > 0), F.col(f"_fs{n}") / a - F.col(f"_es{n}") / b).otherwise(0.0)
+            squares = F.coalesce(F.col(f"_fv{n}") * a, F.lit(0.0)) + F.coalesce(F.col(f"_ev{n}") * b, F.lit(0.0)) + apart * apart * a * b / n
+            stats[f"{value}_std_{n}"] = F.when(count == n, F.sqrt(squares / F.nullif(F.lit(n - 1), F.lit(0))))
+        helpers += [c for c in sent.columns if c.startswith("_") and c.endswith(str(n)) and c[1] in "bfe"]
+    order = [f"{value}_ma_{n}" for n in means] + [f"{value}_std_{n}" for n in stds]
+    return own_rows(sent.withColumns({name: stats[name] for name in order})).drop(*set(helpers))
 
 
 def sequence_windows(

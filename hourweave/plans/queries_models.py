@@ -8,17 +8,23 @@ importances that sum to 1.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourweave.functions import scalar as S
 from hourweave.functions.timeutil import HOUR, KEY
+from hourweave.operators import boosting as B
 from hourweave.operators import ensemble as E
 from hourweave.operators import metrics as X
 from hourweave.operators import models as M
 from hourweave.operators import prep
 from hourweave.plans.bindings import Tables
+from hourweave.plans.bundle import load_bundle, save_bundle
 from hourweave.plans.dataset import Fitted, prepare
 from hourweave.plans.oracle import CONTINUOUS, rounded, rounded_all
 from hourweave.plans.registry import query
@@ -133,6 +139,38 @@ def batch_scores(t: Tables) -> DataFrame:
     return scored.withColumn("DART_Prediction", F.round("DART_Prediction", 4))
 
 
+def _linear_bundle(t: Tables) -> str:
+    """Root of a store that holds one saved version."""
+    data, fitted = _prepared(t)
+    model = M.fit(data, ["encoded"], LinearRegression(labelCol=S.SPREAD, featuresCol="features", solver="normal"))
+    root = scratch_path(t.spark, "bundles")
+    save_bundle(root, "1", model, fitted, X.regression_metrics(M.predict(model, data, "linear"), by=["model", "split"]), "linear")
+    return root
+
+
+SCORES_SQL = """SELECT TimestampHour, u.SettlementPoint, round(f.a + f.b * coalesce(e.encoding, f.m), 4) AS DART_Prediction, 'linear' AS ModelType
+       FROM unified AS u LEFT JOIN encoding AS e ON u.SettlementPoint = e.category, (
+         SELECT regr_intercept(DART, coalesce(encoding, m)) AS a, regr_slope(DART, coalesce(encoding, m)) AS b, max(m) AS m
+         FROM (SELECT DART, encoding, (SELECT avg(DART) FROM train) AS m FROM train LEFT JOIN encoding ON SettlementPoint = category) AS x) AS f"""
+
+
+@query("fitted_bundle", SCORES_SQL)
+def fitted_bundle(t: Tables) -> DataFrame:
+    """Model, columns and parameters saved as one version and loaded again score as they did."""
+    bundle = load_bundle(t.spark, _linear_bundle(t))
+    return bundle.score(t.unified_table).withColumn("DART_Prediction", F.round("DART_Prediction", 4))
+
+
+@query("stream_scores", SCORES_SQL)
+def stream_scores(t: Tables) -> DataFrame:
+    """The feature rows as a stream, scored and published by a saved bundle."""
+    root, feed, path = _linear_bundle(t), scratch_path(t.spark, "score-feed"), scratch_path(t.spark, "scores")
+    t.unified_table.write.parquet(feed)
+    rows = I.read_feed(t.spark, feed, t.unified_table.schema)
+    I.score_stream(rows, root, path, scratch_path(t.spark, "score-state")).awaitTermination()
+    return I.read_scores(t.spark, path).withColumn("DART_Prediction", F.round("DART_Prediction", 4))
+
+
 # metrics ---------------------------------------------------------------------------
 
 
@@ -244,6 +282,35 @@ def quantile_metrics(t: Tables) -> DataFrame:
     return X.quantile_metrics(_test_intervals(t))
 
 
+BAND = """CASE WHEN abs(coverage_80 - 0.8) * 100 < 2 THEN 'excellent' WHEN abs(coverage_80 - 0.8) * 100 < 5 THEN 'good'
+          WHEN coverage_80 < 0.8 THEN 'under_coverage' ELSE 'over_coverage' END AS calibration"""
+
+
+@query(
+    "interval_width_by_key",
+    """SELECT SettlementPoint, split, round(avg(p90 - p10), 6) AS mean_width, round(stddev_pop(p90 - p10), 6) AS std_width, round(min(p90 - p10), 6) AS min_width,
+         round(max(p90 - p10), 6) AS max_width, round(quantile_cont(p90 - p10, 0.5), 6) AS median_width FROM (
+           SELECT TimestampHour, SettlementPoint, split, least(y, 5) - 1 AS p10, greatest(y, 7) AS p90 FROM intervals) AS a GROUP BY 1, 2""",
+)
+def interval_width_by_key(t: Tables) -> DataFrame:
+    rows = M.quantile_by_group(t.split).withColumns({"p10": F.least(S.SPREAD, F.lit(5.0)) - 1, "p90": F.greatest(S.SPREAD, F.lit(7.0))})
+    return X.interval_width(rows, "p10", "p90", by=[KEY, "split"])
+
+
+@query(
+    "quantile_metrics_by_key",
+    f"""SELECT *, {BAND} FROM (
+          SELECT SettlementPoint, round(avg(abs(y - p50)), 6) AS mae_p50, round(sqrt(avg(power(y - p50, 2))), 6) AS rmse_p50,
+            round(1 - sum(power(y - p50, 2)) / sum(power(y - m, 2)), 6) AS r2_p50,
+            round(avg(CASE WHEN y BETWEEN p10 AND p90 THEN 1.0 ELSE 0.0 END), 6) AS coverage_80,
+            round(avg(p90 - p10), 6) AS interval_mean_width, round(quantile_cont(p90 - p10, 0.5), 6) AS interval_median_width, {LOSSES},
+            {CROSSED} AS quantile_violations, round(({CROSSED}) * CAST(100 AS DOUBLE) / (2 * count(*)), 6) AS quantile_violations_pct
+          FROM (SELECT *, avg(y) OVER (PARTITION BY SettlementPoint) AS m FROM test_intervals) AS a GROUP BY 1) AS b""",
+)
+def quantile_metrics_by_key(t: Tables) -> DataFrame:
+    return X.quantile_metrics(_test_intervals(t), by=[KEY])
+
+
 @query("rmse_alert", f"SELECT model, split, {rounded_all(['rmse'])}, rmse > 10 AS alert FROM scores")
 def rmse_alert(t: Tables) -> DataFrame:
     return X.rmse_alert(X.regression_metrics(_naive(t), by=["model", "split"])).select("model", "split", "rmse", "alert")
@@ -370,10 +437,15 @@ def _held(predictions: DataFrame) -> DataFrame:
     ).select("model", "split", "n_rows", "n_predicted", F.when(F.col("split") == "train", F.col("better")).alias("better_than_mean"))
 
 
+#: Larger steps and less patience than the library's defaults (0.05, 50 rounds), so that a fit takes some tens of rounds.
+BOOSTING = {"step": 0.3}
+PATIENCE = 8
+
+
 @query("gbt_regression", PER_SPLIT.format(model="gbt", more=BETTER))
 def gbt_regression(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
-    model = M.fit(data, _features(fitted), M.gbt())
+    model = M.fit(data, _features(fitted), M.gbt(**BOOSTING), PATIENCE)
     return _held(M.predict(model, data, "gbt"))
 
 
@@ -421,9 +493,71 @@ def regime_classifier(t: Tables) -> DataFrame:
         F.count(F.when(F.abs(total - 1) < 1e-6, 1)).alias("n_sum_to_one"))
 
 
+SWEPT = ("gbt", "random_forest", "ridge", "lasso", "elastic_net", "huber")
+
+
+@query(
+    "fitted_sweep",
+    " UNION ALL ".join(
+        f"""SELECT '{m}' AS model, true AS fitted, count(CASE WHEN split = 'val' THEN 1 END) AS n_val, count(CASE WHEN split = 'test' THEN 1 END) AS n_test,
+              true AS in_order FROM unified_split""" for m in SWEPT)
+    + " UNION ALL SELECT 'unfit', false, NULL, NULL, NULL",
+)
+def fitted_sweep(t: Tables) -> DataFrame:
+    """Six models and one that cannot be fitted, ranked by validation MAE from one grouped pass over their predictions."""
+    data, fitted = _prepared(t)
+    specs = M.sweep_specs(prep.train_rows(data).count(), rounds=40, step=BOOSTING["step"], trees=20) | {"unfit": M.gbt("no_such_target")}
+    predictions, failures = M.sweep(data, _features(fitted), specs, patience=PATIENCE)
+    predictions = materialise(predictions, "sweep-predictions")
+    board = M.sweep_board(predictions, failures)
+    # a model's place against the one before it; the board has one row per model
+    before = F.lag("val_mae").over(Window.orderBy(F.col("place").asc_nulls_last()))
+    board = board.withColumn("in_order", F.when(F.col("place").isNotNull(), (F.col("val_mae") >= F.coalesce(before, F.lit(0.0)))))
+    rows = predictions.groupBy("model").agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("val", "test")])
+    return board.join(rows, "model", "left").select("model", F.col("failure").isNull().alias("fitted"), "n_val", "n_test", "in_order")
+
+
+@query(
+    "quantile_forest",
+    "SELECT split, count(*) AS n_rows, count(*) AS n_ordered, CASE WHEN split = 'train' THEN true END AS covers FROM unified_split GROUP BY split",
+)
+def quantile_forest(t: Tables) -> DataFrame:
+    """Quantiles given all features; on training rows p10 to p90 hold at least 80 % of what was seen."""
+    data, fitted = _prepared(t)
+    out = M.quantile_forest(data, _features(fitted), M.random_forest(trees=20, depth=8, min_leaf=50))
+    ordered = (F.col("p10") <= F.col("p50")) & (F.col("p50") <= F.col("p90"))
+    inside = F.avg(F.col(S.SPREAD).between(F.col("p10"), F.col("p90")).cast("double"))
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(ordered).alias("n_ordered"), (inside >= 0.75).alias("c")).select(
+        "split", "n_rows", "n_ordered", F.when(F.col("split") == "train", F.col("c")).alias("covers"))
+
+
+@query(
+    "regime_boosted",
+    "SELECT split, count(*) AS n_rows, count(*) AS n_valid, count(*) AS n_sum_to_one, CASE WHEN split = 'train' THEN true END AS beats_shares FROM unified_split GROUP BY split",
+)
+def regime_boosted(t: Tables) -> DataFrame:
+    """Softmax boosting of the regimes; on training rows its log loss is below that of the class shares."""
+    data, fitted = _prepared(t)
+    features = _features(fitted)
+    rows = VectorAssembler(inputCols=features, outputCol="features").transform(M.with_regime(data))
+    model = B.fit_boosted_classes(rows, M.gbt("regime", rounds=8, depth=4, **BOOSTING), 4, patience=4)
+    out = materialise(model.transform(rows).select("split", "regime", "probability", "prediction"), "regimes")
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    shares = prep.train_rows(out).groupBy("regime").count().withColumn("p", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    entropy = shares.agg((-F.sum(F.col("p") * F.log("p"))).alias("entropy"))
+    scored = out.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction").between(0, 3)).alias("n_valid"), F.count_if(F.abs(total - 1) < 1e-6).alias("n_sum_to_one"),
+        F.avg(B.log_loss(F.col("probability"), F.col("regime"))).alias("loss"))
+    return S.attach_row(scored, entropy, "_e").select(
+        "split", "n_rows", "n_valid", "n_sum_to_one", F.when(F.col("split") == "train", F.col("loss") < F.col("_e.entropy")).alias("beats_shares"))
+
+
 def _stages(t: Tables) -> tuple[DataFrame, Fitted, list]:
     data, fitted = _prepared(t)
-    return data, fitted, [M.fit(data, _features(fitted), M.gbt(label)) for label in (S.DAM, S.RTM)]
+    specs = {label: M.gbt(label, **BOOSTING) for label in (S.DAM, S.RTM)}
+    fit = lambda label: M.fit(data, _features(fitted), specs[label], PATIENCE)
+    with ThreadPoolExecutor(len(specs)) as pool:
+        return data, fitted, list(pool.map(inheritable_thread_target(t.spark)(fit), specs))
 
 
 @query(

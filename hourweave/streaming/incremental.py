@@ -6,15 +6,17 @@ NTZ on the way out.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourweave.functions.timeutil import HOUR, KEY
-from hourweave.sources.sinks import publish_partitions
+from hourweave.plans.bundle import load_bundle
+from hourweave.sources.sinks import PARTITIONS, publish_partitions, with_partitions
 
 
 def utc_session(spark: SparkSession) -> None:
@@ -41,11 +43,6 @@ def hourly_mean_stream(
     return grouped.select(F.col("_w.start").cast("timestamp_ntz").alias(HOUR), *key, out)
 
 
-def score_stream(feed: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Score rows as they arrive; `score` may join static parameter tables and apply fitted models."""
-    return score(feed)
-
-
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write closed windows to parquet, all available input, then stop."""
     return (
@@ -71,3 +68,35 @@ def publish_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def score_stream(feed: DataFrame, bundle_root: str, path: str, checkpoint: str, version: str | None = None) -> StreamingQuery:
+    """Score feature rows as they arrive and publish them, each micro-batch with one bundle.
+
+    The bundle (the newest, or `version`) is read once per batch; its parameter tables are joined as static tables. Rows go to
+    the partition of their hour and batch, which a repeated batch replaces, so hours may come in several batches. The
+    version a batch was scored with is noted before it is published: a repeated batch uses it again, whatever was
+    saved since.
+    """
+    spark = feed.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        mark = f"{path.rstrip('/')}-versions/batch={number}"
+        try:
+            noted = spark.read.schema("version string").parquet(mark).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            noted = None
+        bundle = load_bundle(spark, bundle_root, noted.version if noted else version)
+        if noted is None:
+            spark.createDataFrame([(bundle.version,)], "version string").write.mode("overwrite").parquet(mark)
+        scored = with_partitions(bundle.score(batch)).withColumn("batch", F.lit(number))
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS, "batch").parquet(path)
+
+    return feed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """What `score_stream` has published."""
+    return spark.read.parquet(path).drop(*PARTITIONS, "batch")

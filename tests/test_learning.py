@@ -1,11 +1,16 @@
 """Preparation, metrics, ensembles and models: no leakage, edge cases, invariants."""
 
 import math
+import random
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
+from hourweave.operators import boosting as B
 from hourweave.operators import ensemble as E
 from hourweave.operators import metrics as X
 from hourweave.operators import models as M
@@ -213,13 +218,110 @@ def test_models_learn_and_reload(prepared, tmp_path):
     assert kept[0] == kept[1]
 
 
-def test_rounds_are_chosen_by_validation(prepared):
-    assert M.best_round([5, 4, 3, 3.5, 3.6], 2) == (3, True) and M.best_round([5, 4, 3], 2) == (3, False)
+def _vectors(data, label):
+    return M.VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(data).select("features", label, "split")
+
+
+def test_rounds_stop_by_patience(prepared):
+    """The kept rounds are those up to the best validation loss, and no more than the patience were fitted beyond it."""
     data, _ = prepared
-    model = M.fit(data, COLUMNS, M.gbt(rounds=60, depth=3, min_leaf=1)).stages[-1]
-    val = M.VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(data.filter("split = 'val'"))
+    model = M.fit(data, COLUMNS, M.gbt(rounds=200, depth=3, min_leaf=1, step=0.3), patience=5).stages[-1]
+    val = _vectors(data.filter("split = 'val'"), "DART")
     losses = model.evaluateEachIteration(val, "squared")
-    assert len(losses) > 1 and losses[-1] == min(losses) < losses[0]
+    assert 1 < len(losses) < 200 and min(losses[1:]) == losses[-1] < losses[0]
+    stop = B.Stopper(2)
+    assert [stop.over(x) for x in (5, 4, 3, 3.5, 3.6)] == [False] * 4 + [True] and stop.best == 3
+
+
+@pytest.mark.parametrize("write_every", [25, 2])
+def test_boosting_equals_a_plain_loop(spark, write_every):
+    """500 rows, the same trees on residuals that are kept here."""
+    r = random.Random(1)
+    rows = [(Vectors.dense(x := r.random(), z := r.random(), r.random()), 3 * x - (z > 0.5) + r.random() / 5, "train" if i < 350 else "val" if i < 430 else "test") for i, _ in enumerate(range(500))]
+    df = spark.createDataFrame(rows, ["features", "y", "split"])
+    spec = M.gbt("y", rounds=12, depth=3, step=0.4, min_leaf=3, share=1.0).setSubsamplingRate(1.0)
+    got = B.fit_boosted(df, spec, patience=3, write_every=write_every).transform(df).select("prediction").toPandas().prediction.to_numpy()
+    y, part = np.array([x[1] for x in rows]), np.array([x[2] for x in rows])
+    score = np.full(500, y[part == "train"].mean())
+    best, kept, losses = score, score, []
+    for number in range(12):
+        train = spark.createDataFrame([(x[0], float(t)) for x, t in zip(rows, y - score) if x[2] == "train"], ["features", "residual"])
+        tree = B.one_tree(spec, spec.getSeed() + number, "residual").fit(train)
+        score = score + 0.4 * tree.transform(df).select("prediction").toPandas().prediction.to_numpy()
+        losses.append(((y - score)[part == "val"] ** 2).mean())
+        if losses[-1] == min(losses):
+            best = score
+        if number - int(np.argmin(losses)) >= 3:
+            break
+    assert np.abs(got - best).max() < 1e-9 and np.abs(best - kept).max() > 0.1
+
+
+def test_boosting_without_validation_fits_all_rounds(spark):
+    rows = [(Vectors.dense(float(i)), float(i % 7), "train") for i in range(60)]
+    df = spark.createDataFrame(rows, ["features", "y", "split"])
+    assert B.fit_boosted(df, M.gbt("y", rounds=3, depth=2, min_leaf=1)).getNumTrees == 4
+
+
+def test_boosted_classes(spark):
+    r = random.Random(3)
+    rows = []
+    for i in range(400):
+        x, z = r.random(), r.random()
+        rows.append((Vectors.dense(x, z), 0 if r.random() < 0.1 else 1 + (x > 0.5) + (z > 0.6), "train" if i < 280 else "val"))
+    df = spark.createDataFrame(rows, ["features", "k", "split"])
+    spec = M.gbt("k", rounds=10, depth=3, step=0.4, min_leaf=2)
+    one, more = (B.fit_boosted_classes(df, spec.copy({spec.maxIter: n}), 4, patience=4, write_every=3) for n in (1, 10))
+    loss = {}
+    for name, model in (("one", one), ("more", more)):
+        out = model.transform(df).withColumn("total", F.aggregate("probability", F.lit(0.0), lambda a, x: a + x))
+        row = out.agg(F.min("total").alias("a"), F.max("total").alias("b"), F.min("prediction").alias("low"), F.max("prediction").alias("high")).first()
+        assert row.a == pytest.approx(1) and row.b == pytest.approx(1) and row.low >= 0 and row.high <= 3
+        loss[name] = out.filter("split = 'val'").agg(F.avg(B.log_loss(F.col("probability"), F.col("k").cast("int")))).first()[0]
+    assert loss["more"] < loss["one"] < np.log(4)
+
+
+def test_quantile_forest_of_one_split(spark):
+    """One tree of one split: training quantiles of each side, also for rows of other splits."""
+    r = random.Random(4)
+    rows = [(float(i % 2), r.gauss(100 * (i % 2), 5), "train" if i < 300 else "val") for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, DART double, split string")
+    forest = RandomForestRegressor(labelCol="DART", featuresCol="features", numTrees=1, bootstrap=False, maxDepth=1)
+    got = M.quantile_forest(df, ["x"], forest).select("x", "p10", "p50", "p90").distinct().collect()
+    for g in got:
+        side = [y for x, y, s in rows if s == "train" and x == g.x]
+        assert [g.p10, g.p50, g.p90] == pytest.approx(np.quantile(side, [0.1, 0.5, 0.9]).tolist())
+    assert len(got) == 2
+
+
+def test_quantile_forest_covers(spark):
+    r = random.Random(5)
+    rows = [(x := r.random(), r.gauss(10 * x, 1 + 3 * x), "train" if i < 3000 else "val") for i, _ in enumerate(range(4000))]
+    df = spark.createDataFrame(rows, "x double, DART double, split string")
+    out = M.quantile_forest(df, ["x"], RandomForestRegressor(labelCol="DART", featuresCol="features", numTrees=10, maxDepth=5, minInstancesPerNode=50, seed=1))
+    val = out.filter("split = 'val'")
+    assert abs(X.interval_coverage(val, "p10", "p90", "DART").first().coverage - 0.8) < 0.02
+    wide = val.groupBy((F.col("x") > 0.5).alias("high")).agg(F.avg(F.col("p90") - F.col("p10")).alias("w")).collect()
+    assert {w.high: w.w for w in wide}[True] > 1.3 * {w.high: w.w for w in wide}[False]
+
+
+def test_sweep_board(prepared, monkeypatch):
+    data, _ = prepared
+    specs = {"gbt": M.gbt(rounds=3, depth=2), "absent": M.gbt(label="absent", rounds=2), **M.linear_models(prep.train_rows(data).count())}
+    calls = []
+    plain = M.fit
+
+    def fit(stored, features, estimator, patience):
+        calls.append(estimator)
+        if estimator is specs["lasso"] and calls.count(estimator) == 1 or estimator is specs["huber"]:
+            raise PySparkException("a job failed")
+        return plain(stored, features, estimator, patience)
+
+    monkeypatch.setattr(M, "fit", fit)
+    board = {r.model: r for r in M.sweep_board(*M.sweep(data, COLUMNS, specs)).collect()}
+    assert set(board) == set(specs) and {m for m, r in board.items() if r.failure} == {"absent", "huber"}
+    assert board["huber"].val_mae is None and board["huber"].place is None and calls.count(specs["huber"]) == 2
+    ranked = sorted((r for r in board.values() if r.place), key=lambda r: r.place)
+    assert [r.val_mae for r in ranked] == sorted(r.val_mae for r in ranked) and [r.place for r in ranked] == [1, 2, 3, 4]
 
 
 def test_report_goes_on_without_a_column(spark, hour):
@@ -244,7 +346,7 @@ def test_intervals_cover(prepared):
     assert row.c > 0.9
     point = M.normal_interval(data).select("split", F.col("DART").alias("y"), "prediction")
     val = M.conformal_interval(point).filter("split = 'val'")
-    assert 0.7 < X.interval_coverage(val, "p10", "p90").first().coverage < 0.9
+    assert 0.7 < X.interval_coverage(val, "p10", "p90", "DART").first().coverage < 0.9
 
 
 def test_two_stage_subtracts(prepared):

@@ -109,7 +109,7 @@ def test_stream_scores_and_publishes_once(spark, hour, feed):
     path = scratch_path(spark, "published")
     for state in ("first", "replay"):
         hourly = I.hourly_mean_stream(_stream(spark, feed), "SCEDTimestamp", "LMP", "RTM_LMP_HourlyAvg")
-        I.publish_stream(I.score_stream(hourly, score), path, scratch_path(spark, state)).awaitTermination()
+        I.publish_stream(score(hourly), path, scratch_path(spark, state)).awaitTermination()
     got = spark.read.parquet(path)
     assert got.count() == 20
     values = {r.SettlementPoint: r.v for r in got.groupBy("SettlementPoint").agg(F.avg("DART_Prediction").alias("v")).collect()}

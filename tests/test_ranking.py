@@ -1,6 +1,7 @@
 """Splits, samples, positions and quantiles against brute force, with hot keys and copies."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -143,27 +144,48 @@ def test_gaps_cross_days(spark, hour):
     assert [r.previous_ts for r in W.first_gaps(gaps).collect()] == [hour(24)]
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2])
-def test_quantiles_of_skewed_values(spark, levels):
+@pytest.mark.parametrize("open_rows", [None, 20, 0])
+def test_quantiles_of_skewed_values(spark, open_rows):
     rng = np.random.default_rng(3)
     groups = {
         "copies": np.r_[np.full(500, 4.2), rng.normal(size=300)],
         "outlier": np.r_[rng.normal(size=400), 1e12, -1e12],
+        "wide": np.exp(rng.uniform(-600, 600, size=400)) * rng.choice([-1, 1], 400),
         "one": np.array([3.0]),
         "same": np.full(10, -1.5),
+        None: np.array([1.0, 2.0, 4.0]),
     }
-    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("copies", None), ("none", None)]
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("copies", None), ("copies", math.nan), ("none", None)]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {(r.g, r.prob): r.value for r in Q.exact_quantiles(df, ["x"], probs, by=["g"], levels=levels, bins=8).collect()}
+    got = {(r.g, r.prob): r.value for r in Q.exact_quantiles(df, ["x"], probs, by=["g"], open_rows=open_rows).collect()}
     for g, xs in groups.items():
         assert [got[g, p] for p in probs] == pytest.approx(list(np.quantile(xs, probs)), rel=1e-12)
     assert ("none", 0.5) not in got
     whole = np.concatenate(list(groups.values()))
-    flat = {r.prob: r.value for r in Q.exact_quantiles(df, ["x"], probs, levels=levels, bins=8).collect()}
+    flat = {r.prob: r.value for r in Q.exact_quantiles(df, ["x"], probs, open_rows=open_rows).collect()}
     assert [flat[p] for p in probs] == pytest.approx(list(np.quantile(whole, probs)), rel=1e-12)
 
 
+def test_order_bits_are_those_of_the_double(spark):
+    rng = np.random.default_rng(5)
+    some = rng.integers(-(1 << 63), (1 << 63) - 1, 3000).view(np.float64)
+    edges = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 2.0, 0.5, 1.7976931348623157e308, math.inf, 2.0**52, 1 - 2.0**-53, 4 - 2.0**-50]
+    values = [float(x) for x in some if not math.isnan(x)] + edges + [-x for x in edges if x]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in Q.order_bits(df, "v", "code").collect():
+        bits = int(np.array(abs(r.v)).view(np.int64))
+        assert r.code == (-bits if r.v < 0 else bits), r.v
+
+
+def test_few_values_are_left_for_the_last_window(spark):
+    """Of log-uniform values the first digit leaves less than one in a hundred, so a table is read twice."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(float(x),) for x in np.exp(rng.uniform(-40, 40, 20_000))], "x double")
+    codes = Q.order_bits(df, "x", "code").groupBy(F.shiftright("code", Q.SHIFTS[0])).count()
+    assert codes.agg(F.max("count")).first()[0] < 200
+
+
 def test_approx_quantiles_shape(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     rows = {r.prob: r.value for r in Q.approx_quantiles(df, ["x"], [0.25, 0.5]).collect()}
