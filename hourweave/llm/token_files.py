@@ -17,26 +17,34 @@ only. Files are written under a name of their own and renamed, so lost or repeat
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourweave.llm.common import col, fresh, ship_package, slices, texts
+from hourweave.llm.common import col, fresh, ship_package, texts
 from hourweave.llm.files import open_array, publish
 from hourweave.llm.token_counts import load_tokenizer
 
 NULL_ID = -(1 << 63)
 #: A space is the start of a pre-token only before a character that is not white space.
 _LONE_SPACE = re.compile(r" (?=\s)| $")
-#: Chunks each Python worker remembers; further ones are encoded again when they return.
-CACHE = 700_000
-_cache: dict[tuple, dict[str, bytes]] = {}
+#: Chunks a Python worker remembers at most, in two generations: what the older one has and is not met again is forgotten.
+CACHE = 1_000_000
+#: New chunks that are encoded as one string.
+RUN = 256
+#: UTF-8 bytes of text a part should not exceed by much.
+PART_BYTES = 256 << 20
+_cache: dict[tuple, list[dict[str, bytes]]] = {}
 
 
 def id_type(vocabulary: int) -> str:
@@ -47,42 +55,126 @@ class Encoder:
     """Byte-level BPE ids of whole texts as bytes.
 
     The pre-token pattern takes a space together with the run after it, so a text falls apart before each space that
-    a non-space follows, whatever stands around it. Such chunks repeat; each is encoded when first met.
+    a non-space follows, whatever stands around it. Such chunks repeat, and are remembered. New ones are encoded many at
+    a time, joined as a text would join them: a chunk begins where a token begins with a space, since it has no other.
     """
 
     def __init__(self, path: str, split: bool = True):
         self.library = load_tokenizer(path)
         self.dtype = id_type(self.library.get_vocab_size())
-        self.known = _cache.setdefault((path, self.dtype), {})
+        if split and not splits_before_spaces(path):
+            raise ValueError("this tokenizer's texts do not fall apart before spaces; pass split=False")
         self.split = split
-
-    def _all(self, pieces: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, self.dtype).tobytes() for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        if split:
+            names = self.library.get_vocab(with_added_tokens=False)
+            self.starts = np.zeros(max(names.values()) + 1, bool)
+            self.starts[[i for name, i in names.items() if name.startswith(SPACE_MARK)]] = True
+        self.generations = _cache.setdefault((path, self.dtype), [{}, {}])
+
+    def _all(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.asarray(x.ids, self.dtype) for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks; those that begin a text are marked by a leading space and stand alone."""
+        found: dict[str, bytes] = {}
+        first = [p for p in new if p[:1] == " " or p[:1] in _SPECIAL_STARTS]
+        inner = [p for p in new if not (p[:1] == " " or p[:1] in _SPECIAL_STARTS)]
+        runs = [inner[i : i + RUN] for i in range(0, len(inner), RUN)]
+        for run, ids in zip(runs, self._all([" " + " ".join(run) for run in runs])):
+            at = np.flatnonzero(self.starts[np.minimum(ids, len(self.starts) - 1)])
+            if len(at) == len(run):
+                flat, cuts = ids.tobytes(), (at * ids.itemsize).tolist()
+                found.update(zip(run, map(flat.__getitem__, map(slice, cuts, [*cuts[1:], len(flat)]))))
+            else:  # a chunk holds something that reads as one with its neighbour
+                first += run
+        found.update(zip(first, (x.tobytes() for x in self._all([p[1:] if p[:1] == " " else " " + p for p in first]))))
+        return found
+
+    def _ids_of(self, first: list[str], inner: list[str]) -> list[bytes]:
+        """Ids of distinct chunks: those that begin a text, then the others."""
+        # a first chunk has no space before it; its key gets one in front, which no other chunk has
+        keys = [" " + x for x in first] + inner
+        known, old = self.generations
+        if len(known) > CACHE // 2:
+            known, old = self.generations[:] = {}, known
+        ids = list(map(known.get, keys))
+        holes = [i for i, x in enumerate(ids) if x is None]
+        again = {keys[i]: old[keys[i]] for i in holes if keys[i] in old}
+        known.update(again)
+        known.update(self._learn([keys[i] for i in holes if keys[i] not in again]))
+        for i in holes:
+            ids[i] = known[keys[i]]
+        return ids
 
     def encode(self, values: list[str]) -> list[bytes]:
-        chunks: list[list[str] | None] = []
-        new: dict[str, None] = {}
-        whole = []
-        known = self.known
-        for i, text in enumerate(values):
-            if not self.split or _LONE_SPACE.search(text):
-                whole.append(i)
-                chunks.append(None)
-                continue
-            first, *rest = text.split(" ")
-            # the key of a text's first chunk, which has no space before it, is marked by a leading space
-            parts = [" " + first, *rest]
-            chunks.append(parts)
-            new.update((p, None) for p in parts if p not in known)
-        found = dict(zip(new, self._all([p[1:] if p[:1] == " " else " " + p for p in new])))
-        if len(known) < CACHE:
-            known.update(found)
-        out = [b"".join([known[p] if p in known else found[p] for p in parts]) if parts is not None else b"" for parts in chunks]
-        for i, ids in zip(whole, self._all([values[i] for i in whole])):
-            out[i] = ids
+        """Texts are split, and chunks told apart, by Arrow; Python sees each distinct chunk of the batch once."""
+        whole = [i for i, text in enumerate(values) if not self.split or _LONE_SPACE.search(text)]
+        out = [b""] * len(values)
+        for i, own in zip(whole, self._all([values[i] for i in whole])):
+            out[i] = own.tobytes()
+        if len(whole) == len(values):
+            return out
+        apart = set(whole)
+        rest = [i for i in range(len(values)) if i not in apart]
+        pieces = pc.split_pattern(pa.array([values[i] for i in rest], pa.large_string()), " ")
+        ends = np.asarray(pieces.offsets)
+        coded = pieces.values.dictionary_encode()
+        code = np.asarray(coded.indices).astype(np.int64)
+        begins = np.zeros(len(code), bool)
+        begins[ends[:-1]] = True
+        # chunks that occur inside texts keep their number; those at the start get numbers behind them
+        first, place = np.unique(code[begins], return_inverse=True)
+        code[begins] = len(coded.dictionary) + place
+        inner = np.flatnonzero(np.bincount(code[~begins], minlength=len(coded.dictionary))[: len(coded.dictionary)])
+        ids = self._ids_of(coded.dictionary.take(pa.array(first)).to_pylist(), coded.dictionary.take(pa.array(inner)).to_pylist())
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
+        number = np.concatenate([inner, len(coded.dictionary) + np.arange(len(first))])
+        sizes, starts = np.zeros((2, len(coded.dictionary) + len(first)), np.int64)
+        order = np.concatenate([np.arange(len(first), len(ids)), np.arange(len(first))])
+        sizes[number], starts[number] = size[order], (np.cumsum(size) - size)[order]
+        each = sizes[code]
+        until = np.concatenate([[0], np.cumsum(each)])
+        every = flat[np.repeat(starts[code] - until[:-1], each) + np.arange(until[-1])].tobytes()
+        cuts = (until[ends] * flat.itemsize).tolist()
+        for i, a, b in zip(rest, cuts, cuts[1:]):
+            out[i] = every[a:b]
         return out
 
 
+def by_size(batches: Iterable[pa.RecordBatch], most: int = 8 << 20, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Slices of about `most` bytes of text, of one row at least."""
+    for batch in batches:
+        size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(size, (size[start - 1] if start else 0) + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+#: Byte-level tokenizers write a space as this character.
+SPACE_MARK = "\u0120"
+#: Chunks that could be read together with others: empty ones, and those that may hold added tokens.
+_SPECIAL_STARTS = frozenset(("", "<"))
+_PROBES = ("a b", "a  b c", " 'll be", "x, y\n z", "\u00e9 \u4e2d 12 3", "a\u00a0b c", "<a b> c", "it's 9 o'clock .")
+
+
+@lru_cache(maxsize=4)
+def splits_before_spaces(path: str) -> bool:
+    """Whether the tokenizer is byte-level without a normaliser and cuts texts before each space that a non-space follows."""
+    library = load_tokenizer(path)
+    kinds = json.loads(library.to_str())
+    if kinds.get("normalizer") or (kinds.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or kinds["pre_tokenizer"].get("add_prefix_space"):
+        return False
+    encode = lambda x: library.encode(x, add_special_tokens=False).ids
+    for probe in _PROBES:
+        cuts = [0, *[m.start() for m in re.finditer(r" (?=\S)", probe) if m.start()], len(probe)]
+        if encode(probe) != [i for a, b in zip(cuts, cuts[1:]) for i in encode(probe[a:b])]:
+            return False
+    return True
+
+
 def _write_part(folder: str, tokenizer: str, end: int, split: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -91,7 +183,7 @@ def _write_part(folder: str, tokenizer: str, end: int, split: bool) -> Callable[
         width = np.dtype(encoder.dtype).itemsize
         lengths, ids = [np.zeros(1, "<i8")], []
         with publish(f"{folder}/part-{part:05d}.bin") as out:
-            for piece in slices(batches):
+            for piece in by_size(batches):
                 encoded = encoder.encode(texts(piece.column(1)))
                 for e in encoded:
                     out.write(e)
@@ -115,7 +207,9 @@ def write_token_files(
     """Encode, write and return the manifest. `split=False` gives whole texts to a tokenizer of another kind."""
     spark = docs.sparkSession
     ship_package(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        size = docs.agg(F.sum(F.octet_length(col(text).cast("string")))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(size / PART_BYTES))
     tie = fresh("tie", [id_column, text])
     dealt = docs.select(col(id_column).cast("long"), F.coalesce(col(text).cast("string"), F.lit("")).alias(text)).withColumn(tie, F.xxhash64(col(text)))
     dealt = dealt.repartitionByRange(parts, col(id_column), col(tie)).sortWithinPartitions(col(id_column), col(tie)).drop(tie)
