@@ -7,6 +7,7 @@ lineage and survives lost executors. No round is fitted twice, and none beyond t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -50,19 +51,24 @@ def constant_tree(train: DataFrame, label: str):
 
 
 class Stopper:
-    """The best round so far, and whether patience is over."""
+    """The best round so far, and whether patience is over: no loss in so many rounds was better by the share `gain`."""
 
-    def __init__(self, patience: int) -> None:
-        self.patience, self.best, self.least, self.rounds = patience, 0, float("inf"), 0
+    def __init__(self, patience: int, gain: float = 0.0) -> None:
+        self.patience, self.gain, self.best, self.least, self.rounds = patience, gain, 0, float("inf"), 0
+        self.mark, self.marked = float("inf"), 0
 
     def over(self, loss: float) -> bool:
         self.rounds += 1
         if loss < self.least:
             self.best, self.least = self.rounds, loss
-        return self.rounds - self.best >= self.patience
+        if loss < self.mark * (1 - self.gain):
+            self.mark, self.marked = loss, self.rounds
+        return self.rounds - self.marked >= self.patience
 
 
-def fit_boosted(data: DataFrame, estimator: GBTRegressor, patience: int = PATIENCE, write_every: int = WRITE_EVERY) -> GBTRegressionModel:
+def fit_boosted(
+    data: DataFrame, estimator: GBTRegressor, patience: int = PATIENCE, write_every: int = WRITE_EVERY, gain: float = 0.0,
+) -> GBTRegressionModel:
     """Squared-loss boosting of (features, label, split) up to the best round on the validation rows.
 
     Without validation rows all rounds are fitted.
@@ -74,7 +80,7 @@ def fit_boosted(data: DataFrame, estimator: GBTRegressor, patience: int = PATIEN
     held = rows.where("held")
     watched = not held.isEmpty()
     rows, since = rows.withColumn("score", F.lit(0.0)), 0
-    stop = Stopper(patience)
+    stop = Stopper(patience, gain)
 
     def scored(df: DataFrame) -> DataFrame:
         """`residual` after all trees so far."""
@@ -98,17 +104,17 @@ def fit_boosted(data: DataFrame, estimator: GBTRegressor, patience: int = PATIEN
 
 
 class BoostedClasses:
-    """Boosted class scores: one `GBTRegressionModel` per class; probabilities are their softmax."""
+    """Boosted class scores: a prior and a `GBTRegressionModel` per class; probabilities are the softmax of their sums."""
 
-    def __init__(self, models: Sequence[GBTRegressionModel]) -> None:
-        self.models = list(models)
+    def __init__(self, models: Sequence[GBTRegressionModel], priors: Sequence[float] | None = None) -> None:
+        self.models, self.priors = list(models), list(priors or [0.0] * len(models))
 
     def scores(self, data: DataFrame, name: str = "scores") -> DataFrame:
         out = data
         for k, model in enumerate(self.models):
             out = model.setPredictionCol(f"_score_{k}").transform(out)
         own = [f"_score_{k}" for k in range(len(self.models))]
-        return out.withColumn(name, F.array(*own)).drop(*own)
+        return out.withColumn(name, F.array(*[F.col(c) + prior for c, prior in zip(own, self.priors)])).drop(*own)
 
     def transform(self, data: DataFrame) -> DataFrame:
         """`probability` (an array that sums to 1) and `prediction`, the likeliest class, of equal ones the first."""
@@ -136,8 +142,12 @@ def fit_boosted_classes(
     """
     spark, label, step = data.sparkSession, estimator.getLabelCol(), estimator.getStepSize()
     rows = data.where(F.col("split").isin("train", "val") & F.col(label).isNotNull()).select(
-        "features", F.col(label).cast("int").alias("label"), (F.col("split") == "val").alias("held"), F.array(*[F.lit(0.0)] * classes).alias("score"))
+        "features", F.col(label).cast("int").alias("label"), (F.col("split") == "val").alias("held"))
     rows = materialise(rows, "boosting")
+    # one row per class; scores begin with the log of its share of the training rows
+    counts = {r.label: r["count"] for r in rows.where(~F.col("held")).groupBy("label").count().collect()}
+    priors = [math.log((counts.get(k, 0) + 1) / (sum(counts.values()) + classes)) for k in range(classes)]
+    rows = rows.withColumn("score", F.array(*[F.lit(x) for x in priors]))
     watched = not rows.where("held").isEmpty()
     trees: list[list] = [[] for _ in range(classes)]
     since, stop = 0, Stopper(patience)
@@ -165,7 +175,7 @@ def fit_boosted_classes(
                 rows = materialise(scored(rows).select("features", "label", "held", "score"), "boosting")
                 since = len(trees[0])
     kept = stop.best if watched else len(trees[0])
-    return BoostedClasses([ensemble(spark, t[:kept], [step] * kept, label) for t in trees])
+    return BoostedClasses([ensemble(spark, t[:kept], [step] * kept, label) for t in trees], priors)
 
 
 def leaves(model, data: DataFrame, name: str = "leaves") -> DataFrame:

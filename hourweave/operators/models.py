@@ -70,11 +70,11 @@ def regime_classifier(kind: str = "forest", trees: int = 100, depth: int = 10, s
     return LogisticRegression(family="multinomial", maxIter=100, **base)
 
 
-def fit(data: DataFrame, features: Sequence[str], estimator: Estimator, patience: int = PATIENCE) -> PipelineModel:
-    """Fit on the training rows; boosting stops `patience` rounds after the best one on the validation rows."""
+def fit(data: DataFrame, features: Sequence[str], estimator: Estimator, patience: int = PATIENCE, gain: float = 0.0) -> PipelineModel:
+    """Fit on the training rows; boosting stops `patience` rounds after the last one that bettered the validation loss by the share `gain`."""
     assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     if isinstance(estimator, GBTRegressor):
-        return PipelineModel(stages=[assemble, fit_boosted(assemble.transform(data), estimator, patience)])
+        return PipelineModel(stages=[assemble, fit_boosted(assemble.transform(data), estimator, patience, gain=gain)])
     return Pipeline(stages=[assemble, estimator]).fit(train_rows(data))
 
 

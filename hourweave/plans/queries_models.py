@@ -437,15 +437,15 @@ def _held(predictions: DataFrame) -> DataFrame:
     ).select("model", "split", "n_rows", "n_predicted", F.when(F.col("split") == "train", F.col("better")).alias("better_than_mean"))
 
 
-#: Larger steps and less patience than the library's defaults (0.05, 50 rounds), so that a fit takes some tens of rounds.
+#: Larger steps and less patience than the library's defaults (0.05, 50 rounds, any gain), so that a fit takes some tens of rounds.
 BOOSTING = {"step": 0.3}
-PATIENCE = 8
+PATIENCE, GAIN = 6, 0.01
 
 
 @query("gbt_regression", PER_SPLIT.format(model="gbt", more=BETTER))
 def gbt_regression(t: Tables) -> DataFrame:
     data, fitted = _prepared(t)
-    model = M.fit(data, _features(fitted), M.gbt(**BOOSTING), PATIENCE)
+    model = M.fit(data, _features(fitted), M.gbt(**BOOSTING), PATIENCE, GAIN)
     return _held(M.predict(model, data, "gbt"))
 
 
@@ -555,7 +555,7 @@ def regime_boosted(t: Tables) -> DataFrame:
 def _stages(t: Tables) -> tuple[DataFrame, Fitted, list]:
     data, fitted = _prepared(t)
     specs = {label: M.gbt(label, **BOOSTING) for label in (S.DAM, S.RTM)}
-    fit = lambda label: M.fit(data, _features(fitted), specs[label], PATIENCE)
+    fit = lambda label: M.fit(data, _features(fitted), specs[label], PATIENCE, GAIN)
     with ThreadPoolExecutor(len(specs)) as pool:
         return data, fitted, list(pool.map(inheritable_thread_target(t.spark)(fit), specs))
 
