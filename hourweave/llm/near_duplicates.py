@@ -366,6 +366,8 @@ def _compare_blocks(percent: int):
             chunk = np.zeros((len(nodes), width), np.float32)
             chunk[row[a:b], element[a:b] - start] = 1
             common += chunk[left] @ chunk[right].T
+        # counts are whole below 2^24, a hundred times them is not
+        common = common.astype(np.int64)
         linked = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
         linked &= part[left][:, None] != part[right][None, :]
         x, y = np.nonzero(linked)
@@ -463,5 +465,8 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     again = docs.join(sent(repeated.toDF(key)), col(id_column) == col(key), "left_semi")
     stay = grouped.where("kept").join(sent(repeated), "id", "left_semi").select(F.col("id").alias(key), F.col("node").alias(node + "_"), F.col("component").alias(component)).distinct()
     again = _nodes_of(again, text, node, width).join(stay, (col(id_column) == col(key)) & col(node).eqNullSafe(col(node + "_")))
-    # rows without words have no component: one of each id
-    return left.unionByName(again.dropDuplicates([id_column, component]).select(*[col(c) for c in docs.columns]))
+    # rows without words have no component: one of each id. Of rows that differ, the one whose columns hash lowest stays
+    whole = F.struct(*[col(c) for c in docs.columns])
+    lowest = F.min_by(whole, F.struct(F.xxhash64(F.to_json(whole)), F.to_json(whole)))
+    one = again.groupBy(col(id_column), col(component)).agg(lowest.alias("row")).select("row.*")
+    return left.unionByName(one)

@@ -195,3 +195,12 @@ def test_one_id_with_several_texts(spark):
     assert left.columns == df.columns
     got = Counter((x.doc_id, x.text and x.text.removesuffix(" end") or "") for x in left.collect())
     assert got == Counter([(1, a), (5, b), (7, c), (7, d), (9, e), (10, ""), (11, "alone"), (None, a), (None, a)])
+
+
+def test_rows_of_one_id_that_differ_in_other_columns(spark):
+    """One row of each id and group stays, the same whatever the order of the rows."""
+    text = "the quick brown fox and the lazy dog walk to the old town by the river"
+    rows = [(1, text, "a", 3), (1, text, "b", 1), (1, text, "c", 2), (2, text, "d", 9), (3, "", "e", 1), (3, None, "f", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    kept = {tuple(nd.deduplicate(d).orderBy("doc_id").collect()) for d in (df, df.orderBy("source"), df.orderBy(F.desc("source")).repartition(5))}
+    assert len(kept) == 1 and [r.doc_id for r in next(iter(kept))] == [1, 3]
