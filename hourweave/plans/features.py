@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hourweave.functions.scalar import DAM, RTM, RTM_ALT, rename_select
 from hourweave.functions.timeutil import HOUR, KEY, deliverydate_to_hour, interval_to_hour, operday_to_hour
 from hourweave.operators.aggregates import constraint_hourly, constraint_system, hourly_mean
-from hourweave.operators.joins import HourRange, join_hourly, outer_join, stored_within, union_chunks, within
+from hourweave.operators.joins import HourRange, join_hourly, outer_join, stack_join, stored_within, union_chunks, within
 from hourweave.operators.reshape import (
     FORECAST_ZONES, SOLAR_MAPPING, WEATHER_ZONES, regional_wide, wind_mapping, zones_wide,
 )
@@ -109,5 +109,5 @@ def unified_features(
 
 
 def hourly_solar_wind(spark: SparkSession, market: Market) -> DataFrame:
-    """Fan-in of the three solar and wind tables on the hour."""
-    return outer_join(hourly_globals(spark, market)[2:], on=[HOUR]).filter(F.col(HOUR).isNotNull())
+    """Fan-in of the three solar and wind tables on the hour, in one shuffle; an hour that tables repeat is one row."""
+    return stack_join(hourly_globals(spark, market)[2:], on=[HOUR])

@@ -136,3 +136,14 @@ def test_hour_range_reaches_every_scan(spark, hour, market, tmp_path):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == len(P.STORED_TIME)
     assert all("GreaterThanOrEqual" in line and "LessThan" in line for line in scans)
+
+
+def test_fan_in_keeps_one_row_per_repeated_hour(spark):
+    """An autumn hour that two tables hold twice and thrice is one row, with the smallest value of each column."""
+    schema = "DELIVERY_DATE timestamp_ntz, HOUR_ENDING string, SYSTEM_WIDE_GEN double"
+    day = dt.datetime(2024, 11, 3)
+    solar = spark.createDataFrame([(day, "02:00", 5.0), (day, "02:00", 4.0), (day, "03:00", 1.0)], schema)
+    wind = spark.createDataFrame([(day, "02:00", 9.0), (day, "02:00", 7.0), (day, "02:00", 8.0)], schema)
+    market = Market("m", {"solar_hourly": lambda: solar, "wind_hourly": lambda: wind})
+    got = {r.TimestampHour.hour: (r.Solar_Actual_Hourly, r.Wind_Actual_System_Hourly) for r in P.hourly_solar_wind(spark, market).collect()}
+    assert got == {1: (4.0, 7.0), 2: (1.0, None)}
