@@ -179,6 +179,30 @@ def fixity_report(index: DataFrame, folder: str, replica: str, compress: bool =
     return one.join(found, ["file", "offset"], "left").select("id", "file", "offset", "length", "sha256", F.coalesce("status", F.lit("intact")).alias("status"))
 
 
+def unindexed_bytes(index: DataFrame, folder: str, compress: bool = False) -> DataFrame:
+    """Files of the index that are longer in `folder` than their records: `file`, `size`, `indexed` and `unindexed` bytes.
+
+    The index fixes where records stand, so an audit of records alone does not see bytes between or behind them. A missing
+    file has none; its records are reported as missing.
+    """
+    ship_package(index.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 256):
+            sizes = []
+            for file in part.column(0).to_pylist():
+                try:
+                    with open_ranges(f"{folder}/{file}{'.gz' if compress else ''}") as handle:
+                        sizes.append(handle.size())
+                except FileNotFoundError:
+                    sizes.append(0)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), part.column(1)], names=["file", "size", "indexed"])
+
+    files = index.groupBy("file").agg(F.sum("stored").alias("indexed")).repartition("file")
+    found = files.mapInArrow(run, "file string, size long, indexed long")
+    return found.where("size > indexed").withColumn("unindexed", F.col("size") - F.col("indexed"))
+
+
 def report_sql(per_file: int, damaged: str, date: str = DATE) -> str:
     """The expected report of `pages` as DuckDB SQL."""
     line = "chr(13) || chr(10)"

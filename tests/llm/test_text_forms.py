@@ -265,6 +265,22 @@ def test_missing_and_extra(archive, spark):
     assert {r.status for r in nowhere.collect()} == {"missing"}
 
 
+def test_bytes_outside_records(archive, spark):
+    """Bytes behind the last record, and between records that the index does not know."""
+    rows, _, _, _ = archive
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-longer")
+    index = wf.write_warc(pages, folder, F.floor(F.col("page_id") / 100))
+    assert wf.unindexed_bytes(index, folder).count() == 0
+    with open(f"{folder}/records-000000001.warc".removeprefix("file:"), "ab") as f:
+        f.write(b"x" * 5000)
+    assert [(r.file, r.unindexed, r.size - r.indexed) for r in wf.unindexed_bytes(index, folder).collect()] == [("records-000000001.warc", 5000, 5000)]
+    fewer = index.where("id IS NULL OR id <> 7")
+    gone = index.where("id = 7").first()
+    assert (gone.file, gone.stored) in {(r.file, r.unindexed) for r in wf.unindexed_bytes(fewer, folder).collect()}
+    assert wf.unindexed_bytes(index, scratch_path(spark, "nowhere")).count() == 0
+
+
 def test_compressed_archives(archive, spark):
     """Each record a gzip member: same index of records, smaller files, damage found in the stored bytes."""
     rows, plain, _, _ = archive
