@@ -24,6 +24,7 @@ from hourweave.functions.scalar import DAM, RTM, SPREAD, attach_row, regime
 from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.boosting import PATIENCE, fit_boosted, leaves
 from hourweave.operators.ensemble import sweep_metrics
+from hourweave.operators.extra_trees import ExtraTrees
 from hourweave.operators.prep import train_rows
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.operators.windows import lag_features
@@ -49,6 +50,10 @@ def random_forest(label: str = SPREAD, trees: int = 200, depth: int = 20, min_le
     )
 
 
+def extra_trees(label: str = SPREAD, trees: int = 200, depth: int = 20, min_split: int = 100, min_leaf: int = 50, seed: int = 42) -> ExtraTrees:
+    return ExtraTrees(label, trees, depth, min_split, min_leaf, "sqrt", seed)
+
+
 def linear_models(n_rows: int, label: str = SPREAD) -> dict[str, LinearRegression]:
     """Ridge, lasso, elastic net and Huber regression with penalties of 1 on the weights as they are.
 

@@ -459,6 +459,16 @@ def rf_regression(t: Tables) -> DataFrame:
     return _held(predictions).join(inside.groupBy("split").agg(F.count(F.lit(1)).alias("n_in_range")), "split")
 
 
+@query("extra_trees", PER_SPLIT.format(model="extra_trees", more=f"{BETTER}, count(*) AS n_in_range"))
+def extra_trees(t: Tables) -> DataFrame:
+    data, fitted = _prepared(t)
+    predictions = M.predict(M.fit(data, _features(fitted), M.extra_trees(trees=20, depth=6)), data, "extra_trees")
+    limits = prep.train_rows(data).agg(F.min(S.SPREAD).alias("low"), F.max(S.SPREAD).alias("high"))
+    inside = S.attach_row(predictions, limits, "_r").withColumn("inside", F.col("prediction").between(F.col("_r.low") - 1e-9, F.col("_r.high") + 1e-9))
+    counted = inside.groupBy("split").agg(F.count_if("inside").alias("n_in_range"))
+    return _held(predictions).join(counted, "split")
+
+
 @query(
     "linear_regression",
     " UNION ALL ".join(PER_SPLIT.format(model=m, more="true AS known") for m in ("ridge", "lasso", "elastic_net", "huber")),
