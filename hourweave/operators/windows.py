@@ -11,6 +11,7 @@ from hourweave.functions.timeutil import HOUR, KEY, hours
 from hourweave.operators.ranking import daily, over_segments, own_rows, segments
 
 LAGS = (1, 24, 168)
+EPOCH = "1970-01-01 00:00:00"
 
 
 def lag_features(
@@ -118,6 +119,86 @@ def sequence_windows(
     )
 
 
+def sequence_chunks(
+    df: DataFrame, columns: Sequence[str], length: int, key: str = KEY, ts: str = HOUR,
+) -> DataFrame:
+    """Rows stored once for windows of up to `length` hours: (key, chunk, slots), a struct of `columns` per hour of a chunk.
+
+    A chunk holds `length` hours, so a window ends in one chunk and reaches back into one more at most. Hours without a row are
+    null. Of rows that repeat (key, hour) each column keeps its smallest value; rows with a null key part are left out. `ts` must lie on
+    full hours. At most `length` slots meet in one array, whatever a key holds.
+    """
+    number = F.floor(F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)) / 3600)
+    hourly = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(F.col(key), number.alias("_hour")).agg(*[F.min(c).alias(c) for c in columns])
+    slot = F.struct(F.pmod("_hour", F.lit(length)).cast("int").alias("slot"), F.struct(*columns).alias("values"))
+    packed = hourly.groupBy(F.col(key), F.floor(F.col("_hour") / length).alias("chunk")).agg(F.collect_list(slot).alias("_held"))
+    by_slot = F.map_from_entries("_held")
+    return packed.select(key, "chunk", F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda i: F.try_element_at(by_slot, i)).alias("slots"))
+
+
+def sequence_index(chunks: DataFrame, history: int, horizon: int, past: Sequence[str], future: Sequence[str] = (), target: Sequence[str] = (), key: str = KEY) -> DataFrame:
+    """Windows as (key, chunk, offset): where in its chunk the last hour of a window lies. No value is copied.
+
+    A window is one only where each of its `history` hours has all `past` columns and each of its `horizon` hours all `future`
+    and `target` columns.
+    """
+    return _window_ends(chunks, history, horizon, past, [*future, *target], key).select(key, "chunk", "offset")
+
+
+def sequences(
+    chunks: DataFrame, history: int, horizon: int, past: Sequence[str], future: Sequence[str] = (), target: Sequence[str] = (), key: str = KEY, ts: str = HOUR,
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """Encoder and decoder arrays per window: `<column>_history`, and `<column>_future` of what is known ahead or wanted.
+
+    `chunks` of `history + horizon` hours or more. Each chunk is sent once more, to the one after it; windows are cut from the two
+    where they are used, so that no shuffle holds a value more than twice. With `index`, as a sample of `sequence_index`, only
+    those windows are read. The hour of a row is the last hour of its horizon. Columns of the future and the target must differ.
+    """
+    ends = _window_ends(chunks, history, horizon, past, [*future, *target], key, index)
+    last = F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("chunk") * F.col("_length") + F.col("offset")).cast("int"))
+    window = F.slice("_slots", F.col("_length") + F.col("offset") + 2 - history - horizon, history + horizon)
+    cut = ends.select(key, last.alias(ts), window.alias("_window"))
+    early, late = F.slice("_window", 1, history), F.slice("_window", history + 1, horizon)
+    pick = lambda part, c: F.transform(part, lambda s: s[c])
+    return cut.select(key, ts, *[pick(early, c).alias(f"{c}_history") for c in past], *[pick(late, c).alias(f"{c}_future") for c in [*future, *target]])
+
+
+def _window_ends(
+    chunks: DataFrame, history: int, horizon: int, past: Sequence[str], ahead: Sequence[str], key: str, index: DataFrame | None = None,
+) -> DataFrame:
+    """(key, chunk, offset, _slots, _length) per window; `_slots` are those of the chunk before and of the chunk."""
+    n = history + horizon
+    earlier = chunks.select(F.col(key).alias("_k"), (F.col("chunk") + 1).alias("_c"), F.col("slots").alias("_before"))
+    nothing = F.transform("slots", lambda s: F.when(F.lit(False), s))
+    both = chunks.join(earlier, (F.col(key) == F.col("_k")) & (F.col("chunk") == F.col("_c")), "left").select(
+        key, "chunk", F.size("slots").alias("_length"), F.concat(F.coalesce("_before", nothing), "slots").alias("_slots"))
+
+    def runs(columns: Sequence[str]) -> Column:
+        """Hours in a row that have all of `columns`, up to and with each slot; 0 before the first."""
+        def complete(s: Column) -> Column:
+            whole = s.isNotNull()
+            for c in columns:
+                whole = whole & s[c].isNotNull()
+            return whole
+
+        grow = lambda a, s: F.concat(a, F.array(F.when(complete(s), F.element_at(a, -1) + 1).otherwise(0)))
+        return F.aggregate("_slots", F.array(F.lit(0)), grow)
+
+    def whole_window(offset: Column) -> Column:
+        at = F.col("_length") + offset + 1
+        return (F.col("_ahead")[at] >= horizon) & (F.col("_past")[at - horizon] >= history)
+
+    offsets = F.filter(F.sequence(F.lit(0), F.col("_length") - 1), whole_window)
+    found = both.where(F.assert_true(F.col("_length") >= n, f"chunks of {n} hours or more wanted").isNull()).withColumns({"_past": runs(past), "_ahead": runs(ahead)})
+    if index is not None:
+        # at most one offset per hour of a chunk
+        wanted = index.groupBy(F.col(key).alias("_k"), F.col("chunk").alias("_c")).agg(F.collect_set("offset").alias("_wanted"))
+        found = found.join(wanted, (F.col(key) == F.col("_k")) & (F.col("chunk") == F.col("_c")))
+        offsets = F.array_intersect(offsets, "_wanted")
+    return found.select(key, "chunk", "_length", "_slots", F.explode(offsets).alias("offset"))
+
+
 def time_gaps(df: DataFrame, key: Sequence[str] = (KEY,), ts: str = HOUR) -> DataFrame:
     """Each row's distance in seconds to the previous one of its entity (`gap_seconds`, null for the first).
 

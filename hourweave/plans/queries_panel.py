@@ -17,6 +17,7 @@ from hourweave.plans.dataset import train_and_val
 from hourweave.plans.features import realtime_prices
 from hourweave.plans.oracle import PRICE_COLUMNS, rounded, rounded_all
 from hourweave.plans.registry import query
+from hourweave.session import materialise
 
 GRAIN = "TimestampHour, SettlementPoint"
 LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey")
@@ -126,6 +127,25 @@ def sequence_windows(t: Tables) -> DataFrame:
     return runs.select(HOUR, KEY, F.size("history").alias("n_history"), total.alias("history_sum"), F.col("target")[0].alias("target"))
 
 
+@query(
+    "sequence_columns",
+    f"""SELECT {GRAIN}, {', '.join(rounded(f"{c}_sum", f"{c}_history") for c in ('DAM_Price_Hourly', 'RTM_LMP_HourlyAvg'))},
+          {rounded('known', 'DAM_Price_Hourly_future')}, {rounded('DART', 'last_target')} FROM (
+          SELECT *, lag(TimestampHour, 29) OVER w AS first_hour, sum(DAM_Price_Hourly) OVER early AS DAM_Price_Hourly_sum,
+            sum(RTM_LMP_HourlyAvg) OVER early AS RTM_LMP_HourlyAvg_sum, sum(DAM_Price_Hourly) OVER late AS known
+          FROM spread WINDOW w AS (PARTITION BY SettlementPoint ORDER BY TimestampHour), early AS (w ROWS BETWEEN 29 PRECEDING AND 6 PRECEDING),
+            late AS (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)) AS a
+        WHERE first_hour + INTERVAL 29 HOUR = TimestampHour""",
+)
+def sequence_columns(t: Tables) -> DataFrame:
+    """24 hours of two prices, 6 hours ahead of the known day-ahead price and the spread to predict."""
+    chunks = materialise(W.sequence_chunks(t.stored_spread, [S.DAM, S.RTM, S.SPREAD], 30), "sequence-chunks")
+    windows = W.sequences(chunks, 24, 6, past=[S.DAM, S.RTM], future=[S.DAM], target=[S.SPREAD])
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x).alias(c)
+    return windows.select(
+        HOUR, KEY, total(f"{S.DAM}_history"), total(f"{S.RTM}_history"), total(f"{S.DAM}_future"), F.element_at(f"{S.SPREAD}_future", -1).alias("last_target"))
+
+
 @query(
     "time_gaps",
     f"""SELECT {GRAIN}, lag(TimestampHour) OVER w AS previous_ts,
