@@ -172,41 +172,44 @@ class ExtraTrees(Estimator):
         still_open = F.transform(places, lambda node, tree: F.when(shape[tree][node]["feature"] == OPEN, node))
         spread_out = rows.select("x", "y", F.posexplode(still_open).alias("tree", "node")).where(F.col("node").isNotNull()).select(
             "tree", "node", "y", *[F.col("x")[i].alias(f"x{i}") for i in range(width)])
+        each = range(width)
+        listed = lambda name: F.array(*[F.col(f"{name}{i}") for i in each]).alias(name)
         extents = spread_out.groupBy("tree", "node").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"),
-            *[f(f"x{i}").alias(f"{name}{i}") for i in range(width) for name, f in (("lo", F.min), ("hi", F.max))])
-        grows = (F.col("n") >= max(self.min_split, 2 * self.min_leaf)) & F.lit(level < self.depth)
-        nodes = extents.select("tree", "node", "n", "s", F.when(grows, self._cuts(width)).alias("cuts"))
+            F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), *[f(f"x{i}").alias(f"{name}{i}") for i in each for name, f in (("low", F.min), ("high", F.max))]
+        ).select("tree", "node", "n", "s", listed("low"), listed("high"))
         if level == self.depth:
-            return nodes.select("tree", "node", (F.col("s") / F.col("n")).alias("mean"), F.lit(None).cast("string").alias("best")).orderBy("tree", "node").collect()
+            return extents.select("tree", "node", (F.col("s") / F.col("n")).alias("mean"), F.lit(None).cast("string").alias("best")).orderBy("tree", "node").collect()
+        grows = F.col("n") >= max(self.min_split, 2 * self.min_leaf)
         # one row per open node, stored: its size, not a guess, decides whether it is broadcast
-        nodes = materialise(nodes, "extra-trees-nodes")
-        cut = nodes.where(F.col("cuts").isNotNull()).select(F.col("tree").alias("_t"), F.col("node").alias("_n"), *[F.col("cuts")[i].alias(f"c{i}") for i in range(width)])
+        nodes = materialise(extents.select("tree", "node", "n", "s", F.when(grows, self._cuts(width)).alias("cuts")), "extra-trees-nodes")
+        cut = nodes.where(F.col("cuts").isNotNull()).select(F.col("tree").alias("_t"), F.col("node").alias("_n"), *[F.col("cuts")[i].alias(f"c{i}") for i in each])
         inside = spread_out.join(cut, (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n")))
-        goes_below = {i: F.col(f"x{i}") <= F.col(f"c{i}") for i in range(width)}
+        # a feature that was not drawn has no cut, so nothing is below it
+        below = [F.col(f"x{i}") <= F.col(f"c{i}") for i in each]
         sums = inside.groupBy("tree", "node").agg(
-            *[c for i in range(width) for c in (F.count_if(goes_below[i]).alias(f"n{i}"), F.sum(F.when(goes_below[i], F.col("y"))).alias(f"s{i}"))])
+            *[c for i in each for c in (F.count(F.when(below[i], 1)).alias(f"left{i}"), F.sum(F.when(below[i], F.col("y"))).alias(f"sum{i}"))]
+        ).select("tree", "node", listed("left"), listed("sum"))
         scored = nodes.join(sums, ["tree", "node"], "left").withColumn("best", self._best(width))
         return scored.select("tree", "node", (F.col("s") / F.col("n")).alias("mean"), "best").orderBy("tree", "node").collect()
 
     def _cuts(self, width: int) -> Column:
         """Per feature its cut, uniform inside the node's extent; null for features not drawn or constant."""
         wanted = max(1, int(math.sqrt(width)) if self.share == "sqrt" else round(float(self.share) * width))
-        own = [F.col("tree"), F.col("node")]
-        varies = [F.col(f"lo{i}") < F.col(f"hi{i}") for i in range(width)]
-        order = F.array_sort(F.filter(F.array(*[F.when(v, F.struct(draw(self.seed, F.lit("order"), *own, F.lit(i)).alias("u"), F.lit(i).alias("i"))) for i, v in enumerate(varies)]), F.isnotnull))
+        every = F.sequence(F.lit(0), F.lit(width - 1))
+        own = lambda kind, i: draw(self.seed, F.lit(kind), F.col("tree"), F.col("node"), i)
+        low, high = (lambda i: F.col("low")[i]), (lambda i: F.col("high")[i])
+        order = F.array_sort(F.transform(F.filter(every, lambda i: low(i) < high(i)), lambda i: F.struct(own("order", i).alias("u"), i.alias("i"))))
         drawn = F.transform(F.slice(order, 1, wanted), lambda p: p["i"])
-        cut = lambda i: F.col(f"lo{i}") + draw(self.seed, F.lit("cut"), *own, F.lit(i)) * (F.col(f"hi{i}") - F.col(f"lo{i}"))
-        return F.transform(
-            F.array(*[F.struct(F.lit(i).alias("i"), cut(i).alias("cut")) for i in range(width)]), lambda p: F.when(F.array_contains(drawn, p["i"]), p["cut"]))
+        cuts = F.map_from_arrays(drawn, F.transform(drawn, lambda i: low(i) + own("cut", i) * (high(i) - low(i))))
+        return F.transform(every, lambda i: F.try_element_at(cuts, i))
 
     def _best(self, width: int) -> Column:
-        """The cut of most gain (feature, cut, gain); null where none leaves enough rows or gains anything."""
-        def candidate(i: int) -> Column:
-            n, s, left, sl = F.col("n"), F.col("s"), F.col(f"n{i}"), F.coalesce(f"s{i}", F.lit(0.0))
+        """The cut of most gain (gain, feature, cut); null where none leaves enough rows or gains anything."""
+        def candidate(i: Column) -> Column:
+            n, s, left, sl = F.col("n"), F.col("s"), F.col("left")[i], F.col("sum")[i]
             right, sr = n - left, s - sl
-            gain = sl * sl / left + sr * sr / right - s * s / n
+            gain = sl * sl / F.nullif(left, F.lit(0)) + sr * sr / F.nullif(right, F.lit(0)) - s * s / n
             enough = (left >= self.min_leaf) & (right >= self.min_leaf) & (gain > 0)
-            return F.when(enough, F.struct(gain.alias("gain"), F.lit(-i).alias("_first"), F.lit(i).alias("feature"), F.col("cuts")[i].alias("cut")))
+            return F.when(enough, F.struct(gain.alias("gain"), (-i).alias("_first"), i.alias("feature"), F.col("cuts")[i].alias("cut")))
 
-        return F.array_max(F.array(*[candidate(i) for i in range(width)]))
+        return F.array_max(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), candidate))
