@@ -25,6 +25,7 @@ from hourweave.functions.timeutil import HOUR, KEY
 from hourweave.operators.boosting import PATIENCE, fit_boosted, leaves
 from hourweave.operators.ensemble import sweep_metrics
 from hourweave.operators.extra_trees import ExtraTrees
+from hourweave.operators.pinball import fit_pinball
 from hourweave.operators.prep import train_rows
 from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.operators.windows import lag_features
@@ -237,6 +238,14 @@ def quantile_forest(data: DataFrame, features: Sequence[str], forest: RandomFore
     return with_cuts.withColumns({name: mean(i) for i, name in enumerate(names.values())}).drop("_held", "leaves")
 
 
+def quantile_boosting(
+    data: DataFrame, features: Sequence[str], estimator: GBTRegressor, names: dict[float, str] = QUANTILES, patience: int = PATIENCE, gain: float = 0.0,
+) -> DataFrame:
+    """Quantiles given the features by boosting on the pinball loss. Rows keep all columns; names of quantiles are added."""
+    ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(data)
+    return fit_pinball(ready, estimator, list(names), patience, gain=gain).transform(ready, list(names.values())).drop("features")
+
+
 def conformal_interval(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Shift each prediction by the quantiles of the validation residuals.
 

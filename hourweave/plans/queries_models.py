@@ -22,7 +22,9 @@ from hourweave.operators import boosting as B
 from hourweave.operators import ensemble as E
 from hourweave.operators import metrics as X
 from hourweave.operators import models as M
+from hourweave.operators import pinball as P
 from hourweave.operators import prep
+from hourweave.operators.quantiles import exact_quantiles, quantile_columns
 from hourweave.plans.bindings import Tables
 from hourweave.plans.bundle import load_bundle, save_bundle
 from hourweave.plans.dataset import Fitted, prepare
@@ -541,6 +543,22 @@ def quantile_forest(t: Tables) -> DataFrame:
         "split", "n_rows", "n_ordered", F.when(F.col("split") == "train", F.col("c")).alias("covers"))
 
 
+@query(
+    "quantile_boosting",
+    "SELECT split, count(*) AS n_rows, count(*) AS n_predicted, CASE WHEN split = 'train' THEN true END AS beats_start FROM unified_split GROUP BY split",
+)
+def quantile_boosting(t: Tables) -> DataFrame:
+    """Boosted p10, p50 and p90; on training rows their pinball loss is below that of the training quantiles alone."""
+    data, fitted = _prepared(t)
+    out = M.quantile_boosting(data, _features(fitted), M.gbt(rounds=6, depth=4, **BOOSTING), patience=4)
+    start = quantile_columns(exact_quantiles(prep.train_rows(data), [S.SPREAD], list(M.QUANTILES)), M.QUANTILES, ["column"])
+    loss = lambda q: sum((P.pinball(p, F.col(S.SPREAD) - q(name)) for p, name in M.QUANTILES.items()), F.lit(0.0))
+    both = S.attach_row(out, start, "_s").withColumns({"own": loss(F.col), "plain": loss(lambda name: F.col(f"_s.{name}"))})
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.col("p10") + F.col("p50") + F.col("p90")).alias("n_predicted"), (F.avg("own") < F.avg("plain")).alias("b")
+    ).select("split", "n_rows", "n_predicted", F.when(F.col("split") == "train", F.col("b")).alias("beats_start"))
+
+
 @query(
     "regime_boosted",
     "SELECT split, count(*) AS n_rows, count(*) AS n_valid, count(*) AS n_sum_to_one, CASE WHEN split = 'train' THEN true END AS beats_shares FROM unified_split GROUP BY split",
