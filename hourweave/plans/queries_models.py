@@ -550,7 +550,7 @@ def quantile_forest(t: Tables) -> DataFrame:
 def quantile_boosting(t: Tables) -> DataFrame:
     """Boosted p10, p50 and p90; on training rows their pinball loss is below that of the training quantiles alone."""
     data, fitted = _prepared(t)
-    out = M.quantile_boosting(data, _features(fitted), M.gbt(rounds=6, depth=4, **BOOSTING), patience=4)
+    out = M.quantile_boosting(data, _features(fitted), M.gbt(rounds=4, depth=3, **BOOSTING), patience=4)
     start = quantile_columns(exact_quantiles(prep.train_rows(data), [S.SPREAD], list(M.QUANTILES)), M.QUANTILES, ["column"])
     loss = lambda q: sum((P.pinball(p, F.col(S.SPREAD) - q(name)) for p, name in M.QUANTILES.items()), F.lit(0.0))
     both = S.attach_row(out, start, "_s").withColumns({"own": loss(F.col), "plain": loss(lambda name: F.col(f"_s.{name}"))})
