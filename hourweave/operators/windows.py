@@ -199,22 +199,49 @@ def _window_ends(
     return found.select(key, "chunk", "_length", "_slots", F.explode(offsets).alias("offset"))
 
 
-def time_gaps(df: DataFrame, key: Sequence[str] = (KEY,), ts: str = HOUR) -> DataFrame:
+#: Bucket widths in seconds below the day, each inside the one before.
+GRAINS = {"DAY": 86_400, "HOUR": 3_600, "MINUTE": 60, "SECOND": 1}
+
+
+def gap_grain(df: DataFrame, key: Sequence[str] = (KEY,), ts: str = HOUR, most: int = 1_000_000) -> str:
+    """The widest grain at which no (entity, bucket) holds more than `most` rows; seconds where none does."""
+    for grain, width in GRAINS.items():
+        largest = df.groupBy(*key, _bucket(ts, width).alias("_b")).count().agg(F.max("count")).first()[0]
+        if largest is None or largest <= most:
+            return grain
+    return "SECOND"
+
+
+def _bucket(ts: str, width: int) -> Column:
+    return F.floor(F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)) / width)
+
+
+def time_gaps(df: DataFrame, key: Sequence[str] = (KEY,), ts: str = HOUR, grain: str = "DAY") -> DataFrame:
     """Each row's distance in seconds to the previous one of its entity (`gap_seconds`, null for the first).
 
     Works within days; the first row of a day continues from the last of the entity's
-    previous day, which comes from a table with one row per entity and day.
+    previous day, which comes from a table with one row per entity and day. Feeds with many rows a day take a finer
+    `grain`, as `gap_grain` finds it: hours then continue inside days, minutes inside hours, seconds inside minutes.
     """
-    tagged = df.select(*key, ts).withColumn("_b", daily(ts))
-    inside = Window.partitionBy(*key, "_b").orderBy(ts)
-    days = tagged.groupBy(*key, "_b").agg(F.max(ts).alias("_last"))
-    across = Window.partitionBy(*key).orderBy("_b")
-    carry = days.select(*key, "_b", F.lag("_last").over(across).alias("_carry"))
+    widths = list(GRAINS)[: list(GRAINS).index(grain) + 1]
+    names = [f"_b{i}" for i in range(len(widths))]
+    tagged = df.select(*key, ts, daily(ts).alias("_b0"), *[_bucket(ts, GRAINS[g]).alias(n) for g, n in zip(widths[1:], names[1:])])
+    inside = Window.partitionBy(*key, *names).orderBy(ts)
+    carry = None
+    for i, name in enumerate(names):
+        above = names[:i]
+        lasts = tagged.groupBy(*key, *above, name).agg(F.max(ts).alias("_last"))
+        # one row per bucket of an entity, or of the wider bucket around it
+        across = Window.partitionBy(*key, *above).orderBy(name)
+        here = lasts.select(*key, *above, name, F.lag("_last").over(across).alias("_carry"))
+        if carry is not None:
+            here = here.join(carry.withColumnRenamed("_carry", "_above"), [*key, *above]).withColumn("_carry", F.coalesce("_carry", "_above")).drop("_above")
+        carry = here
     previous = F.coalesce(F.col("_in"), F.when(F.col("_rn") == 1, F.col("_carry")))
     return (
         tagged.withColumn("_in", F.lag(ts).over(inside))
         .withColumn("_rn", F.row_number().over(inside))
-        .join(carry, [*key, "_b"])
+        .join(carry, [*key, *names])
         .withColumn("previous_ts", previous)
         .withColumn("gap_seconds", F.timestamp_diff("SECOND", F.col("previous_ts"), F.col(ts)))
         .select(*key, ts, "previous_ts", "gap_seconds")

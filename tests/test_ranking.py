@@ -144,6 +144,26 @@ def test_gaps_cross_days(spark, hour):
     assert [r.previous_ts for r in W.first_gaps(gaps).collect()] == [hour(24)]
 
 
+@pytest.mark.parametrize("grain", ["DAY", "HOUR", "MINUTE", "SECOND"])
+def test_gaps_at_every_grain(spark, hour, grain):
+    r = np.random.default_rng(3)
+    steps = np.cumsum(r.choice([0, 1, 7, 59, 3600, 200_000], size=400, p=[0.1, 0.3, 0.3, 0.2, 0.08, 0.02])) - 500_000
+    rows = [(hour(0) + dt.timedelta(seconds=int(x)), key, 0.0) for key in "ab" for x in steps[ord(key) % 2 :]]
+    df = spark.createDataFrame([*rows, (None, "a", 0.0)], PANEL)
+    got = W.time_gaps(df, grain=grain).select("SettlementPoint", "TimestampHour", "previous_ts", "gap_seconds")
+    w = Window.partitionBy("SettlementPoint").orderBy("TimestampHour")
+    whole = df.where("TimestampHour IS NOT NULL").withColumn("previous_ts", F.lag("TimestampHour").over(w))
+    gap = F.timestamp_diff("SECOND", F.col("previous_ts"), F.col("TimestampHour"))
+    want = whole.select("SettlementPoint", "TimestampHour", "previous_ts", gap.alias("gap_seconds"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_grain_follows_the_fullest_bucket(spark, hour):
+    df = spark.createDataFrame([(hour(0) + dt.timedelta(seconds=i * 90), "a", 0.0) for i in range(100)], PANEL)
+    assert [W.gap_grain(df, most=n) for n in (100, 99, 39, 1, 0)] == ["DAY", "HOUR", "MINUTE", "MINUTE", "SECOND"]
+    assert W.gap_grain(df.limit(0)) == "DAY"
+
+
 @pytest.mark.parametrize("open_rows", [None, 20, 0])
 def test_quantiles_of_skewed_values(spark, open_rows):
     rng = np.random.default_rng(3)
