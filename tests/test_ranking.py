@@ -187,6 +187,18 @@ def test_quantiles_of_skewed_values(spark, open_rows):
     assert [flat[p] for p in probs] == pytest.approx(list(np.quantile(whole, probs)), rel=1e-12)
 
 
+def test_copies_of_few_values_are_read_once(spark, monkeypatch):
+    """A value that more than `open_rows` rows have needs no further pass; close values need one."""
+    passes = []
+    monkeypatch.setattr(Q, "materialise", lambda df, label: passes.append(label) or df.cache())
+    df = spark.range(1000).select((F.col("id") % 10).cast("double").alias("x"), (1 + (F.col("id") % 4) * 2.0**-30).alias("close"), F.lit(-0.0).alias("zero"))
+    got = {r.prob: r.value for r in Q.exact_quantiles(df, ["x"], [0.25, 0.5, 0.999], open_rows=20).collect()}
+    assert got == {0.25: 2.0, 0.5: 4.5, 0.999: 9.0} and len(passes) == 1
+    got = [r.value for r in Q.exact_quantiles(df, ["close"], [0.5], open_rows=20).collect()]
+    assert got == [1 + 1.5 * 2.0**-30] and len(passes) == 3
+    assert [str(r.value) for r in Q.exact_quantiles(df, ["zero"], [0.5]).collect()] == ["0.0"]
+
+
 def test_order_bits_are_those_of_the_double(spark):
     rng = np.random.default_rng(5)
     some = rng.integers(-(1 << 63), (1 << 63) - 1, 3000).view(np.float64)
