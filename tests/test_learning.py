@@ -3,9 +3,12 @@
 import math
 import random
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
@@ -16,9 +19,11 @@ from hourweave.operators import metrics as X
 from hourweave.operators import models as M
 from hourweave.operators import prep
 from hourweave.operators import quality as Q
+from hourweave.plans import catalog
 from hourweave.plans.dataset import prepare
 from hourweave.session import materialise
 from hourweave.sources import sinks
+from tests.compare import difference
 
 PREDICTIONS = "TimestampHour int, SettlementPoint string, split string, model string, y double, prediction double"
 
@@ -354,3 +359,25 @@ def test_two_stage_subtracts(prepared):
     out = M.two_stage_group_means(data, ["SettlementPoint"])
     assert out.filter(F.abs(F.col("prediction") - (F.col("da_pred") - F.col("rt_pred"))) > 0).isEmpty()
     assert out.filter("abs(y - DART) > 1e-9").isEmpty()
+
+
+def test_class_scores_begin_with_the_shares_unchanged(spark):
+    """Of one class nothing is lost; of a class of one row the loss on training rows still falls below that of the shares."""
+    spec = M.gbt("regime", rounds=2, depth=2, step=0.3, min_leaf=20, share=1.0)
+    assemble = VectorAssembler(inputCols=["x"], outputCol="features")
+    rows = [(float(i % 50), 1 if i == 7 else 0, "val" if i % 10 == 9 else "train") for i in range(500)]
+    for found, expected in (([(x, 2, s) for x, _, s in rows], 0.0), (rows, (449 * math.log(450 / 449) + math.log(450)) / 450)):
+        df = assemble.transform(spark.createDataFrame(found, "x double, regime int, split string"))
+        out = B.fit_boosted_classes(df, spec, 4, patience=2).transform(df).where("split = 'train'")
+        loss = out.agg(F.avg(B.log_loss(F.col("probability"), F.col("regime")))).first()[0]
+        assert loss < (expected or 1e-9)
+
+
+def test_regimes_of_calm_prices_equal_the_sql(spark, tmp_path):
+    """Prices whose spread never leaves the first regime."""
+    events = pd.read_parquet("/root/testdata/sf0.001/events.parquet")
+    events["value"] = 50 + events["value"] % 1
+    events.to_parquet(tmp_path / "events.parquet", coerce_timestamps="us")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet')")
+    assert difference(catalog.queries()["regime_boosted"](spark, str(tmp_path)), con, catalog.oracle_sql()["regime_boosted"]) is None
