@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from hourweave.operators import aggregates as A
 from hourweave.operators import joins as J
 from hourweave.operators import reshape as R
+from hourweave.plans import bindings
 from hourweave.plans import features as P
+from hourweave.plans.registry import comparable
 from hourweave.sources.readers import Market, Markets, request_rows
 from hourweave.sources.schemas import FEEDS
 
@@ -147,3 +149,12 @@ def test_fan_in_keeps_one_row_per_repeated_hour(spark):
     market = Market("m", {"solar_hourly": lambda: solar, "wind_hourly": lambda: wind})
     got = {r.TimestampHour.hour: (r.Solar_Actual_Hourly, r.Wind_Actual_System_Hourly) for r in P.hourly_solar_wind(spark, market).collect()}
     assert got == {1: (4.0, 7.0), 2: (1.0, None)}
+
+
+def test_feature_table_parses_events_once(spark, monkeypatch):
+    """Every feed of the stored feature table reads one parsed copy of the events."""
+    plans, store = [], bindings.materialise
+    monkeypatch.setattr(bindings, "materialise", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or store(df, label))
+    tables = bindings.Tables(spark, "/root/testdata/sf0.001")
+    assert not comparable(tables.unified_table).exceptAll(comparable(tables.unified)).count()
+    assert [plan.count("from_json") for plan in plans] == [1, 0]
