@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourweave.llm.common import col, fresh, ship_package, slices, texts
+from hourweave.llm.common import col, fresh, release_memory, ship_package, slices, texts
 from hourweave.session import materialise
 
 WIDTH = 5
@@ -49,7 +49,8 @@ REMOVE_PERCENT = 80
 MISSED_BANDS, MISSED_BYTES = 5e-7, 1e-9
 #: Bands before their registers become fewer.
 BANDS_MOST = 64
-CACHE = 400_000
+#: Remembered words of a worker, the first it meets; frequent ones are among them.
+CACHE = 50_000
 #: Ids sent to all tasks at once, 16 MB; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Links that one task may unite, some 100 MB.
@@ -59,6 +60,8 @@ LEADERS = 32
 #: Classes of a cluster that is compared in blocks, and the classes and set elements of a block.
 CLUSTER_MOST = 50_000
 BLOCK_CLASSES, BLOCK_ELEMENTS = 1024, 500_000
+#: Classes of two blocks after which a worker gives freed memory back.
+RELEASE_CLASSES = 256
 
 _words: dict[bytes, bytes] = {}
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -177,6 +180,7 @@ def sketches(docs: DataFrame, id_column: str, text: str, width: int = WIDTH, per
                 "id": part.column(0), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.binary()),
                 "bands": pa.array(bands, pa.list_(pa.int64())), "bytes": pa.array(low, pa.binary()),
             })
+        release_memory()
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(col(id_column), col(text).cast("string")).mapInArrow(run, f"id {kind}, n long, node binary, bands array<bigint>, bytes binary")
@@ -190,6 +194,7 @@ def _sets(docs: DataFrame, id_column: str, text: str, wanted: DataFrame, width:
             found = [(node, s) for value, node in zip(texts(part.column(0)), part.column(1).to_pylist()) if _digest(s := shingles(value, width)) == node]
             yield pa.record_batch({
                 "node": pa.array([node for node, _ in found], pa.binary()), "set": pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))})
+        release_memory()
 
     wanted = wanted.select(F.col("id").alias("wanted"), "node")
     if wanted.count() <= BROADCAST_IDS:
@@ -343,6 +348,12 @@ def _open_clusters(buckets: DataFrame, found: DataFrame, classes: DataFrame, mos
 
 def _compare_blocks(percent: int):
     def run(key, table):
+        found = links(key, table)
+        if table.num_rows > RELEASE_CLASSES:
+            release_memory()
+        return found
+
+    def links(key, table):
         table = table.sort_by("node")
         nodes, parts = table["node"].to_pylist(), table["component"].to_pylist()
         names = {c: k for k, c in enumerate(dict.fromkeys(parts))}

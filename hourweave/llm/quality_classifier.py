@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourweave.llm.common import col, fresh, ship_package, slices, texts
+from hourweave.llm.common import col, fresh, release_memory, ship_package, slices, texts
 
 BITS = 20
 MAX_ROWS = 20_000
@@ -36,6 +37,8 @@ EPOCHS = 12
 COST = 1.0
 SMOOTHING = 1.0
 CACHE = 300_000
+#: Texts whose features are counted at once.
+COUNTED = 256
 
 _TOKEN = re.compile(r"([^\W\d_]+)|(\d+)|([^\w\s]+|_+)")
 _cache: dict[str, bytes] = {}
@@ -100,7 +103,10 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray, size: int, smoothing:
     counts = []
     for side in (1, -1):
         own = [f for f, label in zip(rows, y) if label == side]
-        n = np.bincount(np.concatenate(own), minlength=size) + smoothing
+        n = np.zeros(size)
+        for start in range(0, len(own), COUNTED):
+            n += np.bincount(np.concatenate(own[start : start + COUNTED]), minlength=size)
+        n += smoothing
         counts.append(n / n.sum())
     return np.log(counts[0] / counts[1])
 
@@ -108,18 +114,19 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray, size: int, smoothing:
 def dual_coordinate_descent(
     rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: np.ndarray, epochs: int = EPOCHS, seed: int = 7,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias minimising |w|^2 / 2 + sum cost * max(0, 1 - y (w.x + b)); x of unit length, bias as a feature."""
-    values = []
-    for f in rows:
-        r = ratio[f]
-        values.append(r / max(float(np.sqrt(r @ r)), 1e-12))
+    """Weights and bias minimising |w|^2 / 2 + sum cost * max(0, 1 - y (w.x + b)); x of unit length, bias as a feature.
+
+    x is made again at each visit: kept, it would be twice the size of `rows`.
+    """
+    length = np.array([max(float(np.sqrt((r := ratio[f]) @ r)), 1e-12) for f in rows])
     w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
-    square = np.array([float(v @ v) + 1.0 for v in values])
+    square = np.array([float((v := ratio[f] / length[i]) @ v) + 1.0 for i, f in enumerate(rows)])
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         change = 0.0
         for i in order.permutation(len(rows)):
-            f, v = rows[i], values[i]
+            f = rows[i]
+            v = ratio[f] / length[i]
             slope = y[i] * (w[f] @ v + bias) - 1.0
             step = min(max(alpha[i] - slope / square[i], 0.0), cost[i]) - alpha[i]
             if step:
@@ -213,8 +220,12 @@ def fit(
             ids += batch.column(0).to_pylist()
             y += batch.column(1).to_pylist()
             rows += [np.asarray(x.values) if x.is_valid else np.empty(0, np.int32) for x in batch.column(2)]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i], y[i], rows[i].tobytes()))
+        times = Counter(ids)
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], y[i], rows[i].tobytes() if times[ids[i]] > 1 else b""))
         w, ratio, bias, a, b = fit_rows([ids[i] for i in order], [y[i] for i in order], [rows[i] for i in order], bits)
+        rows.clear()
+        batch = None
+        release_memory()
         yield pa.record_batch({
             "weights": pa.array([w.astype("<f4").tobytes()], pa.binary()), "ratio": pa.array([ratio.astype("<f4").tobytes()], pa.binary()),
             "curve": pa.array([[float(bias), float(a), float(b)]], pa.list_(pa.float64())),
@@ -241,6 +252,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", name: str = "score")
             at = margins(texts(part.column(part.num_columns - 1)), w, ratio, bias, m["bits"])
             p = 1 / (1 + np.exp(-np.clip(a * at + b, -30, 30)))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], schema=pa.schema([*list(part.schema)[:-1], pa.field(name, pa.float64())]))
+        release_memory()
 
     own = fresh("text__", [*docs.columns, name])
     schema = docs.select(*[col(c) for c in docs.columns]).withColumn(name, F.lit(0.0)).schema

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -9,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hourweave.llm import near_duplicates as nd
 from hourweave.llm import quality_classifier as qc
 from hourweave.llm import quality_rules as qr
 from hourweave.llm.queries import ORACLE_SQL, QUERIES
@@ -103,6 +105,30 @@ def test_descent_reaches_the_optimum():
         assert other > primal - 1e-2
 
 
+def traced(f):
+    """What `f` gives, and the bytes that are left of it and were the most while it ran."""
+    tracemalloc.start()
+    try:
+        return f(), *tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+
+
+def test_fit_holds_little_more_than_its_rows():
+    """Kept unit vectors of all rows took twice the rows, the counts of all features at once three times."""
+    r = np.random.default_rng(3)
+    rows = [np.unique(r.integers(0, 4096, 3000)).astype(np.int32) for _ in range(3000)]
+    labels = [int((f < 1000).sum() > 520) for f in rows]
+    model, _, most = traced(lambda: qc.fit_rows([f"{i}" for i in range(len(rows))], labels, rows, 12))
+    assert model[0].any() and most < sum(f.nbytes for f in rows)
+
+
+def test_remembered_words_are_few(monkeypatch):
+    monkeypatch.setattr(nd, "_words", {})
+    values = [" ".join(f"word{i}" for i in range(k, k + 1000)) for k in range(0, 200_000, 1000)]
+    assert traced(lambda: [nd.shingles(x).size for x in values])[1] < 16e6
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = QUERIES["op6_quality_classifier"](spark, sf_dir).collect()
